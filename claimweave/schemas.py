@@ -3,11 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+TYPES = {
+    "string": StringType(),
+    "double": DoubleType(),
+    "int": IntegerType(),
+    "long": LongType(),
+    "date": DateType(),
+    "timestamp_ntz": TimestampNTZType(),
+}
 
 
-def contract(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+def contract(columns: str) -> StructType:
+    """A schema from "name type, ..." (StructType.fromDDL would need a running session)."""
+    pairs = [c.split() for c in columns.split(",")]
+    return StructType([StructField(name, TYPES[kind]) for name, kind in pairs])
 
 
 def _text(names) -> str:
