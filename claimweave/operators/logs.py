@@ -21,8 +21,8 @@ def lines_from_table(df: DataFrame, file: str = "file", pos: str = "pos", line:
                      rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Lines held in a table with a position per file; blocks are ranges of positions."""
     return df.select(
-        F.col(file).alias("file"),
-        F.floor(F.col(pos) / rows_per_block).alias("block"),
+        F.coalesce(F.col(file), F.lit("")).alias("file"),
+        F.coalesce(F.floor(F.col(pos) / rows_per_block), F.lit(-1)).alias("block"),
         F.col(pos).alias("ord"),
         F.col(line).alias("line"),
     )
@@ -51,7 +51,7 @@ def header_entries(lines: DataFrame) -> DataFrame:
 
 def time_gaps(entries: DataFrame) -> DataFrame:
     """Adds the seconds to the next entry of the same file, in file order; null for the last one."""
-    first = entries.groupBy("file", "block").agg(F.min_by(F.struct("timestamp"), "ord").alias("first"))
+    first = entries.groupBy("file", "block").agg(F.min_by("timestamp", "ord").alias("first"))
     by_block = Window.partitionBy("file").orderBy("block")
     following = first.select("file", "block", F.lead("first").over(by_block).alias("next_block"))
     in_block = Window.partitionBy("file", "block").orderBy("ord")
@@ -59,7 +59,7 @@ def time_gaps(entries: DataFrame) -> DataFrame:
     own = entries.withColumns(
         {"next_timestamp": F.lead("timestamp").over(in_block), "last_of_block": last_of_block}
     )
-    upcoming = F.when(F.col("last_of_block"), F.col("next_block.timestamp")).otherwise(F.col("next_timestamp"))
+    upcoming = F.when(F.col("last_of_block"), F.col("next_block")).otherwise(F.col("next_timestamp"))
     gap = logtext.seconds_between(F.col("timestamp"), upcoming).alias("time_diff_seconds")
     return own.join(following, ["file", "block"]).select(*entries.columns, gap)
 
@@ -95,8 +95,8 @@ def _block_context(pieces: DataFrame) -> DataFrame:
     stats = pieces.groupBy("file", "block").agg(
         F.sum("lines").alias("lines"),
         F.max("piece").alias("pieces"),
-        F.max(F.when(F.col("piece") == 1, F.struct("timestamp"))).alias("first"),
-        F.max(F.when(F.col("piece") == 0, F.col("more"))).alias("orphans"),
+        F.max(F.when(F.col("piece") == 1, F.col("timestamp"))).alias("first"),
+        F.flatten(F.collect_list(F.when(F.col("piece") == 0, F.col("more")))).alias("orphans"),
     )
     forward = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     backward = Window.partitionBy("file").orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
@@ -108,7 +108,7 @@ def _block_context(pieces: DataFrame) -> DataFrame:
         "orphans",
         F.coalesce(F.sum("lines").over(forward), F.lit(0)).alias("lines_before"),
         F.coalesce(F.sum(has_header.cast("long")).over(forward), F.lit(0)).alias("owner"),
-        F.last("first", ignorenulls=True).over(backward).alias("next_first"),
+        F.last(F.when(has_header, F.struct("first")), ignorenulls=True).over(backward).alias("next_first"),
     )
     # Leading lines of a block belong to the last header block before it ("owner"). Every block
     # sends its leading lines to that owner, and a header block also sends its own facts to itself.
@@ -125,7 +125,7 @@ def _block_context(pieces: DataFrame) -> DataFrame:
     gathered = sent.groupBy("file", "m.owner").agg(
         F.max("m.self").alias("self"), F.sort_array(F.collect_list("m.carried")).alias("carried")
     )
-    texts = F.flatten(F.transform("carried", lambda c: F.coalesce(c["orphans"], F.array().cast("array<string>"))))
+    texts = F.flatten(F.transform("carried", lambda c: c["orphans"]))
     return gathered.where(F.col("self").isNotNull()).select("file", "self.*", texts.alias("carried"))
 
 
@@ -140,7 +140,7 @@ def assemble_entries(lines: DataFrame) -> DataFrame:
         {
             "pos": F.col("lines_before") + F.col("first_line"),
             "details": F.array_join(parts, "\n"),
-            "next_timestamp": F.when(last_of_block, F.col("next_first.timestamp")).otherwise(
+            "next_timestamp": F.when(last_of_block, F.col("next_first.first")).otherwise(
                 F.lead("timestamp").over(in_block)
             ),
         }
@@ -180,7 +180,7 @@ def log_stats(entries: DataFrame, top: int = 10) -> DataFrame:
     Every entry counts once per metric; the map tasks reduce that to one row per metric
     and key, and all later steps work on those counts.
     """
-    hour = F.concat(F.col("date").cast("string"), F.lit(" "), F.format_string("%02d", F.col("hour")))
+    hour = F.concat(F.col("date").cast("string"), F.lit(" "), F.col("hour").cast("string"))
     pairs = F.array(
         _pair("hour", hour),
         _pair("log_levels", F.lower("log_level")),

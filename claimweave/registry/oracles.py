@@ -412,7 +412,8 @@ ORACLES: dict[str, str] = {
         """SELECT visit_id, icd_code, CASE WHEN diag_type = 'S' THEN diag_type || CAST(rn AS VARCHAR) ELSE diag_type END
                   AS slot
            FROM (SELECT *, row_number() OVER (PARTITION BY visit_id, diag_type ORDER BY icd_code, id) AS rn
-                 FROM diagnosis) AS r""",
+                 FROM diagnosis) AS r
+           WHERE rn <= 15""",
     ),
     "diag_pivot_typed": with_entities("diagnosis", typed_pivot("diagnosis")),
     "diag_pivot_typed_by_patient": with_entities("diagnosis_by_patient", typed_pivot("diagnosis_by_patient")),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from claimweave.functions import logtext, scalars
 from claimweave.operators import filters, keys, logs, pivots, projections, sets, staging, updates
@@ -13,6 +13,7 @@ from claimweave.operators.chunks import process_in_chunks
 from claimweave.plans.claim_wide import ClaimSources, build_claim_wide, select_claims
 from claimweave.plans.runs import DimSpec, refresh_dims, run_for_params
 from claimweave.registry.entities import entity
+from claimweave.schemas import SECONDARY_SLOTS
 from claimweave.session import work_folder
 from claimweave.sinks import tables as sinks
 from claimweave.sources import logs as log_sources, tables
@@ -262,10 +263,10 @@ def patient_scalars(spark, sf_dir):
 
 @register
 def diagnosis_slot_labels(spark, sf_dir):
-    by_kind = pivots.Window.partitionBy("visit_id", "diag_type").orderBy("icd_code", "id")
-    rank = F.row_number().over(by_kind)
-    rows = Entities(spark, sf_dir).diagnosis.withColumn("rank", rank)
-    return rows.select("visit_id", "icd_code", scalars.slot_label(F.col("diag_type"), F.col("rank")).alias("slot"))
+    by_kind = Window.partitionBy("visit_id", "diag_type").orderBy("icd_code", "id")
+    ranked = Entities(spark, sf_dir).diagnosis.withColumn("rank", F.row_number().over(by_kind))
+    slots = ranked.where(F.col("rank") <= SECONDARY_SLOTS)
+    return slots.select("visit_id", "icd_code", scalars.slot_label(F.col("diag_type"), F.col("rank")).alias("slot"))
 
 
 # --- pivots ------------------------------------------------------------------------------

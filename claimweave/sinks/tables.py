@@ -76,7 +76,10 @@ def export_csv(
 def export_chunks(df: DataFrame, path: str, keys: list[str], rows: int = EXPORT_CHUNK_ROWS) -> None:
     """The whole table in key order, in export types, at most ``rows`` rows per file.
 
-    File names ascend with the keys: partitions are key ranges, and each is sorted.
+    File names ascend with the keys: partitions are key ranges, and each is sorted. A hash of the
+    row breaks ties, so that rows of one frequent key can be cut into several ranges.
     """
-    ordered = export_schema(df).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    typed = export_schema(df)
+    ordered = typed.withColumn("tie", F.xxhash64(*typed.columns)).repartitionByRange(*keys, "tie")
+    ordered = ordered.sortWithinPartitions(*keys, "tie").drop("tie")
     ordered.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(path)

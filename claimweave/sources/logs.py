@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimweave.operators.logs import ROWS_PER_BLOCK
-
 LOG_GLOB = "*.log"
+# More lines than a usual file split holds: only unsplittable files are cut by this.
+ROWS_PER_BLOCK = 1 << 21
 
 
 def located_lines(raw: DataFrame) -> DataFrame:
     """Lines with file, block and order, from a text scan that kept its file metadata.
 
-    A scan task reads its lines in file order, so a running id orders the lines of a split. Long
-    splits (a compressed file is always one split) are cut into blocks of a fixed number of rows.
+    A scan task reads its lines in file order, so a running id orders the lines of a split. A
+    compressed file is always one split; blocks have a largest number of rows for its sake.
     """
     row_in_task = F.col("ord").bitwiseAND(F.lit((1 << 33) - 1))
     return raw.select(

@@ -1,0 +1,72 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimweave.plans.runs import facts_per_param
+from claimweave.schemas import RUN_PARAMS_FILE
+from claimweave.session import work_folder
+from claimweave.sources import tables
+from conftest import rows
+
+
+@pytest.mark.parametrize("days, n, sizes", [(10, 3, [3, 3, 4]), (2, 5, [1, 1]), (1, 1, [1]), (31, 4, [7, 7, 7, 10])])
+def test_date_chunks(spark, days, n, sizes):
+    start = date(2024, 1, 1)
+    end = start + timedelta(days=days - 1)
+    chunks = tables.date_chunks(start, end, n)
+    assert [(b - a).days + 1 for a, b in chunks] == sizes
+    assert chunks[0][0] == start and chunks[-1][1] == end
+    assert all(b[0] == a[1] + timedelta(days=1) for a, b in zip(chunks, chunks[1:]))
+    df = spark.createDataFrame([(datetime(2024, 1, 1, 23) + timedelta(days=i),) for i in range(days)], "d timestamp_ntz")
+    counts = df.groupBy(tables.chunk_of_day(F.col("d"), start, end, n).alias("c")).count()
+    assert [c for _, c in rows(counts)] == sizes
+    for predicate, size in zip(tables.chunk_predicates("d", start, end, n), sizes):
+        assert df.where(predicate).count() == size
+
+
+def test_slices_hold_every_row_once(spark):
+    df = spark.createDataFrame([(i,) for i in range(-20, 21)] + [(None,)], "k long")
+    hits = [rows(df.where(p)) for p in tables.slice_predicates("k", 7)]
+    assert sorted(sum(hits, []), key=repr) == rows(df)
+    assert len(hits) == 7
+
+
+def test_parameter_file(spark, tmp_path):
+    names = RUN_PARAMS_FILE.fieldNames()
+    values = {**{n: "x" for n in names}, "CenterID": "'1','3'", "FromDate": "'2024-01-01'", "ToDate": "'2024-01-31'"}
+    text = ",".join(names) + "\n" + ",".join(f'"{values[n]}"' for n in names) + "\n"
+    (tmp_path / "p.csv").write_text(text, encoding="utf-8")
+    params = tables.run_params(tables.read_csv(spark, str(tmp_path / "p.csv"), RUN_PARAMS_FILE))
+    got = params.first()
+    assert (got.centers, got.from_date, got.to_date) == ("1,3", date(2024, 1, 1), date(2024, 1, 31))
+    fact = spark.createDataFrame([("1", datetime(2024, 1, 31, 23)), ("2", datetime(2024, 1, 2))], "center_id string, submission_date timestamp_ntz")
+    assert facts_per_param(fact, params).count() == 1
+
+
+def test_facts_per_param(spark):
+    params = spark.createDataFrame(
+        [(1, "1, 2", date(2024, 1, 1), date(2024, 1, 2)), (2, "", date(2024, 1, 2), date(2024, 1, 3)),
+         (3, None, date(2024, 1, 2), date(2024, 1, 2)), (4, "1", date(2024, 1, 5), date(2024, 1, 1))],
+        "param_id int, centers string, from_date date, to_date date",
+    )
+    facts = [("1", datetime(2024, 1, 2, 5)), ("2", datetime(2024, 1, 3)), ("3", datetime(2024, 1, 1)), (None, datetime(2024, 1, 2))]
+    fact = spark.createDataFrame(facts, "center_id string, submission_date timestamp_ntz")
+    got = facts_per_param(fact, params)
+    assert rows(got.select("param_id", "center_id")) == sorted(
+        [(1, "1"), (2, "1"), (3, "1"), (2, "2"), (2, None), (3, None)], key=repr
+    )
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_read_table_and_query(spark):
+    orders = tables.read_partitioned(spark, "/root/testdata/sf0.001", "orders", "o_orderkey", 4)
+    got = tables.query(spark, "SELECT count(*) AS n FROM {o} WHERE o_orderkey < :top", {"top": 5}, o=orders)
+    assert got.first().n == orders.where("o_orderkey < 5").count()
+
+
+def test_work_folder_lies_in_the_shared_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    first, second = work_folder(spark, "x"), work_folder(spark, "x")
+    assert first.startswith(base + "/x-") and first != second
