@@ -41,21 +41,19 @@ def key_join(left: DataFrame, right: DataFrame, on: dict[str, str], how: str = "
     """
     left_keys = [F.col(c).cast("string") for c in on]
     right_keys = [F.col(c).cast("string") for c in on.values()]
-    row_hash = F.xxhash64(*left_keys)
+    key_hash = F.xxhash64(*left_keys)
     if how in ("left", "left_anti"):
         any_null = reduce(lambda a, b: a | b, [k.isNull() for k in left_keys])
-        row_hash = F.when(any_null, F.xxhash64(*left.columns)).otherwise(row_hash)
-    names = range(len(on))
-    lhs = left.select("*", *[k.alias(f"_lk{i}") for i, k in zip(names, left_keys)], row_hash.alias("_lh"))
-    extra = [c for c in right.columns if c not in on.values()]
+        key_hash = F.when(any_null, F.xxhash64("*")).otherwise(key_hash)
+    left_names = [f"_left_{c}" for c in on]
+    right_names = [f"_right_{c}" for c in on.values()]
+    lhs = left.select("*", *[k.alias(n) for n, k in zip(left_names, left_keys)], key_hash.alias("_left_hash"))
     rhs = right.select(
-        *extra, *[k.alias(f"_rk{i}") for i, k in zip(names, right_keys)], F.xxhash64(*right_keys).alias("_rh")
-    )
-    matched = [F.col(f"_lk{i}") == F.col(f"_rk{i}") for i in names]
-    joined = lhs.join(rhs, reduce(lambda a, b: a & b, matched, F.col("_lh") == F.col("_rh")), how)
-    if how in ("left_semi", "left_anti"):
-        return joined.select(*left.columns)
-    return joined.select(*left.columns, *extra)
+        "*", *[k.alias(n) for n, k in zip(right_names, right_keys)], F.xxhash64(*right_keys).alias("_right_hash")
+    ).drop(*on.values())
+    matched = [F.col(a) == F.col(b) for a, b in zip(left_names, right_names)]
+    joined = lhs.join(rhs, reduce(lambda a, b: a & b, matched, F.col("_left_hash") == F.col("_right_hash")), how)
+    return joined.drop(*left_names, *right_names, "_left_hash", "_right_hash")
 
 
 def keep_keys(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:

@@ -174,28 +174,35 @@ def _pair(metric: str, key: Column) -> Column:
     return F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("key"))
 
 
-def log_stats(entries: DataFrame, top: int = 10) -> DataFrame:
-    """Statistics in long form (metric, key, value), from one pass over the entries.
+def hour_key() -> Column:
+    return F.concat(F.col("date").cast("string"), F.lit(" "), F.col("hour").cast("string"))
+
 
-    Every entry counts once per metric; the map tasks reduce that to one row per metric
-    and key, and all later steps work on those counts.
-    """
-    hour = F.concat(F.col("date").cast("string"), F.lit(" "), F.col("hour").cast("string"))
+def metric_counts(entries: DataFrame) -> DataFrame:
+    """Entries per metric and key, in one pass; the map tasks reduce to one row per metric and key."""
     pairs = F.array(
-        _pair("hour", hour),
+        _pair("hour", hour_key()),
         _pair("log_levels", F.lower("log_level")),
         _pair("top_functions", F.col("function")),
         _pair("top_usernames", F.col("username")),
         _pair("top_ips", F.col("ip")),
     )
-    counted = entries.select(F.explode(pairs).alias("p")).groupBy("p.metric", "p.key").agg(F.count("*").alias("n"))
+    return entries.select(F.explode(pairs).alias("p")).groupBy("p.metric", "p.key").agg(F.count("*").alias("n"))
+
+
+def log_stats(entries: DataFrame, top: int = 10) -> DataFrame:
+    return stats_from_counts(metric_counts(entries), top)
+
+
+def stats_from_counts(counted: DataFrame, top: int = 10) -> DataFrame:
+    """Statistics in long form (metric, key, value) from counts per metric and key."""
     is_hour = F.col("metric") == "hour"
     known_hour = F.when(is_hour & F.col("key").isNotNull(), F.col("n"))
     totals = counted.groupBy("metric", F.when(~is_hour, F.col("key")).alias("key")).agg(
         F.sum("n").alias("n"),
         F.min(F.substring("key", 1, 10)).alias("first_day"),
         F.max(F.substring("key", 1, 10)).alias("last_day"),
-        (F.sum(known_hour) / F.count(known_hour)).alias("per_hour"),
+        F.try_divide(F.sum(known_hour), F.count(known_hour)).alias("per_hour"),
         F.max(known_hour).alias("peak"),
     )
     # Levels are all reported, so each is a ranking group of its own; the others are top lists.

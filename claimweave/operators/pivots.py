@@ -7,7 +7,7 @@ holds a large share of all rows reaches its reducer as a few rows per map task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from claimweave.operators.keys import nulls_last
 from claimweave.schemas import (
@@ -22,6 +22,11 @@ def _ascending(*columns: str):
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
+def _cell(condition: str, value: str, name: str) -> Column:
+    """The largest value among the key's rows that meet the condition; null if none does."""
+    return F.expr(f"max(CASE WHEN {condition} THEN {value} END) AS {name}")
+
+
 def diag_pivot_typed(diagnosis: DataFrame) -> DataFrame:
     """Per visit the largest principal code and the first 15 secondary codes.
 
@@ -34,12 +39,8 @@ def diag_pivot_typed(diagnosis: DataFrame) -> DataFrame:
         F.when(F.col("kind") == "P", F.col("icd_code")).desc_nulls_last(), *_ascending("icd_code", "id")
     )
     kept = rows.withColumn("slot", F.row_number().over(order)).where(F.col("slot") <= SECONDARY_SLOTS)
-    secondary = [
-        F.max(F.when((F.col("kind") == "S") & (F.col("slot") == i), F.col("icd_code"))).alias(f"s{i}")
-        for i in range(1, SECONDARY_SLOTS + 1)
-    ]
-    principal = F.max(F.when(F.col("kind") == "P", F.col("icd_code"))).alias("p1")
-    return kept.groupBy("visit_id").agg(principal, *secondary)
+    secondary = [_cell(f"kind = 'S' AND slot = {i}", "icd_code", f"s{i}") for i in range(1, SECONDARY_SLOTS + 1)]
+    return kept.groupBy("visit_id").agg(_cell("kind = 'P'", "icd_code", "p1"), *secondary)
 
 
 def diag_pivot_positional(diagnosis: DataFrame) -> DataFrame:
@@ -50,18 +51,13 @@ def diag_pivot_positional(diagnosis: DataFrame) -> DataFrame:
         .withColumn("slot", F.row_number().over(order))
         .where(F.col("slot") <= len(DIAG_SLOTS))
     )
-    slots = [
-        F.max(F.when(F.col("slot") == i, F.col("icd_code"))).alias(name) for i, name in enumerate(DIAG_SLOTS, start=1)
-    ]
+    slots = [_cell(f"slot = {i}", "icd_code", name) for i, name in enumerate(DIAG_SLOTS, start=1)]
     return kept.groupBy("visit_id").agg(*slots)
 
 
 def diag_pivot_ordered(patient_diagnosis: DataFrame) -> DataFrame:
     """Slots by the recorded order: 1 is principal, 2 to 16 secondary; the largest code wins a tie."""
-    slots = [
-        F.max(F.when(F.col("diag_order") == i, F.col("diagnosis_code"))).alias(name)
-        for i, name in enumerate(DIAG_SLOTS, start=1)
-    ]
+    slots = [_cell(f"diag_order = {i}", "diagnosis_code", name) for i, name in enumerate(DIAG_SLOTS, start=1)]
     return patient_diagnosis.groupBy("visit_id").agg(*slots)
 
 
@@ -75,7 +71,7 @@ def obs_pivot(observation: DataFrame, slots: int = OBSERVATION_SLOTS) -> DataFra
         .where(F.col("slot") <= slots)
     )
     cells = [
-        F.max(F.when(F.col("slot") == i, F.col(source))).alias(f"{prefix}{i}")
+        _cell(f"slot = {i}", source, f"{prefix}{i}")
         for prefix, (source, _) in OBS_ATTRIBUTES.items()
         for i in range(1, slots + 1)
     ]

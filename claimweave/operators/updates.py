@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from claimweave.functions import scalars
 from claimweave.operators.keys import key_join, one_per_key
@@ -22,17 +22,16 @@ def take_matched(target: DataFrame, joined: DataFrame, hits: dict[str, str]) ->
     ``hits`` maps a column to its match flag; its new value is in ``new_<column>``. A matched
     row takes the new value even when that is null, an unmatched row keeps what it has.
     """
-    types = {f.name: f.dataType for f in target.schema.fields}
+    types = {f.name: f.dataType.simpleString() for f in target.schema.fields}
 
-    def updated(name: str) -> Column:
-        new = F.col(f"new_{name}")
-        if name in types:
-            return F.when(F.col(hits[name]), new.cast(types[name])).otherwise(F.col(name)).alias(name)
-        return F.when(F.col(hits[name]), new).alias(name)
+    def updated(name: str) -> str:
+        new = f"CAST(`new_{name}` AS {types[name]})" if name in types else f"`new_{name}`"
+        old = f" ELSE `{name}`" if name in types else ""
+        return f"CASE WHEN {hits[name]} THEN {new}{old} END AS `{name}`"
 
-    kept = [updated(c) if c in hits else F.col(c) for c in target.columns]
+    kept = [updated(c) if c in hits else f"`{c}`" for c in types]
     added = [updated(c) for c in hits if c not in types]
-    return joined.select(*kept, *added)
+    return joined.selectExpr(*kept, *added)
 
 
 def update_from(

@@ -180,9 +180,22 @@ def tables_of(sql: str) -> list[str]:
     return sorted({field for _, field, _, _ in Formatter().parse(sql) if field})
 
 
-def entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    sql = ENTITY_SQL[name]
-    return spark.sql(sql, **{t: read_table(spark, sf_dir, t) for t in tables_of(sql)})
+class Entities:
+    """The entities of one data folder, by attribute; each table's footer is read once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir, self._tables = spark, sf_dir, {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = read_table(self._spark, self._dir, name)
+        return self._tables[name]
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in ENTITY_SQL:
+            raise AttributeError(name)
+        sql = ENTITY_SQL[name]
+        return self._spark.sql(sql, **{t: self.table(t) for t in tables_of(sql)})
 
 
 def plain_sql(name: str) -> str:

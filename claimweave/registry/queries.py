@@ -12,7 +12,7 @@ from claimweave.operators import filters, keys, logs, pivots, projections, sets,
 from claimweave.operators.chunks import process_in_chunks
 from claimweave.plans.claim_wide import ClaimSources, build_claim_wide, select_claims
 from claimweave.plans.runs import DimSpec, refresh_dims, run_for_params
-from claimweave.registry.entities import entity
+from claimweave.registry import entities
 from claimweave.schemas import SECONDARY_SLOTS
 from claimweave.session import work_folder
 from claimweave.sinks import tables as sinks
@@ -33,14 +33,8 @@ def register(query: Query) -> Query:
     return query
 
 
-class Entities:
-    """The entities of one data folder, by attribute."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._dir = spark, sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        return entity(self._spark, self._dir, name)
+class Entities(entities.Entities):
+    """Entities plus the frames that several queries start from."""
 
     def claims(self) -> DataFrame:
         return projections.project_claim_fact(self.claim_fact)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from claimweave.operators.logs import assemble_entries
-from claimweave.schemas import LOG_ENTRY
+from claimweave.operators.logs import assemble_entries, hour_key, stats_from_counts
+from claimweave.schemas import LOG_ENTRY, contract
 from claimweave.sources.logs import LOG_GLOB, located_lines
 
 # Partial summaries per load: name -> (keys, aggregates). A gap never crosses a file and a file
@@ -18,6 +20,13 @@ PARTIALS = {
     "level": ["log_level", "function"],
 }
 
+SUMMARIES = {
+    "hourly": contract("date date, hour int, log_count long, avg_time_diff double, max_time_diff double"),
+    "user": contract("username string, count long"),
+    "ip": contract("ip string, count long"),
+    "level": contract("log_level string, function string, count long"),
+}
+
 
 def partial_summary(entries: DataFrame, keys: list[str]) -> DataFrame:
     return entries.withColumn("log_level", F.lower("log_level")).groupBy(*keys).agg(
@@ -60,7 +69,11 @@ def _load(lines: DataFrame, store: str, load_id: int) -> None:
         partial = partial_summary(saved, keys)
         _replace_load(partial, f"{store}/partials/{name}", load_id)
         partials = _loads(spark, f"{store}/partials/{name}", partial.schema)
-        merged_summary(partials, name).write.mode("overwrite").parquet(f"{store}/log_{name}_summary")
+        merged = merged_summary(partials, name).write.mode("overwrite")
+        if name == "level":
+            merged = merged.partitionBy("log_level")
+        merged.parquet(f"{store}/log_{name}_summary")
+    summary_stats(spark, store).write.mode("overwrite").parquet(f"{store}/log_stats")
 
 
 def ingest_new_logs(
@@ -100,4 +113,25 @@ def read_entries(spark: SparkSession, store: str) -> DataFrame:
 
 
 def read_summary(spark: SparkSession, store: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{store.rstrip('/')}/log_{name}_summary")
+    saved = spark.read.schema(SUMMARIES[name]).parquet(f"{store.rstrip('/')}/log_{name}_summary")
+    return saved.select(*SUMMARIES[name].fieldNames())
+
+
+def read_stats(spark: SparkSession, store: str) -> DataFrame:
+    return spark.read.parquet(f"{store.rstrip('/')}/log_stats")
+
+
+def summary_stats(spark: SparkSession, store: str) -> DataFrame:
+    """The statistics table over all loads, from the summaries instead of the entries."""
+
+    def counts(name: str, metric: str, key: Column, n: str = "count") -> DataFrame:
+        return read_summary(spark, store, name).select(F.lit(metric).alias("metric"), key.alias("key"), F.col(n).alias("n"))
+
+    parts = [
+        counts("hourly", "hour", hour_key(), "log_count"),
+        counts("level", "log_levels", F.col("log_level")),
+        counts("level", "top_functions", F.col("function")),
+        counts("user", "top_usernames", F.col("username")),
+        counts("ip", "top_ips", F.col("ip")),
+    ]
+    return stats_from_counts(reduce(DataFrame.unionByName, parts))

@@ -39,6 +39,7 @@ def test_increments_in_any_order_equal_a_full_reload(spark, tmp_path):
     assert incremental[1]["hourly"] == rows(logs.hourly_summary(direct))
     assert incremental[1]["user"] == rows(logs.count_by(direct, "username"))
     assert incremental[1]["level"] == rows(logs.level_counts(direct))
+    assert rows(ingest.read_stats(spark, store)) == rows(logs.log_stats(direct))
 
 
 def test_a_file_loads_once(spark, tmp_path):
