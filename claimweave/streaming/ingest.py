@@ -11,14 +11,18 @@ from claimweave.operators.logs import assemble_entries, hour_key, stats_from_cou
 from claimweave.schemas import LOG_ENTRY, contract
 from claimweave.sources.logs import LOG_GLOB, located_lines
 
-# Partial summaries per load: name -> (keys, aggregates). A gap never crosses a file and a file
-# belongs to one load, so the partial values of all loads merge exactly.
-PARTIALS = {
+# Summary -> its keys. A gap never crosses a file and a file belongs to one load, so partial
+# values (count, gap sum, gap count, gap maximum) of all loads merge exactly.
+SUMMARY_KEYS = {
     "hourly": ["date", "hour"],
     "user": ["username"],
     "ip": ["ip"],
     "level": ["log_level", "function"],
 }
+PARTIALS = contract(
+    "date date, hour int, username string, ip string, log_level string, function string, "
+    "n long, gap_sum double, gap_n long, gap_max double, summary string"
+)
 
 SUMMARIES = {
     "hourly": contract("date date, hour int, log_count long, avg_time_diff double, max_time_diff double"),
@@ -28,18 +32,25 @@ SUMMARIES = {
 }
 
 
-def partial_summary(entries: DataFrame, keys: list[str]) -> DataFrame:
-    return entries.withColumn("log_level", F.lower("log_level")).groupBy(*keys).agg(
+def partial_summaries(entries: DataFrame) -> DataFrame:
+    """Partial values of all summaries, from one pass over the entries."""
+    keys = [k for columns in SUMMARY_KEYS.values() for k in columns]
+    summary = reduce(
+        lambda case, s: case.when(F.grouping(SUMMARY_KEYS[s][0]) == 0, s), SUMMARY_KEYS, F.when(F.lit(False), "")
+    )
+    grouped = entries.withColumn("log_level", F.lower("log_level")).groupingSets(list(SUMMARY_KEYS.values()), *keys)
+    return grouped.agg(
         F.count("*").alias("n"),
         F.sum("time_diff_seconds").alias("gap_sum"),
         F.count("time_diff_seconds").alias("gap_n"),
         F.max("time_diff_seconds").alias("gap_max"),
+        summary.alias("summary"),
     )
 
 
 def merged_summary(partials: DataFrame, name: str) -> DataFrame:
-    """The summary table over all loads, from their partial values."""
-    grouped = partials.groupBy(*PARTIALS[name])
+    """One summary table over all loads, from their partial values."""
+    grouped = partials.where(F.col("summary") == name).groupBy(*SUMMARY_KEYS[name])
     if name != "hourly":
         return grouped.agg(F.sum("n").alias("count"))
     mean = F.try_divide(F.sum("gap_sum"), F.sum("gap_n"))
@@ -48,12 +59,12 @@ def merged_summary(partials: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _replace_load(df: DataFrame, path: str, load_id: int) -> None:
+def _replace_load(df: DataFrame, path: str, load_id: int, *partitions: str) -> None:
     """Write one load's partition. The first load of a checkpoint starts the table afresh, and a
     repeated load replaces itself, so a retry after a failure changes nothing."""
     mode = "static" if load_id == 0 else "dynamic"
     writer = df.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", mode).partitionBy("load_id").parquet(path)
+    writer.option("partitionOverwriteMode", mode).partitionBy("load_id", *partitions).parquet(path)
 
 
 def _loads(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -65,10 +76,9 @@ def _load(lines: DataFrame, store: str, load_id: int) -> None:
     spark = lines.sparkSession
     _replace_load(assemble_entries(located_lines(lines)), f"{store}/log_entries", load_id)
     saved = _loads(spark, f"{store}/log_entries", LOG_ENTRY).where(F.col("load_id") == load_id)
-    for name, keys in PARTIALS.items():
-        partial = partial_summary(saved, keys)
-        _replace_load(partial, f"{store}/partials/{name}", load_id)
-        partials = _loads(spark, f"{store}/partials/{name}", partial.schema)
+    _replace_load(partial_summaries(saved), f"{store}/partials", load_id, "summary")
+    partials = _loads(spark, f"{store}/partials", PARTIALS)
+    for name in SUMMARY_KEYS:
         merged = merged_summary(partials, name).write.mode("overwrite")
         if name == "level":
             merged = merged.partitionBy("log_level")

@@ -18,7 +18,7 @@ def write(folder, name, text):
 
 
 def state(spark, store):
-    tables = {n: rows(ingest.read_summary(spark, store, n)) for n in ingest.PARTIALS}
+    tables = {n: rows(ingest.read_summary(spark, store, n)) for n in ingest.SUMMARY_KEYS}
     return rows(ingest.read_entries(spark, store).select(*COLUMNS)), tables
 
 
