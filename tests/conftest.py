@@ -14,9 +14,11 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
+            # Tiny inputs: compiling a stage would take longer than running it interpreted.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
         },
     )
