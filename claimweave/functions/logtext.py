@@ -44,11 +44,11 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def header_fields(line: Column, pattern: str = HEADER, names: list[str] = HEADER_FIELDS) -> list[Column]:
-    """One column per capture group, null where the line is no header."""
+    """One column per capture group of a header line. A null line gives nulls; other lines must not occur."""
     rx = anchored(pattern)
     fields = []
     for group, name in enumerate(names, start=1):
-        value = F.when(line.rlike(rx), F.regexp_extract(line, rx, group))
+        value = F.regexp_extract(line, rx, group)
         if name == "timestamp":
             value = parse_timestamp(value)
         elif name == "message":
@@ -57,6 +57,11 @@ def header_fields(line: Column, pattern: str = HEADER, names: list[str] = HEADER
     return fields
 
 
+def header_or_null(line: Column, pattern: str = HEADER) -> Column:
+    """The line if it is a header of the given layout, else null."""
+    return F.when(matches(line, pattern), line)
+
+
 def function_name(message: Column) -> Column:
     rx = anchored(CALL_PREFIX)
     return F.when(message.rlike(rx), F.regexp_extract(message, rx, 1)).otherwise("unknown")

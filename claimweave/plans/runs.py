@@ -24,7 +24,12 @@ def facts_per_param(fact: DataFrame, params: DataFrame, date_column: str = "subm
     )
     asked = F.filter("asked", lambda c: c != "")
     active = periods.select("param_id", "run_day", asked.alias("asked"))
-    dated = fact.withColumn("fact_day", F.to_date(date_column))
+    # The span of all periods, as scalar subqueries: scans can skip whatever lies outside.
+    span = params.where(F.col("from_date") <= F.col("to_date"))
+    first = span.agg(F.min("from_date")).scalar()
+    after = span.agg(F.date_add(F.max("to_date"), 1)).scalar()
+    inside = fact.where((F.col(date_column) >= first) & (F.col(date_column) < after))
+    dated = inside.withColumn("fact_day", F.to_date(date_column))
     in_center = (F.size("asked") == 0) | F.array_contains("asked", F.col("center_id").cast("string"))
     matched = dated.join(active, (F.col("fact_day") == F.col("run_day")) & F.coalesce(in_center, F.lit(False)))
     return matched.select("param_id", *fact.columns)
@@ -52,6 +57,24 @@ class DimSpec:
         return self.source.select(*self.columns) if self.columns else self.source
 
 
+# The masters, and the columns kept of those that are not copied whole.
+MASTERS: dict[str, tuple[str, ...]] = {
+    "department": ("dept_id", "dept_name"),
+    "doctor": ("doctor_id", "doctor_name", "dept_id"),
+    "hospital_center": (),
+    "insurance_category": (),
+    "insurance_company": ("insurance_co_id", "insurance_co_name"),
+    "insurance_plan": (),
+    "organization": (),
+    "tpa": (),
+}
+
+
+def master_specs(sources: dict[str, DataFrame], whole: bool = False) -> list[DimSpec]:
+    """Copies of the given masters with the columns the enrichment needs, or with all of them."""
+    return [DimSpec(name, df, () if whole else MASTERS[name]) for name, df in sources.items()]
+
+
 def refresh_dims(specs: list[DimSpec], target: str) -> dict[str, bool]:
     """Full copies of the masters; an empty source leaves the old copy in place."""
     return {s.name: write_overwrite(s.frame(), f"{target.rstrip('/')}/{s.name}") for s in specs}

@@ -379,11 +379,16 @@ ORACLES: dict[str, str] = {
                       WHERE o_orderdate >= DATE '1996-01-01' AND o_orderdate < DATE '1998-01-01'
                       GROUP BY o_orderstatus""",
     "master_refresh": with_entities(
-        "dim_doctor dim_department dim_insurance_company dim_plan",
-        """SELECT 'doctor' AS master, doctor_id AS id, doctor_name AS name FROM dim_doctor
-           UNION ALL SELECT 'department', dept_id, dept_name FROM dim_department
+        "dim_department dim_doctor dim_center dim_insurance_category dim_insurance_company dim_plan "
+        "dim_organization dim_tpa",
+        """SELECT 'department' AS master, dept_id AS id, dept_name AS name FROM dim_department
+           UNION ALL SELECT 'doctor', doctor_id, doctor_name FROM dim_doctor
+           UNION ALL SELECT 'hospital_center', CAST(center_id AS VARCHAR), center_name FROM dim_center
+           UNION ALL SELECT 'insurance_category', category_id, category_name FROM dim_insurance_category
            UNION ALL SELECT 'insurance_company', insurance_co_id, insurance_co_name FROM dim_insurance_company
-           UNION ALL SELECT 'plan', CAST(plan_id AS VARCHAR), plan_name FROM dim_plan""",
+           UNION ALL SELECT 'insurance_plan', CAST(plan_id AS VARCHAR), plan_name FROM dim_plan
+           UNION ALL SELECT 'organization', org_id, org_name FROM dim_organization
+           UNION ALL SELECT 'tpa', tpa_id, tpa_name FROM dim_tpa""",
     ),
     "load_audit": with_entities(
         "claim_fact",

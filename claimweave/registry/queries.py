@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -11,7 +12,7 @@ from claimweave.functions import logtext, scalars
 from claimweave.operators import filters, keys, logs, pivots, projections, sets, staging, updates
 from claimweave.operators.chunks import process_in_chunks
 from claimweave.plans.claim_wide import ClaimSources, build_claim_wide, select_claims
-from claimweave.plans.runs import DimSpec, refresh_dims, run_for_params
+from claimweave.plans.runs import master_specs, refresh_dims, run_for_params
 from claimweave.registry import entities
 from claimweave.schemas import SECONDARY_SLOTS
 from claimweave.session import work_folder
@@ -208,21 +209,24 @@ def param_query(spark, sf_dir):
 def master_refresh(spark, sf_dir):
     e = Entities(spark, sf_dir)
     target = work_folder(spark, "masters")
-    specs = [
-        DimSpec("doctor", e.dim_doctor, ("doctor_id", "doctor_name")),
-        DimSpec("department", e.dim_department, ("dept_id", "dept_name")),
-        DimSpec("insurance_company", e.dim_insurance_company, ("insurance_co_id", "insurance_co_name")),
-        DimSpec("plan", e.dim_plan, ("plan_id", "plan_name")),
-    ]
-    refresh_dims(specs, target)
-    copies = [
-        spark.read.parquet(f"{target}/{s.name}").toDF("id", "name").select(F.lit(s.name).alias("master"), F.col("id").cast("string"), "name")
-        for s in specs
-    ]
-    merged = copies[0]
-    for copy in copies[1:]:
-        merged = merged.unionByName(copy)
-    return merged
+    sources = {
+        "department": e.dim_department,
+        "doctor": e.dim_doctor,
+        "hospital_center": e.dim_center,
+        "insurance_category": e.dim_insurance_category,
+        "insurance_company": e.dim_insurance_company,
+        "insurance_plan": e.dim_plan,
+        "organization": e.dim_organization,
+        "tpa": e.dim_tpa,
+    }
+    refresh_dims(master_specs(sources), target)
+
+    def copy(name: str) -> DataFrame:
+        saved = spark.read.parquet(f"{target}/{name}")
+        key, label = (F.col(c).cast("string") for c in saved.columns[:2])
+        return saved.select(F.lit(name).alias("master"), key.alias("id"), label.alias("name"))
+
+    return reduce(DataFrame.unionByName, [copy(name) for name in sources])
 
 
 # --- counts and scalars ------------------------------------------------------------------

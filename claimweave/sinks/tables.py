@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from claimweave.operators.filters import between_days, center_list, filter_centers
-from claimweave.operators.projections import export_schema
+from claimweave.operators.projections import export_schema, split_registration_and_patient
 from claimweave.operators.sets import upsert
 from claimweave.session import work_folder
 
@@ -47,6 +48,17 @@ def upsert_table(path: str, updates: DataFrame, keys: list[str], latest: str | N
     write_overwrite(upsert(target, updates, keys, latest), path)
 
 
+def write_patient_extract(joined: DataFrame, folder: str) -> None:
+    """Write one extracted frame as its registration and patient tables, computing it once."""
+    kept = joined.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        registration, patient = split_registration_and_patient(kept)
+        write_overwrite(registration, f"{folder.rstrip('/')}/registration")
+        write_overwrite(patient, f"{folder.rstrip('/')}/patient")
+    finally:
+        kept.unpersist()
+
+
 def seed_claims(staging: DataFrame) -> DataFrame:
     """Visit-grain variant: the wide table starts as the staged patients and visits."""
     return staging.select(F.col("patient_id").alias("patientid"), "visit_id")

@@ -3,7 +3,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from claimweave.plans.runs import DimSpec, refresh_dims
+from claimweave.operators.projections import PATIENT_PART, REGISTRATION_PART
+from claimweave.plans.runs import DimSpec, master_specs, refresh_dims
 from claimweave.sinks import tables as sinks
 from claimweave.sources.tables import read_csv
 from conftest import rows
@@ -76,3 +77,20 @@ def test_refresh_dims(spark, tmp_path):
     assert refresh_dims(specs, str(tmp_path)) == {"department": True, "whole": True}
     assert rows(spark.read.parquet(str(tmp_path / "department"))) == [("1", "Eye")]
     assert spark.read.parquet(str(tmp_path / "whole")).columns == ["dept_id", "dept_name", "status"]
+
+
+def test_master_specs(spark, tmp_path):
+    doctors = spark.createDataFrame([("d", "A", "1", "extra")], "doctor_id string, doctor_name string, dept_id string, mail string")
+    tpa = spark.createDataFrame([("t", "T", "x")], "tpa_id string, tpa_name string, city string")
+    refresh_dims(master_specs({"doctor": doctors, "tpa": tpa}), str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "doctor")).columns == ["doctor_id", "doctor_name", "dept_id"]
+    assert spark.read.parquet(str(tmp_path / "tpa")).columns == tpa.columns
+    assert master_specs({"doctor": doctors}, whole=True)[0].frame().columns == doctors.columns
+
+
+def test_patient_extract(spark, tmp_path):
+    row = {c: f"{c}-1" for c in REGISTRATION_PART + PATIENT_PART}
+    joined = spark.createDataFrame([tuple(row.values())], ", ".join(f"{c} string" for c in row))
+    sinks.write_patient_extract(joined, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "registration")).columns == REGISTRATION_PART
+    assert spark.read.parquet(str(tmp_path / "patient")).first().mr_no == "mr_no-1"

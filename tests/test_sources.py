@@ -70,3 +70,25 @@ def test_work_folder_lies_in_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = work_folder(spark, "x"), work_folder(spark, "x")
     assert first.startswith(base + "/x-") and first != second
+
+
+class RecordingReader:
+    """Stands in for a session where a relational scan would need a database."""
+
+    def __init__(self):
+        self.read, self.calls = self, []
+
+    def jdbc(self, url, table, **options):
+        self.calls.append((url, table, options))
+        return "frame"
+
+
+def test_relational_scans(spark):
+    source = tables.JdbcSource("jdbc:some:url", {"user": "u"}, fetch_size=7)
+    session = RecordingReader()
+    assert tables.read_table(session, source, "bill") == "frame"
+    tables.read_partitioned(session, source, "SELECT * FROM bill", "bill_no", 3)
+    (url, table, options), (_, query, sliced) = session.calls
+    assert (url, table, options) == ("jdbc:some:url", "bill", {"properties": {"fetchsize": "7", "user": "u"}})
+    assert query == "(SELECT * FROM bill) as src"
+    assert sliced["predicates"] == tables.slice_predicates("bill_no", 3)
