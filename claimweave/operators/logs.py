@@ -64,40 +64,48 @@ def time_gaps(entries: DataFrame) -> DataFrame:
     return own.join(following, ["file", "block"]).select(*entries.columns, gap)
 
 
-def _pieces(lines: DataFrame) -> DataFrame:
-    """A header with its continuation lines, as far as one block holds them; piece 0 has no header."""
+def _numbered(lines: DataFrame) -> DataFrame:
+    """Stripped lines with their number in the block and the number of headers up to them (the piece)."""
     text = strip(F.col("line"))
     marked = lines.select(
         "file", "block", "ord", text.alias("text"), logtext.matches(text, logtext.HEADER).alias("is_header")
     )
     in_block = Window.partitionBy("file", "block").orderBy("ord")
-    numbered = marked.withColumns(
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return marked.withColumns(
         {
-            "piece": F.sum(F.col("is_header").cast("long")).over(
-                in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            ),
+            "piece": F.sum(F.col("is_header").cast("long")).over(so_far),
             "line_no": F.row_number().over(in_block),
         }
     )
-    continuation = ~F.col("is_header") & (F.col("text") != "")
-    more = F.sort_array(F.collect_list(F.when(continuation, F.struct("line_no", "text"))))
-    pieces = numbered.groupBy("file", "block", "piece").agg(
+
+
+def _continuations(condition: Column) -> Column:
+    """The non-blank continuation lines that meet the condition, in order, as an aggregate."""
+    wanted = ~F.col("is_header") & (F.col("text") != "") & condition
+    ordered = F.sort_array(F.collect_list(F.when(wanted, F.struct("line_no", "text"))))
+    return F.transform(ordered, lambda x: x["text"])
+
+
+def _pieces(numbered: DataFrame) -> DataFrame:
+    """Headers with their continuation lines, as far as their own block holds them."""
+    pieces = numbered.where(F.col("piece") > 0).groupBy("file", "block", "piece").agg(
         F.max(F.when(F.col("is_header"), F.col("text"))).alias("head"),
         F.min("line_no").alias("first_line"),
-        F.count("*").alias("lines"),
-        F.transform(more, lambda x: x["text"]).alias("more"),
+        _continuations(F.lit(True)).alias("more"),
     )
-    return pieces.select("file", "block", "piece", "first_line", "lines", "more", *logtext.header_fields(F.col("head")))
+    return pieces.select("file", "block", "piece", "first_line", "more", *logtext.header_fields(F.col("head")))
 
 
-def _block_context(pieces: DataFrame) -> DataFrame:
+def _block_context(numbered: DataFrame) -> DataFrame:
     """Per block with a header: lines before it, the next block's first entry, lines carried over from later blocks."""
-    stats = pieces.groupBy("file", "block").agg(
-        F.sum("lines").alias("lines"),
+    stats = numbered.groupBy("file", "block").agg(
+        F.count("*").alias("lines"),
         F.max("piece").alias("pieces"),
-        F.max(F.when(F.col("piece") == 1, F.col("timestamp"))).alias("first"),
-        F.flatten(F.collect_list(F.when(F.col("piece") == 0, F.col("more")))).alias("orphans"),
+        F.min_by("text", F.when(F.col("is_header"), F.col("line_no"))).alias("head"),
+        _continuations(F.col("piece") == 0).alias("orphans"),
     )
+    stats = stats.withColumn("first", logtext.header_fields(F.col("head"))[0])
     forward = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     backward = Window.partitionBy("file").orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     has_header = F.col("pieces") > 0
@@ -131,8 +139,8 @@ def _block_context(pieces: DataFrame) -> DataFrame:
 
 def assemble_entries(lines: DataFrame) -> DataFrame:
     """Complete log entries: header fields, joined continuation lines, line number and time gap."""
-    pieces = _pieces(lines)
-    entries = pieces.where(F.col("piece") > 0).join(_block_context(pieces), ["file", "block"])
+    numbered = _numbered(lines)
+    entries = _pieces(numbered).join(_block_context(numbered), ["file", "block"])
     last_of_block = F.col("piece") == F.col("pieces")
     in_block = Window.partitionBy("file", "block").orderBy("piece")
     parts = F.when(last_of_block, F.concat("more", "carried")).otherwise(F.col("more"))
