@@ -3,7 +3,9 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from claimweave.registry.oracles import ORACLES
+from claimweave.registry.queries import QUERIES
 from check_queries import TABLES, normalised
 
 SF = "/root/testdata/sf0.001"
@@ -18,13 +20,13 @@ def db():
 
 
 def test_every_query_has_a_check():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_its_check(spark, db, name):
-    mine = queries()[name](spark, SF).toPandas()
-    expected = db.execute(oracle_sql()[name]).df()
+    mine = QUERIES[name](spark, SF).toPandas()
+    expected = db.execute(ORACLES[name]).df()
     assert sorted(mine.columns) == sorted(expected.columns)
     assert len(mine) == len(expected)
     assert normalised(mine) == normalised(expected)
