@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontamination, line_dedup, sharding, token_counts
+from llm import decontamination, line_dedup, sharding, token_counts, toxicity
 from llm.common import read_table
 
 
@@ -16,6 +16,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(read_table(spark, sf_dir, "documents"))
 
@@ -28,6 +34,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_line_dedup": op3_line_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
     "op10_token_counts": op10_token_counts,
 }
