@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontamination, line_dedup, sharding, token_counts, toxicity
+from llm import decontamination, embedding_dedup, line_dedup, sharding, token_counts, toxicity
 from llm.common import read_table
 
 
@@ -26,6 +26,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(read_table(spark, sf_dir, "documents"))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, model="piece_bpe_32k.model", limit=4096)
@@ -36,6 +40,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
+    "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_token_counts": op10_token_counts,
 }
 ORACLES: dict[str, str] = {"op3_line_dedup": line_dedup.PAGES_SQL}
