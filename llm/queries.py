@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontamination, embedding_dedup, line_dedup, sharding, token_counts, toxicity
+from llm import decontamination, embedding_dedup, jaccard_join, line_dedup, sharding, token_counts, toxicity
 from llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_links(read_table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
@@ -38,6 +42,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_line_dedup": op3_line_dedup,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
