@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontamination, embedding_dedup, jaccard_join, line_dedup, sharding, token_counts, toxicity
+from llm import decontamination, embedding_dedup, jaccard_join, line_dedup, packing, sharding, token_counts, toxicity
 from llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents")).drop("ids")
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_links(read_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_line_dedup": op3_line_dedup,
+    "op4_packing": op4_packing,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
