@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontamination, embedding_dedup, jaccard_join, line_dedup, packing, sharding, token_counts, toxicity
+from llm import decontamination, embedding_dedup, jaccard_join, line_dedup, packing, runlength_dedup, sharding, token_counts, toxicity
 from llm.common import read_table
 
 
@@ -20,6 +20,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op5_runlength_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runlength_dedup.dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_links(read_table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_line_dedup": op3_line_dedup,
     "op4_packing": op4_packing,
+    "op5_runlength_dedup": op5_runlength_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_toxicity": op7_toxicity,
     "op8_sharding": op8_sharding,
