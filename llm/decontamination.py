@@ -180,13 +180,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", wid
     """docs without what occurs in the benchmark; the columns of docs stay.
 
     A document whose words are hit for a share of drop_share or more is dropped; from others the hit spans are cut. drop_share=0 drops
-    every hit document, a value over 1 drops none. Documents without a hit, null texts included, stay as they are.
+    every hit document, a value over 1 drops none. Documents without a hit, null texts included, stay as they are. A column n_chars
+    follows the texts that are cut.
     """
     found = scan(docs, benchmark, text, width, most)
     names, at = docs.columns, docs.columns.index(text)
+    count_at = names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            new_counts = batch.column(count_at).to_pylist() if count_at is not None else []
             texts, keep = batch.column(at).to_pylist(), np.ones(batch.num_rows, bool)
             n_words, hits = batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()
             for k, own in enumerate(hits):
@@ -198,7 +201,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", wid
                         rest.append(raw[left:a])
                         left = b
                     texts[k] = b"".join([*rest, raw[left:]]).decode()
-            columns = [pa.array(texts, batch.column(k).type) if k == at else batch.column(k) for k in range(len(names))]
+                    if count_at is not None:
+                        new_counts[k] = len(texts[k])
+            changed = {at: texts, count_at: new_counts}
+            columns = [pa.array(changed[k], batch.column(k).type) if k in changed else batch.column(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
 
     return found.mapInArrow(run, docs.schema)

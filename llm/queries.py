@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from llm import decontamination, embedding_dedup, jaccard_join, line_dedup, packing, runlength_dedup, sharding, token_counts, toxicity
 from llm.common import read_table
 
@@ -57,5 +58,6 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_token_counts": op10_token_counts,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {"op3_line_dedup": line_dedup.PAGES_SQL}
