@@ -34,7 +34,9 @@ TOLERANCE = 1e-6
 STEP = 16
 BLOCK = 1024
 ROWS_PER_TASK = 20_000
-SET_BYTES_PER_TASK = 24 << 20
+SET_BYTES_PER_TASK = 6 << 20
+SET_BLOCK = 512
+LEAST_TASKS = 32
 
 _rng = np.random.default_rng(20_240_501)
 _MUL = (_rng.integers(0, 1 << 32, VALUES, dtype=np.uint32) | np.uint32(1)).astype(np.uint32)
@@ -182,7 +184,7 @@ def candidate_edges(classes: DataFrame, bounds: list[tuple[int, int]], block: in
     sizes = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     met = stored(bands.join(sizes, "band"), "buckets")
     dealt = _in_blocks(met.join(classes.select("uid", "sig"), "uid"), "band", "n", block)
-    tasks = max(1, -(-met.count() // rows_per_task))
+    tasks = max(LEAST_TASKS, -(-met.count() // rows_per_task))
     dealt = dealt.withColumn("task", F.pmod(F.xxhash64("band", "lo", "hi"), F.lit(tasks)))
 
     def compare(table: pa.Table) -> pa.Table:
@@ -307,8 +309,8 @@ def _linked(docs: DataFrame, doc_id: str, text: str, width: int, threshold: floa
     same = F.col("id").eqNullSafe(F.col("rep_id")) & F.col("text_md5").eqNullSafe(F.col("rep_md5"))
     grams = _grams(texts.join(wanted, same).select("digest", "uid", "text"), width).groupBy("uid").agg(F.min("grams").alias("grams"))
     members = stored(clusters.select("uid", "label", "size", "sig", "members").join(grams, "uid"), "cluster-sets")
-    volume = members.agg(F.sum(F.length("grams") * F.ceil(F.col("size") / block))).first()[0] or 0
-    links = stored(verified_links(members, bounds, threshold, block, max(1, -(-int(volume) // SET_BYTES_PER_TASK))), "jaccard-links")
+    volume = members.agg(F.sum(F.length("grams") * F.ceil(F.col("size") / SET_BLOCK))).first()[0] or 0
+    links = stored(verified_links(members, bounds, threshold, min(block, SET_BLOCK), max(LEAST_TASKS, -(-int(volume) // SET_BYTES_PER_TASK))), "jaccard-links")
     counts = links.groupBy("uid").agg(F.sum("n").alias("n"))
     final = components(links.select(F.col("uid").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "uid")
     named = classes.select("digest", "uid", "members", "rep").join(counts, "uid", "left").join(final, "uid", "left")
