@@ -13,7 +13,10 @@
 
 from __future__ import annotations
 
+import re
 import zlib
+
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,15 +37,30 @@ TOKENS_PER_PARTITION = 8_000_000
 QUERY_WORDS = 16
 NEIGHBOURS = 48
 K1, B = 1.2, 0.75
-#: Pieces of text kept per Python worker with their ids, about 200 bytes each.
-MAX_KNOWN = 600_000
+#: Pieces of text kept per Python worker with their ids, about 200 bytes each; twice as many at most.
+MAX_KNOWN = 200_000
 
 # How the vocabulary's file splits words, for characters below U+0250, which its normaliser only lower-cases.
 _PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+_MARKS = re.compile(r"(?:[^\w ]|[_İ])[.,] ")
+_WIDE = re.compile("[^\x00-\u024f]")
+
+
+class _Table(dict):
+    """Ids of pieces, computed when first asked for. The table before is kept behind it, so frequent pieces live on."""
+
+    def __init__(self, compute, old: dict[str, bytes]):
+        super().__init__()
+        self.compute, self.old = compute, old
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.old.get(piece)
+        self[piece] = found = self.compute(piece) if found is None else found
+        return found
 
 
-class Ids(dict):
-    """Ids, as bytes, of pieces of text between spaces and newlines, which no token crosses; found by the library, then remembered."""
+class Ids:
+    """Ids, as bytes, of texts by way of their pieces between spaces, which no token crosses; found by the library, then remembered."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -51,40 +69,57 @@ class Ids(dict):
         self.library.no_truncation()
         self.library.no_padding()
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code, self.model = "HI"[self.dtype.itemsize // 4], self.library.model
         self.words: dict[str, bytes] = {}
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte alphabet of byte-level vocabularies
         hidden = [b for b in range(256) if b not in visible]
         self.letters = {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
-        # The short way below is taken only if it agrees with the library on a probe.
-        probe = "don't THE Façade, x1²½ a_b--c!! naïve's ÀÉ"
-        self.short_way = b"".join(map(self.piece, probe.split(" "))) == self.whole(probe)
+        self.ends_word = np.zeros(1 << 16 if self.dtype.itemsize == 2 else self.library.get_vocab_size(), bool)
+        for token, k in self.library.get_vocab().items():
+            self.ends_word[k] = token.endswith("</w>")
+        # The short way is taken only if it agrees with the library on a probe.
+        probe = "don't THE Façade, x1²½ a_b--c!! naïve's ÀÉ. So, (a), b"
+        self.table = _Table(self.piece, {})
+        self.short_way = True
+        self.short_way = self.of(probe) == self.whole(probe)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def word(self, part: str) -> bytes:
+        letters = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def known_word(self, part: str) -> bytes:
         found = self.words.get(part)
         if found is None:
-            if len(self.words) >= MAX_KNOWN:
+            if len(self.words) >= MAX_KNOWN // 2:
                 self.words.clear()
-            letters = "".join(map(self.letters.__getitem__, part.encode()))
-            found = self.words[part] = np.array([t.id for t in self.library.model.tokenize(letters)], self.dtype).tobytes()
+            found = self.words[part] = self.word(part)
         return found
 
     def piece(self, piece: str) -> bytes:
         """By the library's own model, past its normaliser and splitter, which do nothing but lower-case and split here."""
-        if piece.isprintable() and max(piece, default="a") < "ɐ" and "<|" not in piece:
-            return b"".join(map(self.word, _PART.findall(piece.lower())))
-        return self.whole(piece)
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MAX_KNOWN:
-            self.clear()
-        self[piece] = found = self.piece(piece) if self.short_way else self.whole(piece)
-        return found
+        if not piece.isprintable() or _WIDE.search(piece) or "<|" in piece:
+            return self.whole(piece)
+        piece = piece.lower()
+        if piece.isascii() and piece.isalpha():
+            return self.word(piece)
+        parts = _PART.findall(piece)
+        return self.word(parts[0]) if len(parts) == 1 else b"".join(map(self.known_word, parts))
 
     def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        if not self.short_way:
+            return self.whole(text)
+        if len(self.table) >= MAX_KNOWN:
+            self.table = _Table(self.piece, dict(self.table))
+        text = text.replace("\n", " ")
+        # Commas and stops behind a letter or digit are words of their own anyway; apart, the words before them are known more often.
+        if not _MARKS.search(text):
+            text = text.replace(", ", " , ").replace(". ", " . ")
+        if not _WIDE.search(text):
+            text = text.lower()
+        return b"".join(map(self.table.__getitem__, text.split(" ")))
 
 
 _known: dict[str, Ids] = {}
@@ -115,13 +150,6 @@ def _slots(ids: np.ndarray, rows: np.ndarray, ends_word: np.ndarray) -> tuple[np
     return rows[starts], (mixed(np.add.reduceat(h, starts)) >> np.uint64(64 - SLOTS_BITS)).astype(np.int64)
 
 
-def _ends_word(ids: Ids) -> np.ndarray:
-    out = np.zeros(1 << 16 if ids.dtype.itemsize == 2 else ids.library.get_vocab_size(), bool)
-    for token, k in ids.library.get_vocab().items():
-        out[k] = token.endswith("</w>")
-    return out
-
-
 def _words_of(column: pa.Array, ends_word: np.ndarray, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, slot, times) of the distinct words of tails, whose ids are given as bytes."""
     data, offsets, _ = utf8(column)
@@ -170,7 +198,7 @@ def word_frequencies(tails: DataFrame, path: str) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = ids_of(path)
-        ends, total = _ends_word(known), np.zeros(1 << SLOTS_BITS, np.int64)
+        ends, total = known.ends_word, np.zeros(1 << SLOTS_BITS, np.int64)
         for batch in batches:
             for a in range(0, batch.num_rows, 2048):
                 total += np.bincount(_words_of(batch.column(0).slice(a, 2048), ends, known.dtype)[1], minlength=len(total))
@@ -308,7 +336,7 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = "word_bpe_49k.
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = ids_of(path)
-        ends, (rarity, common) = _ends_word(known), shared.value
+        ends, (rarity, common) = known.ends_word, shared.value
         for batch in batches:
             for a in range(0, batch.num_rows, 2048):
                 part = batch.slice(a, 2048)
@@ -323,7 +351,7 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = "word_bpe_49k.
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = ids_of(path)
-        ends, (rarity, _) = _ends_word(known), shared.value
+        ends, (rarity, _) = known.ends_word, shared.value
         packer, kind = _Packer(window, TaskContext.get().partitionId() << 32, known.dtype), None
 
         def flush() -> pa.RecordBatch:

@@ -160,6 +160,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: i
 
     rows = training_rows(docs, labels, label, max_train).repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
     got = rows.select("label", "text").mapInArrow(run, "hashes binary, weights binary, bias double").first()
+    if got is None:  # no labelled document
+        return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0)
     return Model(np.frombuffer(bytes(got.hashes), np.uint64), np.frombuffer(bytes(got.weights), np.float64), got.bias)
 
 
