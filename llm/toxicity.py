@@ -72,14 +72,19 @@ def fit(texts: list[pa.Array], labels: np.ndarray, s: Settings = Settings(), max
                 for own in np.split(h[order], np.cumsum(np.bincount(row, minlength=b - a))[:-1]):
                     yield np.unique(own)
 
-    # Features of fewer than MIN_DOCS texts are left out; counting them in 2^24 slots may keep a few more.
+    # Three scans keep memory low. Features of fewer than MIN_DOCS texts are left out; counting them in 2^24 slots may keep a few more.
     seen = np.zeros(1 << 24, np.uint16)
     for own in documents():
         slot = np.unique(own >> np.uint64(40))
         seen[slot] = np.minimum(seen[slot], 65534) + 1
-    kept = [own[seen[own >> np.uint64(40)] >= MIN_DOCS] for own in documents()]
-    vocabulary = np.unique(np.concatenate(kept))
-    kept = [np.searchsorted(vocabulary, own).astype(np.int32) for own in kept]
+    vocabulary, held = np.zeros(0, np.uint64), []
+    for own in documents():
+        held.append(own[seen[own >> np.uint64(40)] >= MIN_DOCS])
+        if len(held) == 2000:
+            vocabulary, held = np.union1d(vocabulary, np.concatenate(held)), []
+    vocabulary = np.union1d(vocabulary, np.concatenate([*held, vocabulary[:0]]))
+    kept = [np.searchsorted(vocabulary, own[seen[own >> np.uint64(40)] >= MIN_DOCS]).astype(np.int32) for own in documents()]
+    del seen
 
     everyone = np.arange(total)
     learn, check = everyone[everyone % 4 != 0], everyone[everyone % 4 == 0]
