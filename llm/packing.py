@@ -3,8 +3,8 @@
 1. Each document is tokenized, and closed by an end id. Whole windows of a long document are sequences as they are; its rest, shorter
    than a window, is a *tail* to be packed.
 2. Document frequencies of hashed words are counted over all tails; the table has a fixed number of slots.
-3. Tails are dealt by range of their rarest shared word, with ties broken by content, so lexical neighbours meet, copies in any
-   number spread, and partitions are of even size.
+3. Tails are dealt by range of a MinHash of their words, with ties broken by content, so lexical neighbours are likely to meet,
+   copies in any number spread, and partitions are of even size.
 4. A partition is read in shards of a bounded number of tails. Each shard has a BM25 inverted index; a seed's best unused neighbours are
    appended whole while they fit, and the next is cut to close the window. What is cut off remains in the pool, and
    an open window goes on into the next shard. At a partition's end the last tokens form sequences of powers of two.
@@ -38,11 +38,11 @@ QUERY_WORDS = 16
 NEIGHBOURS = 48
 K1, B = 1.2, 0.75
 #: Pieces of text kept per Python worker with their ids, about 200 bytes each; twice as many at most.
-MAX_KNOWN = 120_000
+MAX_KNOWN = 250_000
 
 # How the vocabulary's file splits words, for characters below U+0250, which its normaliser only lower-cases.
 _PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-_MARKS = re.compile(r"(?:[^\w ]|[_İ])[.,] ")
+_MARKS = re.compile(r"[.,](?<=(?:[^\w ]|[_İ]).) ")
 _WIDE = re.compile("[^\x00-\u024f]")
 
 
@@ -100,11 +100,12 @@ class Ids:
 
     def piece(self, piece: str) -> bytes:
         """By the library's own model, past its normaliser and splitter, which do nothing but lower-case and split here."""
+        if piece.isalpha() and (piece.isascii() or not _WIDE.search(piece)):
+            lower = piece.lower()
+            return self.word(lower) if lower.isalpha() else self.whole(piece)
         if not piece.isprintable() or _WIDE.search(piece) or "<|" in piece:
             return self.whole(piece)
         piece = piece.lower()
-        if piece.isascii() and piece.isalpha():
-            return self.word(piece)
         parts = _PART.findall(piece)
         return self.word(parts[0]) if len(parts) == 1 else b"".join(map(self.known_word, parts))
 
@@ -117,7 +118,7 @@ class Ids:
         # Commas and stops behind a letter or digit are words of their own anyway; apart, the words before them are known more often.
         if not _MARKS.search(text):
             text = text.replace(", ", " , ").replace(". ", " . ")
-        if not _WIDE.search(text):
+        if text.isascii() or not _WIDE.search(text):
             text = text.lower()
         return b"".join(map(self.table.__getitem__, text.split(" ")))
 
@@ -150,10 +151,8 @@ def _slots(ids: np.ndarray, rows: np.ndarray, ends_word: np.ndarray) -> tuple[np
     return rows[starts], (mixed(np.add.reduceat(h, starts)) >> np.uint64(64 - SLOTS_BITS)).astype(np.int64)
 
 
-def _words_of(column: pa.Array, ends_word: np.ndarray, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, slot, times) of the distinct words of tails, whose ids are given as bytes."""
-    data, offsets, _ = utf8(column)
-    ids, sizes = np.frombuffer(data.tobytes(), dtype), np.diff(offsets) // dtype.itemsize
+def _words_of(ids: np.ndarray, sizes: np.ndarray, ends_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, slot, times) of the distinct words of tails, given their ids one after the other."""
     row, slot = _slots(ids, np.repeat(np.arange(len(sizes)), sizes), ends_word)
     key, times = np.unique(row << SLOTS_BITS | slot, return_counts=True)
     return key >> SLOTS_BITS, key & ((1 << SLOTS_BITS) - 1), times
@@ -163,55 +162,70 @@ _PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
 
 
-def _batch(kind: pa.DataType, rows: dict[str, list]) -> pa.RecordBatch:
+def _batch(kind: pa.DataType, rows: dict[str, list], leads: np.ndarray | None = None) -> pa.RecordBatch:
     types = [kind, *[pa.int64()] * 6, pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(rows[n], t) for n, t in zip(_NAMES, types, strict=True)], _NAMES)
+    columns = [pa.array(rows[n], t) for n, t in zip(_NAMES, types, strict=True)]
+    return pa.RecordBatch.from_arrays(columns if leads is None else [*columns, pa.array(leads)], _NAMES if leads is None else [*_NAMES, "lead"])
+
+
+_COUNTS = -1  # the sequence_id of rows that carry a task's word counts
+_SLICES = 64
 
 
 def tokenized(docs: DataFrame, path: str, window: int) -> DataFrame:
-    """Whole windows as finished pieces, and each document's tail: a piece without a sequence_id."""
+    """Whole windows as finished pieces; each document's tail, a piece without a sequence_id; and, for each task, in how many tails
+    each slot's words occur, in slices. The lead of a tail is the least-hashed slot of its words: tails that share most words
+    are likely to share it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = ids_of(path)
         sequence = 1 << 60 | TaskContext.get().partitionId() << 32
+        counts, kind = np.zeros(1 << SLOTS_BITS, np.int64), None
         for batch in batches:
             _, offsets, _ = utf8(batch.column(1))
+            kind = batch.column(0).type
             for a, b in groups(offsets):
                 rows: dict[str, list] = {n: [] for n in _NAMES}
+                tails, at = [], []
                 for doc_id, text in zip(batch.column(0).slice(a, b - a).to_pylist(), batch.column(1).slice(a, b - a).to_pylist(), strict=True):
                     ids = np.append(np.frombuffer(known.of(text or ""), known.dtype), np.array(END_ID, known.dtype))
                     for start in range(0, len(ids), window):
                         piece = ids[start : start + window]
                         full = len(piece) == window
+                        if not full:
+                            tails.append(piece)
+                            at.append(len(rows["ids"]))
                         for n, v in zip(_NAMES, (doc_id, start, len(piece), _crc(piece) if full else None, len(ids), sequence if full else None, 0 if full else None, piece.tobytes()), strict=True):
                             rows[n].append(v)
                         sequence += full
-                yield _batch(batch.column(0).type, rows)
+                leads = np.zeros(len(rows["ids"]), np.int64)
+                if tails:
+                    row, slot, _ = _words_of(np.concatenate(tails), np.array([len(t) for t in tails]), known.ends_word)
+                    counts += np.bincount(slot, minlength=len(counts))
+                    own, first = np.unique(row, return_index=True)
+                    hashed = (mixed(slot.astype(np.uint64)) >> np.uint64(1)).astype(np.int64)
+                    leads[np.array(at)[own]] = np.minimum.reduceat(hashed, first)
+                yield _batch(kind, rows, leads)
+        if kind is not None:
+            rows = {n: [None] * _SLICES for n in _NAMES} | {"start": list(range(_SLICES)), "length": [0] * _SLICES, "sequence_id": [_COUNTS] * _SLICES}
+            yield _batch(kind, rows | {"ids": [v.tobytes() for v in counts.reshape(_SLICES, -1)]}, np.zeros(_SLICES, np.int64))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {_PIECE}")
-
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {_PIECE}, lead long")
 
-def word_frequencies(tails: DataFrame, path: str) -> np.ndarray:
-    """In how many tails each slot's words occur; per task one vector, cut in slices that are summed by slice."""
-    slices, width = 64, (1 << SLOTS_BITS) // 64
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ids_of(path)
-        ends, total = known.ends_word, np.zeros(1 << SLOTS_BITS, np.int64)
-        for batch in batches:
-            for a in range(0, batch.num_rows, 2048):
-                total += np.bincount(_words_of(batch.column(0).slice(a, 2048), ends, known.dtype)[1], minlength=len(total))
-        yield pa.RecordBatch.from_arrays([pa.array(range(slices)), pa.array([v.tobytes() for v in total.reshape(slices, width)])], ["slice", "counts"])
+def word_frequencies(pieces: DataFrame) -> np.ndarray:
+    """In how many tails each slot's words occur: the tasks' counts, summed by slice."""
+    width = (1 << SLOTS_BITS) // _SLICES
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(width, np.int64)
-        for v in table["counts"]:
+        for v in table["ids"]:
             total += np.frombuffer(v.as_py(), np.int64)
-        return pa.table({"slice": [table["slice"][0].as_py()], "counts": [total.tobytes()]})
+        return pa.table({"slice": [table["start"][0].as_py()], "counts": [total.tobytes()]})
 
-    summed = tails.select("ids").mapInArrow(count, "slice long, counts binary").groupBy("slice").applyInArrow(add, "slice long, counts binary")
-    out = np.zeros((slices, width), np.int64)
+    summed = pieces.where(F.col("sequence_id") == _COUNTS).select("start", "ids").groupBy("start").applyInArrow(add, "slice long, counts binary")
+    out = np.zeros((_SLICES, width), np.int64)
     for r in summed.collect():  # 64 rows, 2 MB together
         out[r.slice] = np.frombuffer(bytes(r.counts), np.int64)
     return out.reshape(-1)
@@ -221,7 +235,8 @@ class Shard:
     """A BM25 inverted index over some tails, from which neighbours are taken out as they are used."""
 
     def __init__(self, column: pa.Array, idf: np.ndarray, mean_words: float, ends_word: np.ndarray, dtype: np.dtype):
-        row, slot, times = _words_of(column, ends_word, dtype)
+        data, offsets, _ = utf8(column)
+        row, slot, times = _words_of(np.frombuffer(data.tobytes(), dtype), np.diff(offsets) // dtype.itemsize, ends_word)
         self.size = len(column)
         lengths = np.bincount(row, times, self.size)
         weight = idf[slot] * times * (K1 + 1) / (times + K1 * (1 - B + B * lengths[row] / max(mean_words, 1e-9)))
@@ -329,29 +344,14 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = "word_bpe_49k.
     pieces = stored(tokenized(docs, path, window), "tokenized")
     tails = pieces.where("sequence_id IS NULL")
     n, tokens = tails.agg(F.count("*"), F.sum("length")).first()
-    frequency = word_frequencies(tails, path)
+    frequency = word_frequencies(pieces)
     idf = np.log(1 + (n - frequency + 0.5) / (frequency + 0.5)).astype(np.float32)
     mean_words = float(frequency.sum()) / max(n, 1)
-    shared = docs.sparkSession.sparkContext.broadcast((idf, frequency > 1))  # a fixed size, 2^18 slots
-
-    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ids_of(path)
-        ends, (rarity, common) = known.ends_word, shared.value
-        for batch in batches:
-            for a in range(0, batch.num_rows, 2048):
-                part = batch.slice(a, 2048)
-                row, slot, _ = _words_of(part.column(3), ends, known.dtype)
-                row, slot = row[common[slot]], slot[common[slot]]
-                order = np.lexsort((slot, -rarity[slot], row))
-                row, slot = row[order], slot[order]
-                own, first = np.unique(row, return_index=True)
-                out = np.full(part.num_rows, -1, np.int32)
-                out[own] = slot[first]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out)], ["doc_id", "start", "doc_tokens", "ids", "lead"])
+    shared = docs.sparkSession.sparkContext.broadcast(idf)  # a fixed size, 2^18 slots
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = ids_of(path)
-        ends, (rarity, _) = known.ends_word, shared.value
+        ends, rarity = known.ends_word, shared.value
         packer, kind = _Packer(window, TaskContext.get().partitionId() << 32, known.dtype), None
 
         def flush() -> pa.RecordBatch:
@@ -371,11 +371,10 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = "word_bpe_49k.
             yield flush()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    led = tails.select("doc_id", "start", "doc_tokens", "ids").mapInArrow(lead, f"doc_id {kind}, start long, doc_tokens long, ids binary, lead int")
     order = ["lead", F.crc32("ids"), "doc_id", "ids"]
     parts = max(1, -(-int(tokens or 0) // tokens_per_partition))
-    packed = led.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "start", "doc_tokens", "ids").mapInArrow(fill, f"doc_id {kind}, {_PIECE}")
-    return pieces.where("sequence_id IS NOT NULL").union(packed)
+    packed = tails.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "start", "doc_tokens", "ids").mapInArrow(fill, f"doc_id {kind}, {_PIECE}")
+    return pieces.where("sequence_id >= 0").drop("lead").union(packed)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
