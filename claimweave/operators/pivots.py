@@ -7,8 +7,11 @@ holds a large share of all rows reaches its reducer as a few rows per map task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from claimweave.functions.scalars import slot_label
 from claimweave.operators.keys import nulls_last
 from claimweave.schemas import (
     DIAG_SLOTS,
@@ -83,16 +86,44 @@ def pivot_first(
     index: str,
     columns: str,
     values: str,
-    column_values: list,
+    column_values: list | None,
     order_by: list[str],
     fill=None,
+    most_columns: int = 1000,
 ) -> DataFrame:
     """One column per pivot value, holding the first non-null value under the given order.
 
-    Rows without index, pivot or cell value form no group. ``column_values`` names the pivot
-    columns up front, so no extra job has to look for them.
+    Rows without index, pivot or cell value form no group. Without ``column_values`` a first job finds them, and more than
+    ``most_columns`` are an error. With them, a row that holds another value fails the query: none is lost in silence.
     """
     rows = df.where(F.col(index).isNotNull() & F.col(columns).isNotNull() & F.col(values).isNotNull())
+    if column_values is None:
+        found = rows.select(columns).distinct().limit(most_columns + 1).collect()
+        if len(found) > most_columns:
+            raise ValueError(f"{columns} has more than {most_columns} values")
+        column_values = sorted(r[0] for r in found)
+    else:
+        unlisted = F.raise_error(F.concat(F.lit(f"{columns} holds a value that is not listed: "), F.col(columns).cast("string")))
+        listed = F.when(F.col(columns).isin(column_values), F.col(columns)).otherwise(unlisted.cast(df.schema[columns].dataType))
+        rows = rows.withColumn(columns, listed)
     first = F.min_by(F.col(values), nulls_last(order_by))
     pivoted = rows.groupBy(index).pivot(columns, column_values).agg(first)
     return pivoted if fill is None else pivoted.fillna(fill)
+
+
+def slot_labels(diagnosis: DataFrame) -> DataFrame:
+    """Every diagnosis with the label of its place among the visit's diagnoses of its type, by code and id.
+
+    Ranked in two levels, so that a visit with a large share of all rows spreads over tasks: places before a code come from
+    counts by code, those within a code from its own rows.
+    """
+    group = ["visit_id", "diag_type", "icd_code"]
+    rows = diagnosis.select(*group, "id")
+    counts = rows.groupBy(*group).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("visit_id", "diag_type").orderBy("icd_code").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*[F.col(c).alias(f"_{c}") for c in group], F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    within = rows.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy("id")))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group])
+    placed = within.join(before, same)
+    label = slot_label(F.col("diag_type"), (F.col("before") + F.col("place")).cast("int"))
+    return placed.select("visit_id", "icd_code", label.alias("slot"))

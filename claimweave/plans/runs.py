@@ -8,31 +8,30 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from claimweave.operators.filters import first_submissions
+from claimweave.operators.keys import key_join
 from claimweave.sinks.tables import write_overwrite
 
 
 def facts_per_param(fact: DataFrame, params: DataFrame, date_column: str = "submission_date") -> DataFrame:
     """Every fact once per parameter row whose period and centers it falls in, tagged with param_id.
 
-    Periods become their days, so the match is an equi join on the day and the center list a
-    check on the few parameter rows of that day; no range join compares all pairs.
+    Periods become their days and center lists their centers, so facts meet rows that name centers in an equi join on
+    (day, center). Rows without a list, which mean every center, are a join of their own, on the day.
     """
-    periods = params.where(F.col("from_date") <= F.col("to_date")).select(
-        "param_id",
-        F.transform(F.split(F.coalesce("centers", F.lit("")), ","), F.trim).alias("asked"),
-        F.explode(F.sequence("from_date", "to_date")).alias("run_day"),
-    )
-    asked = F.filter("asked", lambda c: c != "")
-    active = periods.select("param_id", "run_day", asked.alias("asked"))
+    valid = params.where(F.col("from_date") <= F.col("to_date"))
+    asked = F.array_distinct(F.filter(F.transform(F.split(F.coalesce("centers", F.lit("")), ","), F.trim), lambda c: c != ""))
     # The span of all periods, as scalar subqueries: scans can skip whatever lies outside.
-    span = params.where(F.col("from_date") <= F.col("to_date"))
-    first = span.agg(F.min("from_date")).scalar()
-    after = span.agg(F.date_add(F.max("to_date"), 1)).scalar()
+    first = valid.agg(F.min("from_date")).scalar()
+    after = valid.agg(F.date_add(F.max("to_date"), 1)).scalar()
     inside = fact.where((F.col(date_column) >= first) & (F.col(date_column) < after))
-    dated = inside.withColumn("fact_day", F.to_date(date_column))
-    in_center = (F.size("asked") == 0) | F.array_contains("asked", F.col("center_id").cast("string"))
-    matched = dated.join(active, (F.col("fact_day") == F.col("run_day")) & F.coalesce(in_center, F.lit(False)))
-    return matched.select("param_id", *fact.columns)
+    dated = inside.withColumns({"_day": F.to_date(date_column), "_center": F.col("center_id").cast("string")})
+    periods = valid.select("param_id", asked.alias("asked"), F.explode(F.sequence("from_date", "to_date")).alias("run_day"))
+    listed = periods.select("param_id", "run_day", F.explode("asked").alias("run_center"))
+    everywhere = periods.where(F.size("asked") == 0)
+    by_center = key_join(dated, listed, {"_day": "run_day", "_center": "run_center"})
+    by_day = key_join(dated, everywhere.drop("asked"), {"_day": "run_day"})
+    columns = ["param_id", *fact.columns]
+    return by_center.select(*columns).unionByName(by_day.select(*columns))
 
 
 def run_for_params(

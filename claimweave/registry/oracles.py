@@ -417,8 +417,7 @@ ORACLES: dict[str, str] = {
         """SELECT visit_id, icd_code, CASE WHEN diag_type = 'S' THEN diag_type || CAST(rn AS VARCHAR) ELSE diag_type END
                   AS slot
            FROM (SELECT *, row_number() OVER (PARTITION BY visit_id, diag_type ORDER BY icd_code, id) AS rn
-                 FROM diagnosis) AS r
-           WHERE rn <= 15""",
+                 FROM diagnosis) AS r""",
     ),
     "diag_pivot_typed": with_entities("diagnosis", typed_pivot("diagnosis")),
     "diag_pivot_typed_by_patient": with_entities("diagnosis_by_patient", typed_pivot("diagnosis_by_patient")),
@@ -575,6 +574,43 @@ ORACLES: dict[str, str] = {
     ),
 }
 
+ALL_LOG_TABLES = from_log(
+    f"""SELECT 'entries' AS part, strftime(date, '%Y-%m-%d') AS key, CAST(count(*) AS VARCHAR) AS value FROM parsed GROUP BY date
+        UNION ALL SELECT 'hourly', concat_ws(' ', strftime(date, '%Y-%m-%d'), hour), CAST(count(*) AS VARCHAR)
+        FROM parsed GROUP BY date, hour
+        UNION ALL SELECT 'user', username, CAST(count(*) AS VARCHAR) FROM parsed GROUP BY username
+        UNION ALL SELECT 'ip', ip, CAST(count(*) AS VARCHAR) FROM parsed GROUP BY ip
+        UNION ALL SELECT 'level', concat_ws(' ', lower(log_level), function), CAST(count(*) AS VARCHAR)
+        FROM parsed GROUP BY lower(log_level), function
+        UNION ALL SELECT 'stats', concat_ws(' ', metric, key), value FROM ({log_stats()}) AS s"""
+)
+ORACLES["ingest_two_loads"] = ALL_LOG_TABLES
+ORACLES["full_reload_logs"] = ALL_LOG_TABLES
+ORACLES["replace_claims_rerun"] = with_entities(
+    "claim_fact",
+    """SELECT activityid, claimid, center_id, submission_date,
+              CASE WHEN CAST(submission_date AS DATE) BETWEEN DATE '1996-01-15' AND DATE '1999-06-30'
+                    AND center_id IN ('1', '2', '3', '5', '8', '13', '21') THEN gross + 1 ELSE gross END AS gross
+       FROM claim_fact WHERE submission_date IS NOT NULL""",
+)
+ORACLES["append_claims"] = with_entities("claim_fact", "SELECT activityid, claimid, center_id, gross FROM claim_fact")
+ORACLES["export_chunks_round_trip"] = "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem"
+ORACLES["log_component_fields"] = with_entities(
+    "log_line",
+    f"""SELECT file, pos, CAST(regexp_extract(line, '^{HEADER}', 1) AS TIMESTAMP) AS timestamp,
+               regexp_extract(line, '^{HEADER}', 4) AS log_level, regexp_extract(line, '^{HEADER}', 3) AS component,
+               trim(regexp_extract(line, '^{HEADER}', 5)) AS message
+        FROM log_line WHERE regexp_matches(line, '^{HEADER}')""",
+)
+ORACLES["runs_from_csv"] = with_entities(
+    "claim_fact run_params",
+    """SELECT f.activityid, f.claimid, f.center_id, f.submission_date, f.gross
+       FROM claim_fact f JOIN run_params p
+         ON CAST(f.submission_date AS DATE) BETWEEN p.from_date AND p.to_date
+        AND (p.centers = '' OR list_contains(string_split(p.centers, ','), f.center_id))
+       WHERE f.org_sub_seq = 1""",
+)
+
 _BY_KEYS = with_entities(
     "claim_fact registration patient dim_center",
     f"""SELECT r.mr_no, r.patient_id, r.reg_date, r.reg_time, r.doctor, r.dept_name, r.transfer_source,

@@ -6,15 +6,15 @@ from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from claimweave.functions import logtext, scalars
+from claimweave.functions import logtext
 from claimweave.operators import filters, keys, logs, pivots, projections, sets, staging, updates
 from claimweave.operators.chunks import process_in_chunks
 from claimweave.plans.claim_wide import ClaimSources, build_claim_wide, select_claims
 from claimweave.plans.runs import master_specs, refresh_dims, run_for_params
 from claimweave.registry import entities
-from claimweave.schemas import SECONDARY_SLOTS
+from claimweave.schemas import RUN_PARAMS_FILE
 from claimweave.session import work_folder
 from claimweave.sinks import tables as sinks
 from claimweave.sources import logs as log_sources, tables
@@ -261,10 +261,7 @@ def patient_scalars(spark, sf_dir):
 
 @register
 def diagnosis_slot_labels(spark, sf_dir):
-    by_kind = Window.partitionBy("visit_id", "diag_type").orderBy("icd_code", "id")
-    ranked = Entities(spark, sf_dir).diagnosis.withColumn("rank", F.row_number().over(by_kind))
-    slots = ranked.where(F.col("rank") <= SECONDARY_SLOTS)
-    return slots.select("visit_id", "icd_code", scalars.slot_label(F.col("diag_type"), F.col("rank")).alias("slot"))
+    return pivots.slot_labels(Entities(spark, sf_dir).diagnosis)
 
 
 # --- pivots ------------------------------------------------------------------------------
@@ -303,9 +300,8 @@ def obs_pivot(spark, sf_dir):
 @register
 def pivot_first(spark, sf_dir):
     rows = Entities(spark, sf_dir).patient_observation
-    kinds = ["click", "error", "purchase", "signup", "view"]
     by = ["observation_date", "observation_value"]
-    return pivots.pivot_first(rows, "visit_id", "observation_code", "observation_value", kinds, by, fill="")
+    return pivots.pivot_first(rows, "visit_id", "observation_code", "observation_value", None, by, fill="")
 
 
 # --- updates -----------------------------------------------------------------------------
@@ -565,7 +561,110 @@ def _write_log_files(log_text: DataFrame, folder: str) -> None:
     """Text files by day. A busy day becomes several files, but an entry (4 positions) stays whole."""
     lines = log_text.select(F.substring("file", 5, 10).alias("day"), "pos", "line")
     ordered = lines.repartitionByRange("day", F.floor(F.col("pos") / 4)).sortWithinPartitions("day", "pos")
-    ordered.select("line", "day").write.partitionBy("day").text(folder)
+    ordered.select("line", "day").write.mode("append").partitionBy("day").text(folder)
+
+
+def _log_tables(spark, store: str) -> DataFrame:
+    """All six tables of a store in one long form. Time gaps are left out: they depend on how lines are cut into files."""
+
+    def part(df: DataFrame, name: str, key: Column, value: str) -> DataFrame:
+        return df.select(F.lit(name).alias("part"), key.alias("key"), F.col(value).cast("string").alias("value"))
+
+    day = F.date_format("date", "yyyy-MM-dd")
+    entries = ingest.read_entries(spark, store).groupBy("date").agg(F.count("*").alias("n"))
+    parts = [part(entries, "entries", day, "n")]
+    keys = {"user": F.col("username"), "ip": F.col("ip"), "level": F.concat_ws(" ", "log_level", "function")}
+    parts.append(part(ingest.read_summary(spark, store, "hourly"), "hourly", F.concat_ws(" ", day, F.col("hour").cast("string")), "log_count"))
+    parts += [part(ingest.read_summary(spark, store, n), n, key, "count") for n, key in keys.items()]
+    parts.append(part(ingest.read_stats(spark, store), "stats", F.concat_ws(" ", "metric", "key"), "value"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _log_halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    text = Entities(spark, sf_dir).log_text
+    late = F.substring("file", 5, 10) >= "2024-01-11"
+    return text.where(~late), text.where(late)
+
+
+@register
+def ingest_two_loads(spark, sf_dir):
+    """Load the first days' files, then the same folder with the later ones; read all six tables."""
+    folder = work_folder(spark, "ingest")
+    for half in _log_halves(spark, sf_dir):
+        _write_log_files(half, f"{folder}/logs")
+        ingest.ingest_new_logs(spark, f"{folder}/logs", f"{folder}/store", f"{folder}/checkpoint", glob="*.txt")
+    return _log_tables(spark, f"{folder}/store")
+
+
+@register
+def full_reload_logs(spark, sf_dir):
+    """Fill a store from the first days' files, then replace it by all files; read all six tables."""
+    folder = work_folder(spark, "reload")
+    first, later = _log_halves(spark, sf_dir)
+    _write_log_files(first, f"{folder}/logs")
+    ingest.ingest_new_logs(spark, f"{folder}/logs", f"{folder}/store", f"{folder}/first", glob="*.txt")
+    _write_log_files(later, f"{folder}/logs")
+    ingest.full_reload(spark, f"{folder}/logs", f"{folder}/store", f"{folder}/second", glob="*.txt")
+    return _log_tables(spark, f"{folder}/store")
+
+
+@register
+def replace_claims_rerun(spark, sf_dir):
+    """Write all claims, then twice a run over a part of their days and centers with other amounts; read the table."""
+    columns = ["activityid", "claimid", "center_id", "submission_date", "gross"]
+    claims = Entities(spark, sf_dir).claim_fact.select(*columns).where(F.col("submission_date").isNotNull())
+    path = f"{work_folder(spark, 'claims')}/claims"
+    span = claims.agg(F.to_date(F.min("submission_date")), F.to_date(F.max("submission_date"))).first()
+    sinks.replace_claims(claims, path, *span)
+    run = filters.filter_centers(filters.between_days(claims, "submission_date", *PERIOD), CENTERS)
+    for _ in range(2):
+        sinks.replace_claims(run.withColumn("gross", F.col("gross") + 1), path, *PERIOD, CENTERS)
+    return spark.read.schema(claims.schema).parquet(path).select(*columns)
+
+
+@register
+def append_claims(spark, sf_dir):
+    """Two loads appended to one table; read it back."""
+    claims = Entities(spark, sf_dir).claim_fact.select("activityid", "claimid", "center_id", "gross")
+    path = f"{work_folder(spark, 'appended')}/claims"
+    low = F.coalesce(F.col("gross") < 20000, F.lit(False))
+    sinks.write_append(claims.where(low), path)
+    sinks.write_append(claims.where(~low), path)
+    return spark.read.parquet(path)
+
+
+@register
+def export_chunks_round_trip(spark, sf_dir):
+    """A whole table exported in key order, in files of at most 5000 rows, and read back."""
+    path = f"{work_folder(spark, 'chunks')}/lineitem"
+    items = tables.read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    sinks.export_chunks(items, path, ["l_orderkey", "l_linenumber"], rows=5000)
+    return spark.read.parquet(path)
+
+
+@register
+def log_component_fields(spark, sf_dir):
+    """Header lines of the component layout, made from the event log's."""
+    lines = Entities(spark, sf_dir).lines()
+    line = F.regexp_replace("line", r"^(\S+ \S+)\s+\[[^\]]+\]\s+\[([^\]]+)\]\s+(\w+)\s+", r"$1 $3 [$2] ")
+    rewritten = lines.select("file", F.col("ord").alias("pos"), line.alias("line"))
+    found = rewritten.where(logtext.matches(F.col("line"), logtext.COMPONENT_HEADER))
+    fields = logtext.header_fields(F.col("line"), logtext.COMPONENT_HEADER, logtext.COMPONENT_FIELDS)
+    return found.select("file", "pos", *fields)
+
+
+@register
+def runs_from_csv(spark, sf_dir):
+    """Parameter rows written as the CSV that operators keep, read back and run."""
+    e = Entities(spark, sf_dir)
+    quoted = lambda c: F.concat(F.lit("'"), c, F.lit("'"))
+    asked = F.when(F.col("centers") != "", quoted(F.replace("centers", F.lit(","), F.lit("','")))).otherwise("")
+    texts = {"CenterID": asked, "FromDate": quoted(F.col("from_date").cast("string")), "ToDate": quoted(F.col("to_date").cast("string"))}
+    rows = e.run_params.select(*[texts.get(f.name, F.lit("x")).alias(f.name) for f in RUN_PARAMS_FILE])
+    path = f"{work_folder(spark, 'params')}/params"
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    params = tables.run_params(tables.read_csv(spark, path, RUN_PARAMS_FILE))
+    return run_for_params(e.claim_fact, params).select("activityid", "claimid", "center_id", "submission_date", "gross")
 
 
 @register
@@ -573,9 +672,7 @@ def ingest_new_logs(spark, sf_dir):
     """Write the event log as text files, load them incrementally, read the level summary."""
     folder = work_folder(spark, "ingest")
     _write_log_files(Entities(spark, sf_dir).log_text, f"{folder}/logs")
-    ingest.ingest_new_logs(
-        spark, f"{folder}/logs", f"{folder}/store", f"{folder}/checkpoint", glob="*.txt", by_base_name=False
-    )
+    ingest.ingest_new_logs(spark, f"{folder}/logs", f"{folder}/store", f"{folder}/checkpoint", glob="*.txt")
     return ingest.read_summary(spark, f"{folder}/store", "level")
 
 

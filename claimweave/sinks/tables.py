@@ -6,11 +6,12 @@ from datetime import date
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from claimweave.operators.filters import between_days, center_list, filter_centers
+from claimweave.operators.filters import as_date, between_days, center_list, filter_centers
 from claimweave.operators.projections import export_schema, split_registration_and_patient
 from claimweave.operators.sets import upsert
-from claimweave.session import work_folder
+from claimweave.sinks.folders import beside, delete, exists, swap
 
 EXPORT_CHUNK_ROWS = 50_000
 
@@ -18,17 +19,19 @@ EXPORT_CHUNK_ROWS = 50_000
 def write_overwrite(df: DataFrame, path: str, skip_empty: bool = True) -> bool:
     """Replace a table; by default an empty frame leaves the old table as it is.
 
-    The frame is computed once, into the shared work folder, and copied from there. So the old
-    table survives a failed computation, and the frame may itself read the table it replaces.
+    The frame is written once, beside the table, and then takes its place. So the old table survives
+    a failure, and the frame may itself read the table it replaces.
     """
-    spark = df.sparkSession
-    staged = work_folder(spark, "staged")
-    rows = Observation("staged_rows")
-    df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(staged)
-    if skip_empty and rows.get["n"] == 0:
-        return False
-    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(path)
-    return True
+    spark, new = df.sparkSession, beside(path)
+    rows = Observation("new_rows")
+    try:
+        df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(new)
+        if skip_empty and rows.get["n"] == 0:
+            return False
+        swap(spark, new, path)
+        return True
+    finally:
+        delete(spark, new)
 
 
 def write_append(df: DataFrame, path: str) -> None:
@@ -36,11 +39,51 @@ def write_append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_months(df: DataFrame, path: str, date_column: str = "submission_date") -> None:
-    """Replace just the submission months the frame holds, so that a rerun repeats nothing."""
-    months = df.withColumn("submission_month", F.date_format(date_column, "yyyy-MM"))
-    writer = months.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("submission_month").parquet(path)
+def _months(start: date, end: date) -> list[str]:
+    return [f"{m // 12}-{m % 12 + 1:02d}" for m in range(start.year * 12 + start.month - 1, end.year * 12 + end.month)]
+
+
+def replace_claims(
+    df: DataFrame,
+    path: str,
+    start: date | str,
+    end: date | str,
+    centers: str | list | None = None,
+    date_column: str = "submission_date",
+    center_column: str = "center_id",
+) -> None:
+    """Replace just what a run covers: its days and its centers (all of them if none are named).
+
+    The table lies in folders by month. Of the months the run touches, rows of other days or centers are kept. Each
+    month is written beside the table and then takes its place; a rerun repeats nothing. Rows of ``df`` outside the
+    run, or without a day, are refused before anything is replaced.
+    """
+    spark, first, last = df.sparkSession, as_date(start), as_date(end)
+    month = F.date_format(date_column, "yyyy-MM")
+    ids = center_list(centers)
+    day = F.to_date(date_column)
+    inside = (day >= F.lit(first)) & (day <= F.lit(last))
+    if ids:
+        inside = inside & F.col(center_column).cast("string").isin(ids)
+    inside = F.coalesce(inside, F.lit(False))
+    outside = Observation("outside_the_run")
+    frame = df.observe(outside, F.count(F.when(~inside, 1)).alias("n")).withColumn("submission_month", month)
+    months = _months(first, last)
+    if exists(spark, path):
+        schema = StructType([*df.schema.fields, StructField("submission_month", StringType())])
+        saved = spark.read.schema(schema).parquet(path).where(F.col("submission_month").isin(months))
+        frame = frame.unionByName(saved.where(~inside).select(*frame.columns))
+    new = beside(path)
+    try:
+        frame.write.partitionBy("submission_month").parquet(new)
+        if outside.get["n"]:
+            raise ValueError(f"{outside.get['n']} rows lie outside the run")
+        for name in months:
+            part = f"submission_month={name}"
+            made = exists(spark, f"{new}/{part}")
+            swap(spark, f"{new}/{part}" if made else None, f"{path.rstrip('/')}/{part}")
+    finally:
+        delete(spark, new)
 
 
 def upsert_table(path: str, updates: DataFrame, keys: list[str], latest: str | None = None) -> None:

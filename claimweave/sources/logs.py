@@ -26,9 +26,9 @@ def located_lines(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_log_lines(spark: SparkSession, path: str, glob: str = LOG_GLOB) -> DataFrame:
-    """All lines of the log files of a folder."""
-    raw = spark.read.option("pathGlobFilter", glob).text(path)
+def read_log_lines(spark: SparkSession, path: str, glob: str = LOG_GLOB, flat_folder: bool = False) -> DataFrame:
+    """All lines of the log files of a folder, searched in depth unless it is flat, as the incremental load does."""
+    raw = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", not flat_folder).text(path)
     return located_lines(raw.select("value", "_metadata.file_path", "_metadata.file_block_start"))
 
 

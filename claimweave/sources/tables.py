@@ -35,12 +35,14 @@ def read_table(spark: SparkSession, source: str | JdbcSource, name: str) -> Data
 
 
 def slice_predicates(number_expr: str, n: int) -> list[str]:
-    """n SQL predicates that put every row into exactly one slice, null keys included.
+    """n SQL predicates that put every row into exactly one slice.
 
-    They depend on the row alone, so n independent scans can neither lose nor repeat a row.
+    They depend on the row alone, so n independent scans can neither lose nor repeat a row. Numbers go by their whole part; what has
+    no residue (null, not a number) goes to slice 0. For text keys, pass the source's own hash of the key.
     """
-    residue = f"mod(abs({number_expr}), {n})"
-    return [f"{residue} = {i}" + (f" OR ({number_expr}) IS NULL" if i == 0 else "") for i in range(n)]
+    residue = f"abs(mod(floor({number_expr}), {n}))"
+    rest = f"({residue}) IS NULL OR NOT ({residue} >= 1 AND {residue} <= {n - 1})"
+    return [rest] + [f"{residue} = {i}" for i in range(1, n)]
 
 
 def read_partitioned(
@@ -60,10 +62,11 @@ def _chunk_days(start: date, end: date, n: int) -> int:
 
 
 def chunk_of_day(column: Column, start: date | str, end: date | str, n: int) -> Column:
-    """Number 0..n-1 of the chunk a day falls in; the last chunk takes the remainder."""
+    """Number 0..n-1 of the chunk a day falls in, null for days outside; the last chunk takes the remainder."""
     first, last = as_date(start), as_date(end)
-    step = F.floor(F.datediff(F.to_date(column), F.lit(first)) / _chunk_days(first, last, n))
-    return F.least(F.lit(n - 1), step).cast("int")
+    day = F.to_date(column)
+    step = F.floor(F.datediff(day, F.lit(first)) / _chunk_days(first, last, n))
+    return F.when((day >= F.lit(first)) & (day <= F.lit(last)), F.least(F.lit(n - 1), step)).cast("int")
 
 
 def date_chunks(start: date | str, end: date | str, n: int) -> list[tuple[date, date]]:

@@ -9,10 +9,12 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from claimweave.operators.logs import assemble_entries, hour_key, stats_from_counts
 from claimweave.schemas import LOG_ENTRY, contract
+from claimweave.sinks.folders import beside, delete, exists, swap
+from claimweave.sinks.tables import write_overwrite
 from claimweave.sources.logs import LOG_GLOB, located_lines
 
 # Summary -> its keys. A gap never crosses a file and a file belongs to one load, so partial
-# values (count, gap sum, gap count, gap maximum) of all loads merge exactly.
+# values (count, gap sum, gap count, gap maximum) of loads merge exactly.
 SUMMARY_KEYS = {
     "hourly": ["date", "hour"],
     "user": ["username"],
@@ -48,23 +50,30 @@ def partial_summaries(entries: DataFrame) -> DataFrame:
     )
 
 
-def merged_summary(partials: DataFrame, name: str) -> DataFrame:
-    """One summary table over all loads, from their partial values."""
-    grouped = partials.where(F.col("summary") == name).groupBy(*SUMMARY_KEYS[name])
+def merged(partials: DataFrame) -> DataFrame:
+    """Partial values with one row per key and summary."""
+    keys = ["summary", *[k for columns in SUMMARY_KEYS.values() for k in columns]]
+    sums = [F.sum(c).alias(c) for c in ("n", "gap_sum", "gap_n")]
+    return partials.groupBy(*keys).agg(*sums, F.max("gap_max").alias("gap_max")).select(*PARTIALS.fieldNames())
+
+
+def merged_summary(state: DataFrame, name: str) -> DataFrame:
+    """One summary table from merged partial values."""
+    own = state.where(F.col("summary") == name)
     if name != "hourly":
-        return grouped.agg(F.sum("n").alias("count"))
-    mean = F.try_divide(F.sum("gap_sum"), F.sum("gap_n"))
-    return grouped.agg(
-        F.sum("n").alias("log_count"), mean.alias("avg_time_diff"), F.max("gap_max").alias("max_time_diff")
-    )
+        return own.select(*SUMMARY_KEYS[name], F.col("n").alias("count"))
+    mean = F.try_divide("gap_sum", "gap_n")
+    return own.select(*SUMMARY_KEYS[name], F.col("n").alias("log_count"), mean.alias("avg_time_diff"), F.col("gap_max").alias("max_time_diff"))
 
 
-def _replace_load(df: DataFrame, path: str, load_id: int, *partitions: str) -> None:
-    """Write one load's partition. The first load of a checkpoint starts the table afresh, and a
-    repeated load replaces itself, so a retry after a failure changes nothing."""
-    mode = "static" if load_id == 0 else "dynamic"
-    writer = df.withColumn("load_id", F.lit(load_id)).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", mode).partitionBy("load_id", *partitions).parquet(path)
+def _replace_load(df: DataFrame, path: str, load_id: int) -> None:
+    """Write one load's partition. A repeated load replaces itself, so a retry after a failure changes nothing."""
+    spark, new = df.sparkSession, beside(f"{path}/load_id={load_id}")
+    try:
+        df.write.parquet(new)
+        swap(spark, new, f"{path}/load_id={load_id}")
+    finally:
+        delete(spark, new)
 
 
 def _loads(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -73,17 +82,44 @@ def _loads(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def _load(lines: DataFrame, store: str, load_id: int) -> None:
-    spark = lines.sparkSession
+    """Add one load. What it reads beside its own lines is the merged state of the load before, not the history."""
+    spark, state = lines.sparkSession, f"{store}/state"
     _replace_load(assemble_entries(located_lines(lines)), f"{store}/log_entries", load_id)
-    saved = _loads(spark, f"{store}/log_entries", LOG_ENTRY).where(F.col("load_id") == load_id)
-    _replace_load(partial_summaries(saved), f"{store}/partials", load_id, "summary")
-    partials = _loads(spark, f"{store}/partials", PARTIALS)
+    saved = spark.read.schema(LOG_ENTRY).parquet(f"{store}/log_entries/load_id={load_id}")
+    parts = partial_summaries(saved)
+    before = f"{state}/load_id={load_id - 1}"
+    if load_id > 0:
+        parts = parts.unionByName(spark.read.schema(PARTIALS).parquet(before))
+    _replace_load(merged(parts), state, load_id)
+    now = spark.read.schema(PARTIALS).parquet(f"{state}/load_id={load_id}")
     for name in SUMMARY_KEYS:
-        merged = merged_summary(partials, name).write.mode("overwrite")
-        if name == "level":
-            merged = merged.partitionBy("log_level")
-        merged.parquet(f"{store}/log_{name}_summary")
-    summary_stats(spark, store).write.mode("overwrite").parquet(f"{store}/log_stats")
+        write_overwrite(merged_summary(now, name), f"{store}/log_{name}_summary", skip_empty=False)
+    write_overwrite(summary_stats(spark, store), f"{store}/log_stats", skip_empty=False)
+    # A repeat of this load needs the state before it; older ones have no use.
+    delete(spark, f"{state}/load_id={load_id - 2}")
+
+
+def _claim_store(spark: SparkSession, store: str, checkpoint: str) -> None:
+    """A store belongs to the checkpoint that filled it: loads under another, or a lost one, would count files twice."""
+    mark = f"{store}/_checkpoint"
+    if exists(spark, f"{store}/log_entries"):
+        owner = spark.read.text(mark).first()[0] if exists(spark, mark) else None
+        if owner != checkpoint or not exists(spark, f"{checkpoint}/offsets"):
+            raise ValueError(f"{store} was filled under the checkpoint {owner}; use that one, or full_reload")
+    elif exists(spark, f"{checkpoint}/offsets"):
+        raise ValueError(f"the checkpoint {checkpoint} has loaded files, but not into {store}; use full_reload with a new one")
+    else:
+        spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.mode("overwrite").text(mark)
+
+
+def _run(spark: SparkSession, source: str, store: str, checkpoint: str, glob: str, flat_folder: bool, files_per_load: int | None) -> None:
+    reader = spark.readStream.format("text").option("pathGlobFilter", glob)
+    reader = reader.option("fileNameOnly", flat_folder).option("recursiveFileLookup", not flat_folder)
+    if files_per_load:
+        reader = reader.option("maxFilesPerTrigger", files_per_load)
+    raw = reader.load(source).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    run = raw.writeStream.foreachBatch(lambda lines, load_id: _load(lines, store, load_id))
+    run.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def ingest_new_logs(
@@ -92,30 +128,41 @@ def ingest_new_logs(
     store: str,
     checkpoint: str,
     glob: str = LOG_GLOB,
-    by_base_name: bool = True,
+    flat_folder: bool = False,
     files_per_load: int | None = None,
 ) -> None:
     """Load the files the checkpoint has not seen and bring the summaries up to date.
 
-    Work grows with the new files and the number of partial summary rows, not with the history
-    of entries. A file counts as seen by its base name, or by its full path.
+    Work grows with the new files and the number of summary rows, not with the history of entries or loads. Folders are searched
+    in depth and a file is known by its full path. In a ``flat_folder`` only the folder itself is searched and a file is known
+    by its name. A store is only ever added to: under another checkpoint than its own it is an error.
     """
-    reader = spark.readStream.format("text").option("pathGlobFilter", glob)
-    reader = reader.option("fileNameOnly", by_base_name).option("recursiveFileLookup", True)
-    if files_per_load:
-        reader = reader.option("maxFilesPerTrigger", files_per_load)
-    raw = reader.load(source).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    run = raw.writeStream.foreachBatch(lambda lines, load_id: _load(lines, store.rstrip("/"), load_id))
-    run.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    store = store.rstrip("/")
+    _claim_store(spark, store, checkpoint)
+    _run(spark, source, store, checkpoint, glob, flat_folder, files_per_load)
 
 
-def full_reload(spark: SparkSession, source: str, store: str, new_checkpoint: str, **options) -> None:
+def full_reload(
+    spark: SparkSession,
+    source: str,
+    store: str,
+    new_checkpoint: str,
+    glob: str = LOG_GLOB,
+    flat_folder: bool = False,
+    files_per_load: int | None = None,
+) -> None:
     """Replace the store by all files of the folder; later increments go on from the new checkpoint.
 
-    The job is the incremental one: under a checkpoint that has seen nothing, every file is
-    new and the first load replaces the tables.
+    The job is the incremental one, into a store beside the old one, which it replaces when it is complete.
     """
-    ingest_new_logs(spark, source, store, new_checkpoint, **options)
+    store = store.rstrip("/")
+    new = beside(store)
+    try:
+        _claim_store(spark, new, new_checkpoint)
+        _run(spark, source, new, new_checkpoint, glob, flat_folder, files_per_load)
+        swap(spark, new, store)
+    finally:
+        delete(spark, new)
 
 
 def read_entries(spark: SparkSession, store: str) -> DataFrame:

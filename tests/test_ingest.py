@@ -4,6 +4,7 @@ import pytest
 
 from claimweave.functions import logtext  # noqa: F401
 from claimweave.operators import logs
+from claimweave.sinks import folders
 from claimweave.sources.logs import read_log_lines
 from claimweave.streaming import ingest
 from conftest import rows
@@ -50,8 +51,73 @@ def test_a_file_loads_once(spark, tmp_path):
     ingest.ingest_new_logs(spark, str(inbox), store, checkpoint)
     write(inbox / "copy", "a.log", [HEAD.format(s=1, level="INFO", text="same base name")])
     ingest.ingest_new_logs(spark, str(inbox), store, checkpoint)
+    assert ingest.read_entries(spark, store).count() == 2
+    assert rows(ingest.read_summary(spark, store, "user")) == [("ann", 2)]
+
+
+@pytest.mark.parametrize("order", [("a", "b"), ("b", "a"), ("ab",)])
+def test_equal_base_names_load_in_any_order(spark, tmp_path, order):
+    inbox, store = tmp_path / "in", str(tmp_path / "store")
+    for arrived in order:
+        for folder in arrived:
+            write(inbox / folder, "app.log", [HEAD.format(s=1, level="INFO", text=folder)])
+        ingest.ingest_new_logs(spark, str(inbox), store, str(tmp_path / "cp"))
+    assert sorted(r.message for r in ingest.read_entries(spark, store).collect()) == ["a", "b"]
+    before = state(spark, store)
+    ingest.full_reload(spark, str(inbox), store, str(tmp_path / "cp2"))
+    assert state(spark, store) == before
+
+
+def test_a_flat_folder_knows_files_by_name(spark, tmp_path):
+    inbox, store, checkpoint = tmp_path / "in", str(tmp_path / "store"), str(tmp_path / "cp")
+    for _ in range(2):
+        write(inbox, "a.log", [HEAD.format(s=1, level="INFO", text="one")])
+        write(inbox / "deeper", "b.log", [HEAD.format(s=1, level="INFO", text="not looked at")])
+        ingest.ingest_new_logs(spark, str(inbox), store, checkpoint, flat_folder=True)
     assert ingest.read_entries(spark, store).count() == 1
-    assert rows(ingest.read_summary(spark, store, "user")) == [("ann", 1)]
+
+
+def test_a_store_is_added_to_under_its_own_checkpoint_only(spark, tmp_path):
+    inbox, store, checkpoint = tmp_path / "in", str(tmp_path / "store"), str(tmp_path / "cp")
+    write(inbox, "a.log", [HEAD.format(s=1, level="INFO", text="one"), HEAD.format(s=2, level="INFO", text="two")])
+    ingest.ingest_new_logs(spark, str(inbox), store, checkpoint)
+    (inbox / "a.log").unlink()
+    write(inbox, "b.log", [HEAD.format(s=3, level="INFO", text="three")])
+    before = state(spark, store)
+    with pytest.raises(ValueError, match="checkpoint"):
+        ingest.ingest_new_logs(spark, str(inbox), store, str(tmp_path / "other"))
+    folders.swap(spark, None, checkpoint)
+    with pytest.raises(ValueError, match="checkpoint"):
+        ingest.ingest_new_logs(spark, str(inbox), store, checkpoint)
+    assert state(spark, store) == before
+
+
+def test_a_used_checkpoint_does_not_start_a_new_store(spark, tmp_path):
+    inbox, checkpoint = tmp_path / "in", str(tmp_path / "cp")
+    write(inbox, "a.log", [HEAD.format(s=1, level="INFO", text="one")])
+    ingest.ingest_new_logs(spark, str(inbox), str(tmp_path / "store"), checkpoint)
+    with pytest.raises(ValueError, match="full_reload"):
+        ingest.ingest_new_logs(spark, str(inbox), str(tmp_path / "lost"), checkpoint)
+
+
+def test_a_failed_reload_keeps_the_store(spark, tmp_path, monkeypatch):
+    inbox, store = tmp_path / "in", str(tmp_path / "store")
+    write(inbox, "a.log", [HEAD.format(s=1, level="INFO", text="one")])
+    ingest.ingest_new_logs(spark, str(inbox), store, str(tmp_path / "cp"))
+    before = state(spark, store)
+    monkeypatch.setattr(ingest, "_run", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        ingest.full_reload(spark, str(inbox), store, str(tmp_path / "cp2"))
+    assert state(spark, store) == before
+
+
+def test_state_does_not_grow_with_loads(spark, tmp_path):
+    inbox, store = tmp_path / "in", tmp_path / "store"
+    for i in range(5):
+        write(inbox, f"{i}.log", [HEAD.format(s=1, level="INFO", text="one")])
+        ingest.ingest_new_logs(spark, str(inbox), str(store), str(tmp_path / "cp"))
+    assert sorted(p.name for p in (store / "state").glob("load_id=*")) == ["load_id=3", "load_id=4"]
+    assert rows(ingest.read_summary(spark, str(store), "user")) == [("ann", 5)]
 
 
 def test_a_repeated_load_replaces_itself(spark, tmp_path):
@@ -60,7 +126,7 @@ def test_a_repeated_load_replaces_itself(spark, tmp_path):
     write(inbox, "b.log", [HEAD.format(s=2, level="INFO", text="two")])
     raw = spark.read.text(str(inbox)).select("value", "_metadata.file_path", "_metadata.file_block_start")
     first, second = raw.where("file_path LIKE '%a.log'"), raw.where("file_path LIKE '%b.log'")
-    for load_id, lines in ((0, first), (1, second), (1, second)):
+    for load_id, lines in ((0, first), (0, first), (1, second), (1, second)):
         ingest._load(lines, store, load_id)
     assert rows(ingest.read_summary(spark, store, "user")) == [("ann", 2)]
     assert ingest.read_entries(spark, store).count() == 2

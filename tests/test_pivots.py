@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from claimweave.operators import pivots
 from conftest import rows
 
@@ -71,6 +73,17 @@ def test_pivot_first(spark):
     )
     got = pivots.pivot_first(df, "i", "c", "v", ["a", "b"], ["o"], fill="-")
     assert rows(got) == [("i", "x", "-"), ("j", "-", "z")]
+    assert rows(pivots.pivot_first(df, "i", "c", "v", None, ["o"], fill="-")) == rows(got)
+    with pytest.raises(Exception, match="not listed"):
+        pivots.pivot_first(df, "i", "c", "v", ["a"], ["o"]).collect()
+    with pytest.raises(ValueError, match="more than 1"):
+        pivots.pivot_first(df, "i", "c", "v", None, ["o"], most_columns=1)
+
+
+def test_slot_labels_have_no_cap(spark):
+    items = [("v", "S", f"I{i // 3:02d}", f"{i:04d}") for i in range(40)] + [("v", "P", "X", "1"), ("w", "S", None, "2"), ("w", "S", "A", "3"), (None, "S", "A", "4")]
+    got = rows(pivots.slot_labels(spark.createDataFrame(items, DIAG)).where("visit_id = 'v'").select("slot"))
+    assert sorted(r[0] for r in got) == sorted([f"S{i}" for i in range(1, 41)] + ["P"])
 
 
 def test_pivots_do_not_depend_on_input_order(spark):

@@ -1,10 +1,12 @@
 import gzip
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from claimweave.operators.projections import PATIENT_PART, REGISTRATION_PART
 from claimweave.plans.runs import DimSpec, master_specs, refresh_dims
+from claimweave.sinks import folders
 from claimweave.sinks import tables as sinks
 from claimweave.sources.tables import read_csv
 from conftest import rows
@@ -27,15 +29,72 @@ def test_table_may_be_replaced_by_itself(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == [(2,), (3,)]
 
 
-def test_append_repeats_and_months_do_not(spark, tmp_path):
-    df = spark.createDataFrame([(1, datetime(2024, 1, 5)), (2, datetime(2024, 2, 5))], "id int, submission_date timestamp_ntz")
-    appended, months = str(tmp_path / "a"), str(tmp_path / "m")
+CLAIMS = "id int, center_id string, submission_date timestamp_ntz"
+
+
+def three_claims(spark):
+    return spark.createDataFrame([(1, "1", datetime(2024, 1, 5)), (2, "2", datetime(2024, 1, 6)), (3, "1", datetime(2024, 1, 20)), (4, "1", datetime(2024, 2, 5))], CLAIMS)
+
+
+def test_append_repeats_rows(spark, tmp_path):
+    for _ in range(2):
+        sinks.write_append(three_claims(spark), str(tmp_path / "a"))
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 8
+
+
+def test_a_run_replaces_its_days_and_centers_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = three_claims(spark)
     for _ in range(2):
-        sinks.write_append(df, appended)
-        sinks.write_months(df, months)
-    sinks.write_months(df.where("id = 2").withColumn("id", F.lit(9)), months)
-    assert spark.read.parquet(appended).count() == 4
-    assert rows(spark.read.parquet(months).select("id")) == [(1,), (9,)]
+        sinks.replace_claims(df, path, "2024-01-01", "2024-02-29")
+    assert rows(spark.read.parquet(path).select("id")) == [(1,), (2,), (3,), (4,)]
+    half = df.where("id = 3").withColumn("id", F.lit(30))
+    for _ in range(2):
+        sinks.replace_claims(half, path, "2024-01-15", "2024-01-31", "1")
+    assert set(rows(spark.read.parquet(path).select("id"))) == {(1,), (2,), (4,), (30,)}
+    sinks.replace_claims(df.where("false"), path, "2024-01-01", "2024-01-10", ["2"])
+    assert set(rows(spark.read.parquet(path).select("id"))) == {(1,), (4,), (30,)}
+    sinks.replace_claims(df.where("false"), path, "2024-02-01", "2024-02-29")
+    assert rows(spark.read.parquet(path).select("id")) == [(1,), (30,)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_rows_outside_the_run_are_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = three_claims(spark)
+    sinks.replace_claims(df, path, "2024-01-01", "2024-02-29")
+    for start, centers in (("2024-01-06", None), ("2024-01-01", "1")):
+        with pytest.raises(ValueError, match="outside the run"):
+            sinks.replace_claims(df, path, start, "2024-02-29", centers)
+    with pytest.raises(ValueError):
+        sinks.replace_claims(df.withColumn("submission_date", F.lit(None).cast("timestamp_ntz")), path, "2024-01-01", "2024-02-29")
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_a_failed_step_keeps_the_old_table_and_no_copies_stay(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    for n in (3, 4):
+        sinks.write_overwrite(spark.range(n), path)
+    assert spark.read.parquet(path).count() == 4
+
+    def broken(spark, new, path):
+        raise OSError("no rename")
+
+    monkeypatch.setattr(sinks, "swap", broken)
+    with pytest.raises(OSError):
+        sinks.write_overwrite(spark.range(9), path)
+    with pytest.raises(Exception):
+        sinks.write_overwrite(spark.range(9).select(F.raise_error(F.lit("bad"))), path)
+    assert spark.read.parquet(path).count() == 4
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_failed_second_rename_puts_the_old_folder_back(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(Exception, match="missing"):
+        folders.swap(spark, str(tmp_path / "missing"), path)
+    assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
 def test_upsert_table(spark, tmp_path):

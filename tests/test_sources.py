@@ -32,6 +32,28 @@ def test_slices_hold_every_row_once(spark):
     assert len(hits) == 7
 
 
+@pytest.mark.parametrize(
+    ("kind", "values"),
+    [
+        ("decimal(10,2)", ["1.5", "2.0", None, "-7.25", "6.99"]),
+        ("double", ["1.5", "-0.0", "NaN", "Infinity", "-1e300", None]),
+        ("long", [str(-(1 << 63)), str((1 << 63) - 1), "0", None]),
+    ],
+)
+def test_slices_hold_every_kind_of_key_once(spark, kind, values):
+    df = spark.createDataFrame([(v,) for v in values], "k string").select(F.col("k").cast(kind).alias("k"))
+    hits = [df.where(p).count() for p in tables.slice_predicates("k", 5)]
+    assert sum(hits) == len(values)
+    text = spark.createDataFrame([(f"key{i}",) for i in range(50)] + [(None,)], "k string")
+    assert sum(text.where(p).count() for p in tables.slice_predicates("xxhash64(k)", 5)) == 51
+
+
+def test_days_outside_have_no_chunk(spark):
+    df = spark.createDataFrame([(datetime(2023, 12, 30),), (datetime(2024, 1, 1),), (datetime(2024, 1, 11),), (None,)], "d timestamp_ntz")
+    got = [r.c for r in df.select(tables.chunk_of_day(F.col("d"), "2024-01-01", "2024-01-10", 5).alias("c")).collect()]
+    assert got == [None, 0, None, None]
+
+
 def test_parameter_file(spark, tmp_path):
     names = RUN_PARAMS_FILE.fieldNames()
     values = {**{n: "x" for n in names}, "CenterID": "'1','3'", "FromDate": "'2024-01-01'", "ToDate": "'2024-01-31'"}
