@@ -55,7 +55,7 @@ def time_gaps(entries: DataFrame) -> DataFrame:
     by_block = Window.partitionBy("file").orderBy("block")
     following = first.select("file", "block", F.lead("first").over(by_block).alias("next_block"))
     in_block = Window.partitionBy("file", "block").orderBy("ord")
-    last_of_block = F.lead("ord").over(in_block).isNull()
+    last_of_block = F.lead(F.lit(1)).over(in_block).isNull()
     own = entries.withColumns(
         {"next_timestamp": F.lead("timestamp").over(in_block), "last_of_block": last_of_block}
     )
@@ -80,9 +80,9 @@ def _numbered(lines: DataFrame) -> DataFrame:
     )
 
 
-def _continuations(condition: Column) -> Column:
-    """The non-blank continuation lines that meet the condition, in order, as an aggregate."""
-    wanted = ~F.col("is_header") & (F.col("text") != "") & condition
+def _continuations() -> Column:
+    """The non-blank continuation lines, in order, as an aggregate."""
+    wanted = ~F.col("is_header") & (F.col("text") != "")
     ordered = F.sort_array(F.collect_list(F.when(wanted, F.struct("line_no", "text"))))
     return F.transform(ordered, lambda x: x["text"])
 
@@ -92,58 +92,58 @@ def _pieces(numbered: DataFrame) -> DataFrame:
     pieces = numbered.where(F.col("piece") > 0).groupBy("file", "block", "piece").agg(
         F.max(F.when(F.col("is_header"), F.col("text"))).alias("head"),
         F.min("line_no").alias("first_line"),
-        _continuations(F.lit(True)).alias("more"),
+        _continuations().alias("more"),
     )
     return pieces.select("file", "block", "piece", "first_line", "more", *logtext.header_fields(F.col("head")))
 
 
 def _block_context(numbered: DataFrame) -> DataFrame:
-    """Per block with a header: lines before it, the next block's first entry, lines carried over from later blocks."""
+    """Per block: lines before it, the next block's first entry, and the number of the header block that owns its leading lines.
+
+    Rows hold no texts but one header's time. Owners count from 1 in each file; 0 means that no header comes before.
+    """
     stats = numbered.groupBy("file", "block").agg(
         F.count("*").alias("lines"),
         F.max("piece").alias("pieces"),
         F.min_by("text", F.when(F.col("is_header"), F.col("line_no"))).alias("head"),
-        _continuations(F.col("piece") == 0).alias("orphans"),
     )
-    stats = stats.withColumn("first", logtext.header_fields(F.col("head"))[0])
+    stats = stats.withColumn("first", logtext.header_fields(F.col("head"))[0]).drop("head")
     forward = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     backward = Window.partitionBy("file").orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     has_header = F.col("pieces") > 0
-    placed = stats.select(
+    return stats.select(
         "file",
         "block",
         "pieces",
-        "orphans",
         F.coalesce(F.sum("lines").over(forward), F.lit(0)).alias("lines_before"),
         F.coalesce(F.sum(has_header.cast("long")).over(forward), F.lit(0)).alias("owner"),
         F.last(F.when(has_header, F.struct("first")), ignorenulls=True).over(backward).alias("next_first"),
     )
-    # Leading lines of a block belong to the last header block before it ("owner"). Every block
-    # sends its leading lines to that owner, and a header block also sends its own facts to itself.
-    nothing = F.lit(None)
-    to_owner = F.struct(
-        F.col("owner").alias("owner"), F.struct("block", "orphans").alias("carried"), nothing.alias("self")
-    )
-    to_self = F.struct(
-        (F.col("owner") + 1).alias("owner"), nothing.alias("carried"), F.struct("block", "pieces", "lines_before", "next_first").alias("self")
-    )
-    sent = placed.select(
-        "file", F.explode(F.when(has_header, F.array(to_owner, to_self)).otherwise(F.array(to_owner))).alias("m")
-    )
-    gathered = sent.groupBy("file", "m.owner").agg(
-        F.max("m.self").alias("self"), F.sort_array(F.collect_list("m.carried")).alias("carried")
-    )
-    texts = F.flatten(F.transform("carried", lambda c: c["orphans"]))
-    return gathered.where(F.col("self").isNotNull()).select("file", "self.*", texts.alias("carried"))
+
+
+def _carried(numbered: DataFrame, context: DataFrame) -> DataFrame:
+    """Per header block the non-blank lines that later blocks begin with, in order: the tail of its last entry.
+
+    Lines without any header before them are dropped at the join, one by one; they are never gathered.
+    """
+    leading = numbered.where((F.col("piece") == 0) & (F.col("text") != "")).select("file", "block", "line_no", "text")
+    owned = context.where(F.col("owner") > 0).select("file", "block", "owner")
+    owners = context.where(F.col("pieces") > 0).select("file", (F.col("owner") + 1).alias("owner"), F.col("block").alias("owner_block"))
+    lines = leading.join(owned, ["file", "block"]).join(owners, ["file", "owner"])
+    ordered = F.sort_array(F.collect_list(F.struct("block", "line_no", "text")))
+    gathered = lines.groupBy("file", "owner_block").agg(F.transform(ordered, lambda x: x["text"]).alias("carried"))
+    return gathered.withColumnRenamed("owner_block", "block")
 
 
 def assemble_entries(lines: DataFrame) -> DataFrame:
     """Complete log entries: header fields, joined continuation lines, line number and time gap."""
     numbered = _numbered(lines)
-    entries = _pieces(numbered).join(_block_context(numbered), ["file", "block"])
+    context = _block_context(numbered)
+    entries = _pieces(numbered).join(context, ["file", "block"]).join(_carried(numbered, context), ["file", "block"], "left")
     last_of_block = F.col("piece") == F.col("pieces")
     in_block = Window.partitionBy("file", "block").orderBy("piece")
-    parts = F.when(last_of_block, F.concat("more", "carried")).otherwise(F.col("more"))
+    tail = F.coalesce("carried", F.array().cast("array<string>"))
+    parts = F.when(last_of_block, F.concat("more", tail)).otherwise(F.col("more"))
     own = entries.withColumns(
         {
             "pos": F.col("lines_before") + F.col("first_line"),

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from claimweave.operators.keys import drop_keys, one_per_key
 from claimweave.schemas import OPEN_CLAIM, conform, contract
 
 CLAIM_UNION = contract(
@@ -58,19 +57,29 @@ def page_after(df: DataFrame, keys: list[str], size: int, last: list | None = No
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str], latest: str | None = None) -> DataFrame:
-    """INSERT ... ON CONFLICT (keys) DO UPDATE.
+    """INSERT ... ON CONFLICT (keys) DO UPDATE; the target's keys are unique, as the conflict clause asks.
 
-    Rows of the batch that share a key are reduced to the one with the greatest ``latest``,
-    then the greatest values. A null key conflicts with nothing: such rows are all inserted.
+    Rows of the batch that share a key are reduced to the one with the greatest ``latest``, then the greatest values. A null key
+    conflicts with nothing: such rows are all kept and inserted. Each side is read once: the reduced batch meets the target in
+    a full outer join, in which rows with a null key are spread by a hash of the row.
     """
-    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    keyed, unkeyed = updates.where(has_key), updates.where(~has_key)
     rest = [c for c in updates.columns if c not in keys]
     order = ([latest] if latest else []) + [c for c in rest if c != latest]
-    if rest:
-        best = F.max_by(F.struct(*rest), F.struct(*order)).alias("best")
-        batch = keyed.groupBy(*keys).agg(best).select(*keys, "best.*").select(*updates.columns)
-    else:
-        batch = one_per_key(keyed, keys)
-    kept = drop_keys(target, keys, batch.select(*keys))
-    return kept.unionByName(batch).unionByName(unkeyed)
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    # Rows without a key are groups of their own.
+    alone = F.when(no_key, F.monotonically_increasing_id() + 1).otherwise(F.lit(0))
+    best = F.max_by(F.struct(*rest), F.struct(*order)) if rest else F.count("*")
+    grouped = updates.withColumn("_alone", alone).groupBy(*keys, "_alone").agg(best.alias("best"))
+    batch = grouped.select(F.struct(*keys, *(["best.*"] if rest else [])).alias("new"), "_alone")
+
+    def keyed(df: DataFrame, values: str, spread: Column, side: str) -> DataFrame:
+        own = [F.col(f"{values}.{k}").cast("string") for k in keys]
+        null = reduce(lambda a, b: a | b, [k.isNull() for k in own])
+        place = F.when(null, spread).otherwise(F.xxhash64(*own)).alias(f"_{side}_hash")
+        return df.select(values, place, *[k.alias(f"_{side}_{i}") for i, k in enumerate(own)])
+
+    old = keyed(target.select(F.struct("*").alias("old")), "old", F.xxhash64("old"), "old")
+    new = keyed(batch, "new", F.xxhash64("_alone"), "new")
+    matched = [F.col(f"_old_{i}") == F.col(f"_new_{i}") for i in range(len(keys))]
+    both = old.join(new, reduce(lambda a, b: a & b, matched, F.col("_old_hash") == F.col("_new_hash")), "full")
+    return both.select(*[F.when(F.col("new").isNotNull(), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in target.columns])

@@ -207,3 +207,13 @@ def test_one_big_file_is_spread_over_blocks(spark):
         plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
         over_lines = [line for line in plan if "Exchange hashpartitioning(file" in line]
         assert over_lines and any("block" in line for line in over_lines)
+
+
+def test_a_file_without_headers_has_no_entries_and_one_entry_keeps_a_long_tail(spark):
+    n = 50_000
+    plain = spark.range(n).select(F.lit("dump").alias("file"), F.col("id").alias("pos"), F.concat(F.lit("line "), "id").alias("line"))
+    assert logs.assemble_entries(logs.lines_from_table(plain, rows_per_block=1000)).count() == 0
+    head = HEAD.format(s=1, level="INFO", text="one")
+    tailed = plain.withColumn("line", F.when(F.col("pos") == 500, F.lit(head)).otherwise(F.col("line")))
+    (entry,) = logs.assemble_entries(logs.lines_from_table(tailed, rows_per_block=1000)).collect()
+    assert entry.details.split("\n") == [f"line {i}" for i in range(501, n)]
