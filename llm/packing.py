@@ -371,9 +371,9 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = "word_bpe_49k.
             yield flush()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    order = ["lead", F.crc32("ids"), "doc_id", "ids"]
+    order = ["lead", F.crc32("ids"), "doc_id"]  # of which Spark samples some rows for the ranges
     parts = max(1, -(-int(tokens or 0) // tokens_per_partition))
-    packed = tails.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "start", "doc_tokens", "ids").mapInArrow(fill, f"doc_id {kind}, {_PIECE}")
+    packed = tails.repartitionByRange(parts, *order).sortWithinPartitions(*order, "ids", "start").select("doc_id", "start", "doc_tokens", "ids").mapInArrow(fill, f"doc_id {kind}, {_PIECE}")
     return pieces.where("sequence_id >= 0").drop("lead").union(packed)
 
 
