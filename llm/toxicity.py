@@ -70,12 +70,12 @@ def fit(texts: list[pa.Array], labels: np.ndarray, s: Settings = Settings(), max
                 row, h = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
                 order = np.argsort(row, kind="stable")
                 for own in np.split(h[order], np.cumsum(np.bincount(row, minlength=b - a))[:-1]):
-                    yield np.unique(own)
+                    yield _distinct(own)
 
     # Three scans keep memory low. Features of fewer than MIN_DOCS texts are left out; counting them in 2^24 slots may keep a few more.
     seen = np.zeros(1 << 24, np.uint16)
     for own in documents():
-        slot = np.unique(own >> np.uint64(40))
+        slot = _distinct(own >> np.uint64(40))
         seen[slot] = np.minimum(seen[slot], 65534) + 1
     vocabulary, held = np.zeros(0, np.uint64), []
     for own in documents():
@@ -110,10 +110,11 @@ def _ftrl(docs: list[np.ndarray], labels: np.ndarray, rows: np.ndarray, size: in
         for at in range(0, len(order), s.batch):
             own = order[at : at + s.batch]
             flat, of = np.concatenate([docs[d] for d in own]), np.repeat(np.arange(len(own)), [len(docs[d]) for d in own])
-            error = sigmoid(bias + np.bincount(of, weights(flat), len(own))) - labels[own]
             i, back = np.unique(flat, return_inverse=True)
+            w = weights(i)
+            error = sigmoid(bias + np.bincount(of, w[back], len(own))) - labels[own]
             g, g2 = np.bincount(back, error[of], len(i)), np.bincount(back, error[of] ** 2, len(i))
-            z[i] += g - (np.sqrt(n[i] + g2) - np.sqrt(n[i])) / s.alpha * weights(i)
+            z[i] += g - (np.sqrt(n[i] + g2) - np.sqrt(n[i])) / s.alpha * w
             n[i] += g2
             bias_n += float((error**2).sum())
             bias -= s.alpha / (s.beta + np.sqrt(bias_n)) * float(error.sum())
@@ -133,6 +134,11 @@ def _best_cut(logits: np.ndarray, labels: np.ndarray) -> float:
     return float((last + below) / 2)
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
