@@ -208,3 +208,30 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", wid
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
 
     return found.mapInArrow(run, docs.schema)
+
+
+REPORT_SQL = rf"""
+WITH lowered AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w
+  FROM documents
+), items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, least(len(w), {WIDTH}) AS n, array_to_string(w[i : i + least(len(w), {WIDTH}) - 1], ' ') AS said
+  FROM items, unnest(range(1, greatest(len(w) - {WIDTH} + 1, 1) + 1)) AS t(i) WHERE len(w) > 0
+), places AS (
+  SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS said
+  FROM lowered, (SELECT DISTINCT n FROM windows) AS widths, unnest(range(1, len(w) - n + 2)) AS t(i) WHERE len(w) >= n
+), hits AS (
+  SELECT doc_id, i, p.n, item FROM places p JOIN windows v ON p.n = v.n AND p.said = v.said
+), covered AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit FROM hits, unnest(range(i, i + n)) AS t(word) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hits GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM lowered LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

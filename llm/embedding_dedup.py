@@ -164,3 +164,24 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "e
     out = rows.join(named, "vector", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+
+
+LINKS_SQL = f"""
+WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+    ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= {LEAST_COSINE}
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce(b, vec_id)) AS kept
+FROM embeddings LEFT JOIN least l ON vec_id = l.a LEFT JOIN counts c ON vec_id = c.a
+"""

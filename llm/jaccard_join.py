@@ -347,3 +347,29 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     joined = docs.withColumn("__text_md5", md5).join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & F.col("__text_md5").eqNullSafe(F.col("__md5")))
     numbered = joined.selectExpr("*", "row_number() OVER (PARTITION BY __id, __md5 ORDER BY __md5) AS __number")
     return numbered.where("__all OR __number = 1").select(*[F.col(f"`{c}`") for c in names])
+
+
+LINKS_SQL = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)') AS w FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + {NGRAM} - 1], ' ') AS gram
+  FROM worded, unnest(range(1, greatest(len(w) - {NGRAM} + 1, 1) + 1)) AS t(i) WHERE len(w) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS together FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE together >= {THRESHOLD} * (x.n + y.n - together) - 1e-9
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT doc_id, least(doc_id, coalesce(b, doc_id)) AS class_id, coalesce(n, 0) AS n_links
+FROM documents LEFT JOIN least l ON doc_id = l.a LEFT JOIN counts c ON doc_id = c.a
+"""

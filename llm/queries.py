@@ -10,7 +10,7 @@ from llm.common import read_table
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return decontamination.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("spans")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,4 +60,9 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op3_line_dedup": line_dedup.PAGES_SQL}
+ORACLES: dict[str, str] = {
+    "op1_decontamination": decontamination.REPORT_SQL,
+    "op3_line_dedup": line_dedup.PAGES_SQL,
+    "op6_jaccard_join": jaccard_join.LINKS_SQL,
+    "op9_embedding_near_dedup": embedding_dedup.LINKS_SQL,
+}
