@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,11 +34,11 @@ def build_session(app_name: str = "claimweave", master: str | None = None, **con
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new, empty path below the folder the cluster names in spark.checkpoint.dir.
 
-    Only a local session may fall back to a temporary folder of its own machine.
+    Only a session in one process may fall back to a temporary folder of its machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="claimweave-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
