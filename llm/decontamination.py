@@ -94,8 +94,11 @@ _HIT = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64()), ("first", p
 _HIT_SQL = "array<struct<`from`: bigint, `to`: bigint, first: bigint, `end`: bigint, items: array<string>>>"
 
 
-def _scan(df: DataFrame, text: str, rows: list[tuple[str, list[str]]]) -> DataFrame:
-    """df with the occurrences of one part of the benchmark added to its hits, and the number of words."""
+def _scan(df: DataFrame, text: str, rows: list[tuple[str, list[str]]], finish=None, finished=None) -> DataFrame:
+    """df with the occurrences of one part of the benchmark added to its hits, and the number of words.
+
+    finish(batch, n_words, hits), if given, makes the result's batches in the same task; finished is their schema.
+    """
     spark: SparkSession = df.sparkSession
     key = hashlib.sha256(repr(sorted(rows)).encode()).hexdigest()
     shared = spark.sparkContext.broadcast(rows)
@@ -117,23 +120,27 @@ def _scan(df: DataFrame, text: str, rows: list[tuple[str, list[str]]]) -> DataFr
                 for row, i, width, items in windows.hits(words):
                     byte0, word0 = offsets[a + row] - offsets[a], first_word[row]
                     hits[a + row].append({"from": int(words.start[i] - byte0), "to": int(words.end[i + width - 1] - byte0), "first": int(i - word0), "end": int(i + width - word0), "items": items})
+            if finish:
+                yield finish(batch, n_words, hits)
+                continue
             out = {n: batch.column(k) for k, n in enumerate(names)} | {"__n_words": pa.array(n_words), _HITS: pa.array(hits, _HIT)}
             yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
+    if finish:
+        return df.mapInArrow(run, finished)
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in ("__n_words", _HITS)]
     order = [f.name for f in df.schema if f.name not in ("__n_words", _HITS)]
     return df.mapInArrow(run, ", ".join([*schema, "__n_words long", f"`{_HITS}` {_HIT_SQL}"])).select(*[F.col(f"`{c}`") for c in order], "__n_words", _HITS)
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", width: int = WIDTH, most: int = BROADCAST_BYTES) -> DataFrame:
-    """docs with __n_words and __hits. A null text has no words."""
+def scan(docs: DataFrame, benchmark: DataFrame, finish, finished, text: str = "text", width: int = WIDTH, most: int = BROADCAST_BYTES) -> DataFrame:
+    """What finish makes of docs, the numbers of words and all hits. A null text has no words."""
     found = without(docs, "__n_words", _HITS)
-    windows = stored(benchmark_windows(benchmark, width=width), "benchmark-windows")
-    passes = 0
-    for rows in _parts(windows, most):
-        found = _scan(stored(found, "decontamination-pass") if passes else found, text, rows)
-        passes += 1
-    return found if passes else _scan(found, text, [])
+    parts = _parts(stored(benchmark_windows(benchmark, width=width), "benchmark-windows"), most)
+    rows = next(parts, [])
+    for following in parts:
+        found, rows = stored(_scan(found, text, rows), "decontamination-pass"), following
+    return _scan(found, text, rows, finish, finished)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, most: int = BROADCAST_BYTES) -> DataFrame:
@@ -144,26 +151,25 @@ def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     Null and empty texts are clean and have no words. Equal rows give equal results. Other columns of docs are not read.
     """
     slim = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    found = scan(slim, benchmark, "text", width, most).drop("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_hit, n_items, digests, spans = [], [], [], []
-            for hits in batch.column(2).to_pylist():
-                covered = _merged([(h["first"], h["end"]) for h in hits])
-                items = sorted({i for h in hits for i in h["items"]})
-                n_hit.append(sum(b - a for a, b in covered))
-                n_items.append(len(items))
-                digests.append(hashlib.sha256(",".join(items).encode()).hexdigest())
-                spans.append([{"from": a, "to": b} for a, b in _merged([(h["from"], h["to"]) for h in hits])])
-            span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digests, pa.string()), pa.array([n > 0 for n in n_hit], pa.bool_()), pa.array(spans, span)],
-                ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"],
-            )
+    def finish(batch: pa.RecordBatch, n_words: np.ndarray, found: list[list[dict]]) -> pa.RecordBatch:
+        n_hit, n_items, digests, spans = [], [], [], []
+        for hits in found:
+            covered = _merged([(h["first"], h["end"]) for h in hits])
+            items = sorted({i for h in hits for i in h["items"]})
+            n_hit.append(sum(b - a for a, b in covered))
+            n_items.append(len(items))
+            digests.append(hashlib.sha256(",".join(items).encode()).hexdigest())
+            spans.append([{"from": a, "to": b} for a, b in _merged([(h["from"], h["to"]) for h in hits])])
+        span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(n_words), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digests, pa.string()), pa.array([n > 0 for n in n_hit], pa.bool_()), pa.array(spans, span)],
+            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"],
+        )
 
     kind = slim.schema["doc_id"].dataType.simpleString()
-    return found.mapInArrow(run, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<`from`: bigint, `to`: bigint>>")
+    finished = f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<`from`: bigint, `to`: bigint>>"
+    return scan(slim, benchmark, finish, finished, "text", width, most)
 
 
 def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -183,31 +189,28 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", wid
     every hit document, a value over 1 drops none. Documents without a hit, null texts included, stay as they are. A column n_chars
     follows the texts that are cut.
     """
-    found = scan(docs, benchmark, text, width, most)
     names, at = docs.columns, docs.columns.index(text)
     count_at = names.index("n_chars") if "n_chars" in names else None
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            new_counts = batch.column(count_at).to_pylist() if count_at is not None else []
-            texts, keep = batch.column(at).to_pylist(), np.ones(batch.num_rows, bool)
-            n_words, hits = batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()
-            for k, own in enumerate(hits):
-                if own:
-                    n_hit = sum(b - a for a, b in _merged([(h["first"], h["end"]) for h in own]))
-                    keep[k] = n_hit < drop_share * n_words[k]
-                    raw, left, rest = texts[k].encode(), 0, []
-                    for a, b in _merged([(h["from"], h["to"]) for h in own]):
-                        rest.append(raw[left:a])
-                        left = b
-                    texts[k] = b"".join([*rest, raw[left:]]).decode()
-                    if count_at is not None:
-                        new_counts[k] = len(texts[k])
-            changed = {at: texts, count_at: new_counts}
-            columns = [pa.array(changed[k], batch.column(k).type) if k in changed else batch.column(k) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
-
-    return found.mapInArrow(run, docs.schema)
+    def finish(batch: pa.RecordBatch, n_words: np.ndarray, found: list[list[dict]]) -> pa.RecordBatch:
+        texts, keep = batch.column(at).to_pylist(), np.ones(batch.num_rows, bool)
+        new_counts = batch.column(count_at).to_pylist() if count_at is not None else []
+        for k, own in enumerate(found):
+            if own:
+                n_hit = sum(b - a for a, b in _merged([(h["first"], h["end"]) for h in own]))
+                keep[k] = n_hit < drop_share * n_words[k]
+                raw, left, rest = texts[k].encode(), 0, []
+                for a, b in _merged([(h["from"], h["to"]) for h in own]):
+                    rest.append(raw[left:a])
+                    left = b
+                texts[k] = b"".join([*rest, raw[left:]]).decode()
+                if count_at is not None:
+                    new_counts[k] = len(texts[k])
+        changed = {at: texts, count_at: new_counts}
+        columns = [pa.array(changed[k], batch.column(k).type) if k in changed else batch.column(k) for k in range(len(names))]
+        return pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
+
+    return scan(docs, benchmark, finish, docs.schema, text, width, most)
 
 
 REPORT_SQL = rf"""

@@ -38,7 +38,7 @@ QUERY_WORDS = 16
 NEIGHBOURS = 48
 K1, B = 1.2, 0.75
 #: Pieces of text kept per Python worker with their ids, about 200 bytes each; twice as many at most.
-MAX_KNOWN = 250_000
+MAX_KNOWN = 180_000
 
 # How the vocabulary's file splits words, for characters below U+0250, which its normaliser only lower-cases.
 _PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
