@@ -21,11 +21,11 @@ first, and their strings are dealt one by one, by their own hash, with a minimum
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -322,7 +322,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
         data, offsets, _ = utf8(own["text"].combine_chunks())
         rows = []
         for kind in (_NEEDS, _HOT):
-            part = wanted.filter(pa.compute.equal(wanted["kind"], kind))
+            part = wanted.filter(pc.equal(wanted["kind"], kind))
             if not part.num_rows:
                 continue
             r = np.frombuffer(b"".join(part["blob"].to_pylist()), RECORD)
