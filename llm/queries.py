@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from llm import decontamination, embedding_dedup, jaccard_join, line_dedup, packing, runlength_dedup, sharding, token_counts, toxicity
+from llm import decontamination, embedding_dedup, fixity, jaccard_join, line_dedup, packing, runlength_dedup, sharding, token_counts, toxicity
 from llm.common import read_table
 
 
@@ -13,6 +13,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op2_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixity.audit_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_pages(read_table(spark, sf_dir, "pages"))
 
@@ -50,6 +54,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_warc_fixity": op2_warc_fixity,
     "op3_line_dedup": op3_line_dedup,
     "op4_packing": op4_packing,
     "op5_runlength_dedup": op5_runlength_dedup,
@@ -62,6 +67,7 @@ QUERIES = {
 }
 ORACLES: dict[str, str] = {
     "op1_decontamination": decontamination.REPORT_SQL,
+    "op2_warc_fixity": fixity.AUDIT_SQL,
     "op3_line_dedup": line_dedup.PAGES_SQL,
     "op6_jaccard_join": jaccard_join.LINKS_SQL,
     "op9_embedding_near_dedup": embedding_dedup.LINKS_SQL,
