@@ -3,11 +3,13 @@
 Equal vectors are one class first. Centroids are fitted on a bounded sample. Every vector lies in the cell of its nearest
 centroid and also visits each lower-numbered cell whose border is within reach. Vectors with cosine c are at most
 r = sqrt(2 - 2c) apart on the unit sphere, so a neighbour can lie in another cell only if the plane between the two centroids is
-at most r away. In d dimensions, the part of a difference along a plane's normal has a spread of r / sqrt(d) only; visits
-reach `sigmas` of that, 3 by default, which loses about one in a thousand of the least similar links across a border and far
-fewer of others. `sigmas=None` reaches r: no link is lost, at the cost of visits to most cells in high dimensions.
+at most r away. Every such cell is visited, so no link is lost. In high
+dimensions that is most cells of a lower number: the work nears that of comparing all, each pair still once. `sigmas` is a bound
+that loses links for fewer visits, on request only: it takes differences as evenly spread over all d dimensions,
+so that their part along a plane's normal has a spread of r / sqrt(d), and vectors near a subspace have a larger one.
 
-Cells are cut into blocks, and a task multiplies two blocks. It gives back a link count and one edge per vector, never
+A cell's own vectors and its visitors are cut into blocks, and a task multiplies a block of its own vectors with another block; visitors
+never meet each other. Cells are kept as numbers beside each vector, and only the shuffle to the tasks copies vectors. A task gives back a link count and one edge per vector, never
 the pairs. Groups are the components of these edges.
 """
 
@@ -29,7 +31,7 @@ SAMPLE = 20_000
 VECTORS_PER_CELL = 2_000
 MAX_CELLS = 2_048
 BLOCK = 4_096
-SIGMAS = 3.0
+SIGMAS = None
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -100,19 +102,21 @@ def link_classes(classes: DataFrame, least_cosine: float = LEAST_COSINE, sample:
                     near = (best[:, None] - sims <= reach * between) & (np.arange(len(c)) < home[:, None])
                     near[np.arange(len(x)), home] = True
                     row, cell = np.nonzero(near)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0).take(pa.array(row)), pa.array(np.full(len(row), dim, np.int32)), pa.array(cell.astype(np.int32)), pa.array(home[row] == cell), part.column(2).take(pa.array(row)), part.column(3).take(pa.array(row))],
-                        ["uid", "dim", "cell", "home", "vector", "members"],
-                    )
+                    ends = np.concatenate([[0], np.cumsum(near.sum(1))]).astype(np.int32)
+                    cells = pa.ListArray.from_arrays(pa.array(ends), pa.array(cell.astype(np.int32)))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(home.astype(np.int32)), cells], ["uid", "dim", "vector", "members", "own", "cells"])
 
     kind = classes.schema["vector"].dataType.simpleString()
-    dealt = stored(classes.select("uid", "dim", "vector", "members").mapInArrow(deal, f"uid long, dim int, cell int, home boolean, vector {kind}, members long"), "cells")
-    sizes = dealt.groupBy("dim", "cell").agg((F.ceil(F.count("*") / block)).cast("int").alias("blocks"))
-    # One row per cell: at most MAX_CELLS of each dimension.
-    blocked = dealt.join(F.broadcast(sizes), ["dim", "cell"]).withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = stored(classes.select("uid", "dim", "vector", "members").mapInArrow(deal, f"uid long, dim int, vector {kind}, members long, own int, cells array<int>"), "cells")
+    visits = dealt.withColumn("cell", F.explode("cells")).withColumn("home", F.col("cell") == F.col("own")).drop("own", "cells")
+    sizes = visits.groupBy("dim", "cell").agg(*[F.ceil(F.count_if(c) / block).cast("int").alias(n) for n, c in (("own_blocks", F.col("home")), ("guest_blocks", ~F.col("home")))])
+    # One row per cell: at most MAX_CELLS of each dimension. Guests of a cell without own vectors link with nothing there.
+    blocked = visits.join(F.broadcast(sizes.where("own_blocks > 0")), ["dim", "cell"])
+    own, guests, dealt_by = F.col("own_blocks"), F.col("guest_blocks"), F.xxhash64("uid")
+    blocked = blocked.withColumn("block", F.when(F.col("home"), F.pmod(dealt_by, own)).otherwise(own + F.pmod(dealt_by, F.greatest(guests, F.lit(1)))).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.when(F.col("home"), own + guests).otherwise(own) - 1)).alias("other")
     tasks = blocked.select("*", other).select(
-        "dim", "cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).alias("upper"), "uid", "home", "vector", "members"
+        "dim", "cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), (F.col("block") > F.col("other")).alias("upper"), "uid", "vector", "members"
     )
 
     def compare(table: pa.Table) -> pa.Table:
@@ -121,11 +125,11 @@ def link_classes(classes: DataFrame, least_cosine: float = LEAST_COSINE, sample:
         upper = np.asarray(table["upper"])
         p = np.arange(len(upper)) if lo == hi else np.flatnonzero(~upper)
         q = p if lo == hi else np.flatnonzero(upper)
-        x, home = unit(_matrix(table["vector"].combine_chunks())), np.asarray(table["home"])
+        x = unit(_matrix(table["vector"].combine_chunks()))
         left, right = [], []
         for a in range(0, len(p), 512):
             i = p[a : a + 512]
-            linked = (x[i] @ x[q].T >= least_cosine) & (home[i][:, None] | home[q][None, :])
+            linked = x[i] @ x[q].T >= least_cosine
             if lo == hi:
                 linked &= i[:, None] < q[None, :]
             r, c = np.nonzero(linked)

@@ -51,6 +51,20 @@ def test_few_spreads_keep_the_recall(spark, vectors, monkeypatch):
     assert sum(r.n_links for r in got) >= 0.99 * sum(r[1] for r in expected(vectors, 0.95))
 
 
+@pytest.mark.parametrize("block", [4096, 40])
+def test_default_loses_no_link_of_vectors_near_a_subspace(spark, monkeypatch, block):
+    monkeypatch.setattr("llm.embedding_dedup.VECTORS_PER_CELL", 100)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1500, 4)) @ rng.normal(size=(4, 128)) + 0.05 * rng.normal(size=(1500, 128))
+    rows = [(i, v.tolist()) for i, v in enumerate(x.astype(np.float32))]
+    unit = np.array([v for _, v in rows], float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.95
+    got = near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), block=block).collect()
+    assert linked.sum() > 3 * len(rows)
+    assert [r.n_links for r in sorted(got)] == (linked.sum(1) - 1).tolist()
+
+
 def test_no_vectors(spark):
     assert near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     assert near_duplicates(spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")).collect() == [(1, 0, 1, True)]
