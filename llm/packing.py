@@ -5,10 +5,13 @@
 2. Document frequencies of hashed words are counted over all tails; the table has a fixed number of slots.
 3. Tails are dealt by range of a MinHash of their words, with ties broken by content, so lexical neighbours are likely to meet,
    copies in any number spread, and partitions are of even size.
-4. A partition is read in shards of a bounded number of tails. Each shard has a BM25 inverted index; a seed's best unused neighbours are
-   appended whole while they fit, and the next is cut to close the window. What is cut off remains in the pool, and
-   an open window goes on into the next shard. At a partition's end the last tokens form sequences of powers of two.
-   So no sequence needs padding.
+4. A partition is read in shards of a bounded number of tails. Each shard has a BM25 inverted index; a seed's best unused neighbours, by
+   all its words, are appended whole while they fit, and the next is cut to close the window. What is cut off remains in the pool.
+   If no unused tail shares a word with the seed, the next tail goes in and is the seed from there on; an open window goes on into the
+   next shard, which is searched with its seed first. At a partition's end the last tokens form sequences of powers of two. So no
+   sequence needs padding.
+
+A shard's tails are the only ones that its seeds can meet: neighbours in other shards are out of reach.
 """
 
 from __future__ import annotations
@@ -34,8 +37,6 @@ END_ID = 1
 SLOTS_BITS = 18
 SHARD_TAILS = 2048
 TOKENS_PER_PARTITION = 8_000_000
-QUERY_WORDS = 16
-NEIGHBOURS = 48
 K1, B = 1.2, 0.75
 #: Pieces of text kept per Python worker with their ids, about 200 bytes each; twice as many at most.
 MAX_KNOWN = 180_000
@@ -239,28 +240,33 @@ class Shard:
         row, slot, times = _words_of(np.frombuffer(data.tobytes(), dtype), np.diff(offsets) // dtype.itemsize, ends_word)
         self.size = len(column)
         lengths = np.bincount(row, times, self.size)
+        # The end id, which all tails hold, is no word to search by.
+        word = slot != _slots(np.array([END_ID]), np.zeros(1, np.int64), ends_word)[1][0]
+        row, slot, times = row[word], slot[word], times[word]
         weight = idf[slot] * times * (K1 + 1) / (times + K1 * (1 - B + B * lengths[row] / max(mean_words, 1e-9)))
         order = np.lexsort((row, slot))
         self.row, self.weight = row[order], weight[order]
-        slots, first = np.unique(slot[order], return_index=True)
-        last = np.append(first[1:], len(order))
-        # Queries are a tail's rarest words that another tail of the shard has.
-        at = np.searchsorted(slots, slot)
-        shared = last[at] - first[at] > 1
-        row, slot, at = row[shared], slot[shared], at[shared]
-        best = np.lexsort((slot, -idf[slot], row))
-        row, at = row[best], at[best]
-        begin = np.searchsorted(row, np.arange(self.size + 1))
-        self.query = [[(first[k], last[k]) for k in at[begin[i] : min(begin[i + 1], begin[i] + QUERY_WORDS)]] for i in range(self.size)]
+        self.slots, self.first = np.unique(slot[order], return_index=True)
+        self.last = np.append(self.first[1:], len(order))
+        # The words of each tail, as numbers of slots.
+        self.word, self.begin = np.searchsorted(self.slots, slot), np.searchsorted(row, np.arange(self.size + 1))
+
+    def _best(self, words: np.ndarray, unused: np.ndarray) -> np.ndarray:
+        if not len(words):
+            return np.zeros(0, np.int64)
+        ranges = list(map(slice, self.first[words].tolist(), self.last[words].tolist()))
+        score = np.bincount(np.concatenate([self.row[r] for r in ranges]), np.concatenate([self.weight[r] for r in ranges]), self.size)
+        found = np.flatnonzero(unused & (score > 0))
+        return found[np.argsort(-score[found], kind="stable")]
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        score = np.zeros(self.size)
-        for a, b in self.query[seed]:
-            score[self.row[a:b]] += self.weight[a:b]
-        found = np.flatnonzero(unused & (score > 0))
-        if len(found) > NEIGHBOURS:
-            found = found[np.argpartition(-score[found], NEIGHBOURS)[:NEIGHBOURS]]
-        return found[np.lexsort((found, -score[found]))]
+        """All unused tails that share a word with the seed, best first."""
+        return self._best(self.word[self.begin[seed] : self.begin[seed + 1]], unused)
+
+    def neighbours_of(self, ids: np.ndarray, ends_word: np.ndarray, unused: np.ndarray) -> np.ndarray:
+        """The same for a seed that isn't in the shard."""
+        slots = np.unique(_slots(ids, np.zeros(len(ids), np.int64), ends_word)[1])
+        return self._best(np.flatnonzero(np.isin(self.slots, slots)), unused)
 
 
 class _Packer:
@@ -270,6 +276,7 @@ class _Packer:
         self.window, self.sequence, self.dtype = window, first_sequence, dtype
         self.open: list[tuple] = []  # (doc_id, start, ids, doc_tokens) of the window being filled
         self.fill = 0
+        self.seed = np.zeros(0, dtype)  # ids of the open window's seed
         self.rows: dict[str, list] = {n: [] for n in _NAMES}
 
     def close(self) -> None:
@@ -280,9 +287,9 @@ class _Packer:
             offset += len(ids)
         self.sequence, self.open, self.fill = self.sequence + 1, [], 0
 
-    def add(self, shard: Shard, tails: list[list]) -> None:
+    def add(self, shard: Shard, tails: list[list], ends_word: np.ndarray) -> None:
         """tails: [doc_id, start, ids, doc_tokens], changed in place as they are cut."""
-        unused, at = np.ones(len(tails), bool), 0
+        unused, at, sizes = np.ones(len(tails), bool), 0, np.array([len(t[2]) for t in tails])
 
         def take(i: int) -> None:
             doc_id, start, ids, doc_tokens = tails[i]
@@ -291,30 +298,40 @@ class _Packer:
             self.fill += min(space, len(ids))
             if len(ids) > space:
                 tails[i][1:3] = start + space, ids[space:]
+                sizes[i] = len(ids) - space
             else:
                 unused[i] = False
             if self.fill == self.window:
                 self.close()
 
+        def extend(neighbours: np.ndarray) -> None:
+            first, waiting = self.sequence, None
+            while len(neighbours):
+                fits = sizes[neighbours] <= self.window - self.fill
+                k = int(fits.argmax())
+                if waiting is None and not fits[0]:
+                    waiting = int(neighbours[0])
+                if not fits[k]:
+                    break
+                take(int(neighbours[k]))
+                if self.sequence != first:
+                    return
+                neighbours = neighbours[k + 1 :]
+            if waiting is not None:
+                take(waiting)
+
+        if self.fill:
+            extend(shard.neighbours_of(self.seed, ends_word, unused))
         while True:
             while at < len(tails) and not unused[at]:
                 at += 1
             if at == len(tails):
                 return
-            fresh = self.fill == 0
+            seed, before = tails[at][2], self.sequence
             take(at)
-            if not fresh or self.fill == 0:
-                continue
-            first, waiting = self.sequence, []
-            for i in shard.neighbours(at, unused).tolist():
-                if len(tails[i][2]) <= self.window - self.fill:
-                    take(i)
-                    if self.sequence != first:
-                        break
-                else:
-                    waiting.append(i)
-            if self.sequence == first and waiting:
-                take(waiting[0])
+            if self.sequence == before:
+                self.seed = seed
+                extend(shard.neighbours(at, unused))
 
     def finish(self) -> None:
         """The tokens of the last, open window as sequences of powers of two."""
@@ -364,7 +381,7 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = "word_bpe_49k.
                 part = batch.slice(a, SHARD_TAILS)
                 shard = Shard(part.column(3), rarity, mean_words, ends, known.dtype)
                 own = zip(*[part.column(k).to_pylist() for k in range(4)], strict=True)
-                packer.add(shard, [[doc_id, start, np.frombuffer(ids, known.dtype), size] for doc_id, start, size, ids in own])
+                packer.add(shard, [[doc_id, start, np.frombuffer(ids, known.dtype), size] for doc_id, start, size, ids in own], ends)
                 yield flush()
         packer.finish()
         if kind is not None:

@@ -83,3 +83,29 @@ def test_shard_scores_are_bm25():
     got = shard.neighbours(0, unused).tolist()
     assert score(2, 3) > score(1, 5) and got == [1, 3]
     assert shard.neighbours(2, np.array([True, True, False, True])).tolist() == [3]
+
+
+def _added(packer, texts):
+    import pyarrow as pa
+
+    shard = packing.Shard(pa.array([known.of(t) for t in texts]), np.full(1 << packing.SLOTS_BITS, 2.0), 3.0, known.ends_word, known.dtype)
+    packer.add(shard, [[t, 0, np.frombuffer(known.of(t), known.dtype), 0] for t in texts], known.ends_word)
+    return shard
+
+
+def test_all_words_and_all_neighbours_count():
+    common = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    rest = [f"{w} cat" for w in common.split() for _ in range(4)]
+    shard = _added(packing._Packer(100_000, 0, known.dtype), [common + " apple", *rest, "apple"])
+    assert sorted(shard.neighbours(0, np.arange(66) > 0).tolist()) == list(range(1, 66))
+
+
+def test_an_open_window_is_searched_on_with_its_seed():
+    size = lambda *texts: sum(len(known.of(t)) // 2 for t in texts)
+    packer = packing._Packer(size("apple pie", "red apple", "blue sky"), 0, known.dtype)
+    _added(packer, ["apple pie"])
+    _added(packer, ["blue sky", "green sky", "red apple"])  # the next shard: its tail with the seed's word comes first
+    assert packer.rows["doc_id"][:2] == ["apple pie", "red apple"]
+    packer = packing._Packer(size("apple pie", "blue sky", "green sky"), 0, known.dtype)
+    _added(packer, ["apple pie", "blue sky", "old tree", "green sky"])  # no more neighbours: the next tail is the seed
+    assert packer.rows["doc_id"][:3] == ["apple pie", "blue sky", "green sky"]
