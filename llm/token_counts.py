@@ -10,12 +10,17 @@ A text is read in chunks. From an unknown entry state, a chunk is the map (head,
 open unit, tokens emitted between its first and last border, what it leaves open. Maps compose associatively, so
 the chunks of a text are composed by a parallel prefix scan, which also gives the tokens before each chunk.
 
-Vocabularies without that property are counted text by text with the library.
+Texts of up to CHUNK_CHARS without double or leading spaces or the table's marks don't need chunks: their units are what lies
+between spaces, and the counts of these are summed (`short`). That is the sum that their chunk map would give, for less.
+
+Vocabularies without that property are counted text by text with the library, of which a warning tells.
 """
 
 from __future__ import annotations
 
+import os
 import re
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,6 +56,8 @@ class Transducer:
         # Borders hold if pieces and normaliser are local; the second line finds normalisers that change texts.
         self.local = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
         self.local = self.local and self.library.normalize(" Ａ  ①\n x ") == "▁▁Ａ▁▁①\n▁x▁"
+        if not self.local:
+            warnings.warn(f"{model_path} merges or changes texts across borders: every text is counted as a whole by the library", stacklevel=2)
         self.most = most
         self.emitted: dict[str, int] = {}
         self.newline = len(self.library.encode("\n", num_threads=1))  # with the space mark in front
@@ -161,6 +168,9 @@ def count_tokens(
     base = without(docs, "n_bytes", "n_tokens", "over_limit")
     rest = [c for c in base.columns if c != text]
     source = base.select(F.col(f"`{text}`").alias("\u0001text"), *[F.col(f"`{c}`") for c in rest])
+    here = model_path or public_tokenizers.path(model)
+    if os.path.exists(here):
+        Transducer(here)  # for its warning, which workers give to their own logs only
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(model_path or public_tokenizers.path(model))

@@ -1,4 +1,5 @@
 import public_tokenizers
+import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -39,3 +40,13 @@ def test_rows_nulls_and_clashing_columns(docs, no_docs):
     assert sorted(((r.doc_id, r.n_bytes, r.n_tokens) for r in got), key=repr) == sorted(want, key=repr)
     assert all(r.over_limit == (r.n_tokens > 100) for r in got)
     assert count_tokens(no_docs).count() == 0
+
+
+def test_a_vocabulary_that_is_not_local_is_reported(spark, monkeypatch):
+    class Changed(sentencepiece.SentencePieceProcessor):
+        def normalize(self, *args, **more):
+            return ""
+
+    monkeypatch.setattr(sentencepiece, "SentencePieceProcessor", Changed)
+    with pytest.warns(UserWarning, match="by the library"):
+        count_tokens(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
