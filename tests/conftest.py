@@ -25,8 +25,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df):
-    """All rows as tuples, in a stable order."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from claimweave.operators import filters, projections
 from claimweave.operators.keys import distinct_keys, keep_keys
 from claimweave.schemas import CLAIM_WIDE
-from conftest import rows
+from row_sets import rows
 
 
 def test_day_range_includes_the_whole_last_day(spark):

@@ -7,7 +7,7 @@ from claimweave.operators import logs
 from claimweave.sinks import folders
 from claimweave.sources.logs import read_log_lines
 from claimweave.streaming import ingest
-from conftest import rows
+from row_sets import rows
 from test_logs import HEAD, random_files
 
 COLUMNS = ["pos", "timestamp", "message", "details", "log_level", "time_diff_seconds"]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from claimweave.functions import logtext
 from claimweave.operators import logs
 from claimweave.sources.logs import list_files, read_log_lines
-from conftest import rows
+from row_sets import rows
 
 HEAD = "2025-03-17 10:00:0{s} [10.0.0.1] [ann] {level} {text}"
 

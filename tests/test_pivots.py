@@ -3,7 +3,7 @@ import random
 import pytest
 
 from claimweave.operators import pivots
-from conftest import rows
+from row_sets import rows
 
 DIAG = "visit_id string, diag_type string, icd_code string, id string"
 

@@ -4,7 +4,7 @@ import pytest
 
 from claimweave.operators import sets
 from claimweave.operators.chunks import process_in_chunks
-from conftest import rows
+from row_sets import rows
 
 
 def test_union_removes_duplicates_within_a_side_only(spark):

@@ -9,7 +9,7 @@ from claimweave.plans.runs import DimSpec, master_specs, refresh_dims
 from claimweave.sinks import folders
 from claimweave.sinks import tables as sinks
 from claimweave.sources.tables import read_csv
-from conftest import rows
+from row_sets import rows
 
 
 def test_empty_frame_leaves_the_old_table(spark, tmp_path):

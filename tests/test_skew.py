@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from claimweave.operators import pivots, updates
 from claimweave.operators.keys import keep_keys, distinct_keys
-from conftest import rows
+from row_sets import rows
 
 ROWS = 60_000
 

@@ -7,7 +7,7 @@ from claimweave.plans.runs import facts_per_param
 from claimweave.schemas import RUN_PARAMS_FILE
 from claimweave.session import work_folder
 from claimweave.sources import tables
-from conftest import rows
+from row_sets import rows
 
 
 @pytest.mark.parametrize("days, n, sizes", [(10, 3, [3, 3, 4]), (2, 5, [1, 1]), (1, 1, [1]), (31, 4, [7, 7, 7, 10])])

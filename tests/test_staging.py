@@ -9,7 +9,7 @@ from claimweave.operators import staging
 from claimweave.operators.keys import distinct_keys
 from claimweave.operators.projections import PATIENT_PART, REGISTRATION_PART
 from claimweave.schemas import DIAGNOSIS, OBSERVATION, PATIENT, REGISTRATION
-from conftest import rows
+from row_sets import rows
 
 PERIOD = ("2024-01-10", "2024-01-20")
 CENTERS = "1,2,9"

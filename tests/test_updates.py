@@ -7,7 +7,7 @@ from claimweave.operators.keys import key_join, one_per_key
 from claimweave.plans.claim_wide import ClaimSources, build_claim_wide, select_claims
 from claimweave.registry.queries import AS_OF, Entities
 from claimweave.operators.pivots import diag_pivot_typed, obs_pivot
-from conftest import rows
+from row_sets import rows
 
 TARGET = "id int, k string, old string"
 
