@@ -3,7 +3,7 @@ import hashlib
 import pytest
 
 from llm import decontamination
-from tests.llm.conftest import awkward_texts, prose, words
+from sample_texts import awkward_texts, prose, words
 
 
 @pytest.fixture(scope="module")

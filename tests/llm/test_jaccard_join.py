@@ -3,7 +3,7 @@ import math
 import pytest
 
 from llm.jaccard_join import jaccard_links, keep_one, least_matches
-from tests.llm.conftest import prose, words
+from sample_texts import prose, words
 
 
 def grams(text):

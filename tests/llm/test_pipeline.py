@@ -3,7 +3,7 @@ import pytest
 import corpus_pipeline
 from llm.common import stored
 from llm.queries import ORACLES, QUERIES
-from tests.llm.conftest import prose
+from sample_texts import prose
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from llm.runlength_dedup import RunLengthIndex, dedup
-from tests.llm.conftest import awkward_texts, prose
+from sample_texts import awkward_texts, prose
 
 
 @settings(max_examples=200, deadline=None)

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 
 from llm import toxicity
-from tests.llm.conftest import prose
+from sample_texts import prose
 
 
 @pytest.fixture(scope="module")

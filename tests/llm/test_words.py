@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from llm import common
-from tests.llm.conftest import words
+from sample_texts import words
 
 texts = st.lists(st.one_of(st.none(), st.text(alphabet="aBz09 .,é\n\x00🙂Ω-", max_size=40)), max_size=12)
 
