@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from llm import decontamination, embedding_dedup, fixity, jaccard_join, line_dedup, packing, runlength_dedup, sharding, token_counts, toxicity
+from llm import conversation_repair, decontamination, embedding_dedup, fixity, jaccard_join, line_dedup, packing, runlength_dedup, sharding, token_counts, toxicity
 from llm.common import read_table
 
 
@@ -52,6 +52,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, model="piece_bpe_32k.model", limit=4096)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_report(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_warc_fixity": op2_warc_fixity,
@@ -63,6 +67,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_conversation_repair": op11_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
@@ -71,4 +76,5 @@ ORACLES: dict[str, str] = {
     "op3_line_dedup": line_dedup.PAGES_SQL,
     "op6_jaccard_join": jaccard_join.LINKS_SQL,
     "op9_embedding_near_dedup": embedding_dedup.LINKS_SQL,
+    "op11_conversation_repair": conversation_repair.REPORT_SQL,
 }
