@@ -55,23 +55,27 @@ def secular_roots(d: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     origin = np.where(left, np.arange(k), np.minimum(np.arange(k) + 1, k - 1))
     delta = d[None, :] - d[origin][:, None]
     low, high = np.where(left, 0.0, -gap / 2), np.where(left, np.where(np.arange(k) == k - 1, gap * (1 + 4 * _EPS), gap / 2), 0.0)
-    x, own, rows = (low + high) / 2, z2[origin], np.arange(k)
-    for _ in range(80):
-        far = delta - x[:, None]
+    x, own, todo = (low + high) / 2, z2[origin], np.arange(k)
+    for _ in range(100):
+        at, p = x[todo], own[todo]
+        far = delta[todo] - at[:, None]
         terms = z2 / far
         slopes = terms / far
-        terms[rows, origin] = slopes[rows, origin] = 0
+        terms[np.arange(len(todo)), origin[todo]] = slopes[np.arange(len(todo)), origin[todo]] = 0
         rest, slope = 1 + terms.sum(1), slopes.sum(1)
-        value = rest - own / x
-        low, high = np.where(value < 0, x, low), np.where(value > 0, x, high)
-        b = rest - slope * x
-        root = np.sqrt(b * b + 4 * slope * own)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            new = np.where(left, np.where(b > 0, 2 * own / (b + root), (root - b) / (2 * slope)), np.where(b < 0, 2 * own / (b - root), -(b + root) / (2 * slope)))
-        new = np.where((new > low) & (new < high), new, (low + high) / 2)
-        still = np.abs(new - x) > 2 * _EPS * np.abs(new)
-        x = np.where((new == 0) | (value == 0), x, new)
-        if not still.any():
+        value = rest - p / at
+        noise = _EPS * (1 + np.abs(terms).sum(1) + np.abs(p / at))
+        low[todo], high[todo] = np.where(value < 0, at, low[todo]), np.where(value > 0, at, high[todo])
+        b, right = rest - slope * at, ~left[todo]
+        b[right] *= -1  # mirrored, so that the wanted root is the positive one
+        root = np.sqrt(b * b + 4 * slope * p)
+        new = np.where(b > 0, 2 * p / (b + root), (root - b) / (2 * slope + (slope == 0)))
+        new[right] *= -1
+        done = (np.abs(value) <= noise) | (np.abs(new - at) <= 2 * _EPS * np.abs(at))
+        inside = (new > low[todo]) & (new < high[todo])
+        x[todo] = np.where(done, at, np.where(inside, new, (low[todo] + high[todo]) / 2))
+        todo = todo[~done]
+        if not len(todo):
             break
     return origin, x
 
