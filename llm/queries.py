@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from llm import conversation_repair, decontamination, embedding_dedup, fixity, jaccard_join, line_dedup, packing, runlength_dedup, sharding, token_counts, toxicity, whitening
+from llm import conversation_repair, decontamination, embedding_dedup, fixity, jaccard_join, line_dedup, packing, quality, runlength_dedup, sharding, token_counts, toxicity, whitening
 from llm.common import read_table
 
 
@@ -56,6 +56,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_report(read_table(spark, sf_dir, "conversations"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_quality_classifier": op12_quality_classifier,
     "op13_embedding_whitening": op13_embedding_whitening,
     "pipeline": corpus_pipeline.run,
 }

@@ -55,7 +55,7 @@ def test_run_packs_all_that_is_left(spark, world):
 
 
 def test_registration():
-    assert {f"op{n}_" for n in range(1, 11) if n != 2} <= {q.split("_")[0] + "_" for q in QUERIES if q != "pipeline"}
+    assert {f"op{n}_" for n in range(1, 14)} <= {q.split("_")[0] + "_" for q in QUERIES if q != "pipeline"}
     assert QUERIES["pipeline"] is corpus_pipeline.run and corpus_pipeline.ORACLE_SQL is None
     assert set(ORACLES) <= set(QUERIES)
     assert len(corpus_pipeline.STAGES) == 5
