@@ -50,18 +50,23 @@ def header_entries(lines: DataFrame) -> DataFrame:
 
 
 def time_gaps(entries: DataFrame) -> DataFrame:
-    """Adds the seconds to the next entry of the same file, in file order; null for the last one."""
-    first = entries.groupBy("file", "block").agg(F.min_by("timestamp", "ord").alias("first"))
-    by_block = Window.partitionBy("file").orderBy("block")
-    following = first.select("file", "block", F.lead("first").over(by_block).alias("next_block"))
-    in_block = Window.partitionBy("file", "block").orderBy("ord")
-    last_of_block = F.lead(F.lit(1)).over(in_block).isNull()
-    own = entries.withColumns(
-        {"next_timestamp": F.lead("timestamp").over(in_block), "last_of_block": last_of_block}
+    """Adds the seconds to the next entry of the same file, in file order; null for the last one.
+
+    Entries are shuffled once, by block. Each block settles all its entries but the last; first and last entries of the blocks, two rows a
+    block, come from that same exchange and meet per file.
+    """
+    in_block, by_block = Window.partitionBy("file", "block").orderBy("ord"), Window.partitionBy("file").orderBy("block", "ord")
+    marked = entries.withColumns(
+        {
+            "next_timestamp": F.lead("timestamp").over(in_block),
+            "first_of_block": F.lag(F.lit(1)).over(in_block).isNull(),
+            "last_of_block": F.lead(F.lit(1)).over(in_block).isNull(),
+        }
     )
-    upcoming = F.when(F.col("last_of_block"), F.col("next_block")).otherwise(F.col("next_timestamp"))
-    gap = logtext.seconds_between(F.col("timestamp"), upcoming).alias("time_diff_seconds")
-    return own.join(following, ["file", "block"]).select(*entries.columns, gap)
+    edges = marked.where(F.col("first_of_block") | F.col("last_of_block"))
+    last = edges.withColumn("next_timestamp", F.lead("timestamp").over(by_block)).where("last_of_block")
+    gap = logtext.seconds_between(F.col("timestamp"), F.col("next_timestamp")).alias("time_diff_seconds")
+    return marked.where(~F.col("last_of_block")).unionByName(last).select(*entries.columns, gap)
 
 
 def _numbered(lines: DataFrame) -> DataFrame:
@@ -178,7 +183,7 @@ def top_by(entries: DataFrame, column: str, n: int = 10) -> DataFrame:
     return count_by(entries, column).orderBy(F.desc("count"), F.col(column).asc_nulls_last()).limit(n)
 
 
-def _pair(metric: str, key: Column) -> Column:
+def metric_key(metric: str, key: Column) -> Column:
     return F.struct(F.lit(metric).alias("metric"), key.cast("string").alias("key"))
 
 
@@ -189,11 +194,11 @@ def hour_key() -> Column:
 def metric_counts(entries: DataFrame) -> DataFrame:
     """Entries per metric and key, in one pass; the map tasks reduce to one row per metric and key."""
     pairs = F.array(
-        _pair("hour", hour_key()),
-        _pair("log_levels", F.lower("log_level")),
-        _pair("top_functions", F.col("function")),
-        _pair("top_usernames", F.col("username")),
-        _pair("top_ips", F.col("ip")),
+        metric_key("hour", hour_key()),
+        metric_key("log_levels", F.lower("log_level")),
+        metric_key("top_functions", F.col("function")),
+        metric_key("top_usernames", F.col("username")),
+        metric_key("top_ips", F.col("ip")),
     )
     return entries.select(F.explode(pairs).alias("p")).groupBy("p.metric", "p.key").agg(F.count("*").alias("n"))
 
@@ -259,7 +264,7 @@ def detect_format(lines: DataFrame, patterns: dict[str, str] = logtext.CANDIDATE
 
 def sample_distribution(entries: DataFrame, n: int = 20, component: str = "function") -> DataFrame:
     """Level and component counts over the first n entries of every file."""
-    pairs = F.explode(F.array(_pair("log_level", F.col("log_level")), _pair("component", F.col(component))))
+    pairs = F.explode(F.array(metric_key("log_level", F.col("log_level")), metric_key("component", F.col(component))))
     return (
         first_per_file(entries, n)
         .select("file", pairs.alias("p"))

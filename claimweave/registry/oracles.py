@@ -578,11 +578,16 @@ ALL_LOG_TABLES = from_log(
     f"""SELECT 'entries' AS part, strftime(date, '%Y-%m-%d') AS key, CAST(count(*) AS VARCHAR) AS value FROM parsed GROUP BY date
         UNION ALL SELECT 'hourly', concat_ws(' ', strftime(date, '%Y-%m-%d'), hour), CAST(count(*) AS VARCHAR)
         FROM parsed GROUP BY date, hour
+        UNION ALL SELECT 'files', CAST(count(DISTINCT (date, hour)) AS VARCHAR), CAST(count(*) AS VARCHAR) FROM parsed
+        UNION ALL SELECT 'avg_time_diff', concat_ws(' ', strftime(date, '%Y-%m-%d'), hour), CAST(CAST(avg(gap) AS DECIMAL(18,6)) AS VARCHAR) FROM by_hour GROUP BY date, hour
+        UNION ALL SELECT 'max_time_diff', concat_ws(' ', strftime(date, '%Y-%m-%d'), hour), CAST(CAST(max(gap) AS DECIMAL(18,6)) AS VARCHAR) FROM by_hour GROUP BY date, hour
         UNION ALL SELECT 'user', username, CAST(count(*) AS VARCHAR) FROM parsed GROUP BY username
         UNION ALL SELECT 'ip', ip, CAST(count(*) AS VARCHAR) FROM parsed GROUP BY ip
         UNION ALL SELECT 'level', concat_ws(' ', lower(log_level), function), CAST(count(*) AS VARCHAR)
         FROM parsed GROUP BY lower(log_level), function
-        UNION ALL SELECT 'stats', concat_ws(' ', metric, key), value FROM ({log_stats()}) AS s"""
+        UNION ALL SELECT 'stats', concat_ws(' ', metric, key), value FROM ({log_stats()}) AS s""",
+    by_hour="""SELECT date, hour, CAST(date_diff('second', timestamp, lead(timestamp) OVER (PARTITION BY date, hour ORDER BY pos)) AS DOUBLE) AS gap
+               FROM parsed""",
 )
 ORACLES["ingest_two_loads"] = ALL_LOG_TABLES
 ORACLES["full_reload_logs"] = ALL_LOG_TABLES

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from claimweave.functions import logtext
 from claimweave.operators import filters, keys, logs, pivots, projections, sets, staging, updates
@@ -558,25 +558,30 @@ def chunked_net_price(spark, sf_dir):
 
 
 def _write_log_files(log_text: DataFrame, folder: str) -> None:
-    """Text files by day. A busy day becomes several files, but an entry (4 positions) stays whole."""
-    lines = log_text.select(F.substring("file", 5, 10).alias("day"), "pos", "line")
-    ordered = lines.repartitionByRange("day", F.floor(F.col("pos") / 4)).sortWithinPartitions("day", "pos")
-    ordered.select("line", "day").write.mode("append").partitionBy("day").text(folder)
+    """Text files by day and hour, so that files don't depend on partitions. An entry has 4 positions, its header at the first."""
+    entry = Window.partitionBy("file", F.floor(F.col("pos") / 4))
+    hour = F.max(F.when(F.col("pos") % 4 == 0, F.substring("line", 12, 2))).over(entry)
+    lines = log_text.select(F.substring("file", 5, 10).alias("day"), hour.alias("hour"), "pos", "line")
+    ordered = lines.repartition("day", "hour").sortWithinPartitions("day", "hour", "pos")
+    ordered.select("line", "day", "hour").write.mode("append").partitionBy("day", "hour").text(folder)
 
 
 def _log_tables(spark, store: str) -> DataFrame:
-    """All six tables of a store in one long form. Time gaps are left out: they depend on how lines are cut into files."""
+    """All tables of a store in one long form, as of one commit."""
+    now = ingest.LogSnapshot(spark, store)
 
-    def part(df: DataFrame, name: str, key: Column, value: str) -> DataFrame:
-        return df.select(F.lit(name).alias("part"), key.alias("key"), F.col(value).cast("string").alias("value"))
+    def part(df: DataFrame, name: str, key: Column, value: Column) -> DataFrame:
+        return df.select(F.lit(name).alias("part"), key.alias("key"), value.cast("string").alias("value"))
 
     day = F.date_format("date", "yyyy-MM-dd")
-    entries = ingest.read_entries(spark, store).groupBy("date").agg(F.count("*").alias("n"))
-    parts = [part(entries, "entries", day, "n")]
+    parts = [part(now.entries().groupBy("date").agg(F.count("*").alias("n")), "entries", day, F.col("n"))]
+    parts.append(part(now.files().agg(F.count("*").alias("files"), F.sum("entries").alias("n")), "files", F.col("files").cast("string"), F.col("n")))
+    hourly = now.summary("hourly").withColumn("key", F.concat_ws(" ", day, F.col("hour").cast("string")))
+    parts.append(part(hourly, "hourly", F.col("key"), F.col("log_count")))
+    parts += [part(hourly, c, F.col("key"), F.col(c).cast("decimal(18,6)")) for c in ("avg_time_diff", "max_time_diff")]
     keys = {"user": F.col("username"), "ip": F.col("ip"), "level": F.concat_ws(" ", "log_level", "function")}
-    parts.append(part(ingest.read_summary(spark, store, "hourly"), "hourly", F.concat_ws(" ", day, F.col("hour").cast("string")), "log_count"))
-    parts += [part(ingest.read_summary(spark, store, n), n, key, "count") for n, key in keys.items()]
-    parts.append(part(ingest.read_stats(spark, store), "stats", F.concat_ws(" ", "metric", "key"), "value"))
+    parts += [part(now.summary(n), n, key, F.col("count")) for n, key in keys.items()]
+    parts.append(part(now.stats(), "stats", F.concat_ws(" ", "metric", "key"), F.col("value")))
     return reduce(DataFrame.unionByName, parts)
 
 

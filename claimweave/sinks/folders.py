@@ -52,3 +52,42 @@ def swap(spark: SparkSession, new: str | None, path: str) -> None:
             raise OSError(f"cannot move {new} to {path}")
     if old is not None:
         fs.delete(old, True)
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    fs, where = _at(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None without the file."""
+    fs, where = _at(spark, path)
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_text(spark: SparkSession, path: str, text: str, replace: bool = False) -> None:
+    """A small file, there as a whole or not at all: it is written beside its place and renamed. Without `replace`, an existing one is an error."""
+    fs, where = _at(spark, path)
+    _, new = _at(spark, beside(path))
+    fs.mkdirs(where.getParent())
+    stream = fs.create(new, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    try:
+        if fs.exists(where):
+            if not replace:
+                raise FileExistsError(path)
+            fs.delete(where, False)
+        if not fs.rename(new, where):
+            raise FileExistsError(path)
+    finally:
+        fs.delete(new, False)
