@@ -105,6 +105,9 @@ class Snapshots:
         done = replace(manifest, version=now.version + 1 if now else 0)
         text = {"tables": {t: [asdict(layer) for layer in layers] for t, layers in done.tables.items()}, "facts": done.facts}
         put_text(self.spark, self._manifest(done.version), json.dumps(text))
+        noted = json.loads(read_text(self.spark, self.journal) or '{"layers": []}')["layers"]
+        for path in set(noted) - done.paths():  # a step on the way, such as a layer that was merged at once
+            delete(self.spark, f"{self.root}/{path}")
         delete(self.spark, self.journal)
         self.retire(keep)
         return done
