@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimweave.session import work_folder
@@ -33,6 +33,11 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
 
 
+def whole_rows(df: DataFrame, *beside: Column) -> DataFrame:
+    """df's rows as one struct `row`, with the given columns beside it, whose names can't clash with those inside."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *beside)
+
+
 def parts_for(n_bytes: int, per_part: int, least: int = 1) -> int:
     """How many partitions keep each below per_part bytes."""
     return max(least, -(-int(n_bytes or 0) // per_part))

@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from llm.common import groups, scan_words, stored, utf8, without
+from llm.common import groups, scan_words, stored, utf8, whole_rows, without
 
 WIDTH = 10
 #: UTF-8 bytes of windows in one broadcast.
@@ -189,12 +190,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", wid
     every hit document, a value over 1 drops none. Documents without a hit, null texts included, stay as they are. A column n_chars
     follows the texts that are cut.
     """
-    names, at = docs.columns, docs.columns.index(text)
-    count_at = names.index("n_chars") if "n_chars" in names else None
+    rows = whole_rows(docs, F.col(f"`{text}`").alias("text"))
 
     def finish(batch: pa.RecordBatch, n_words: np.ndarray, found: list[list[dict]]) -> pa.RecordBatch:
-        texts, keep = batch.column(at).to_pylist(), np.ones(batch.num_rows, bool)
-        new_counts = batch.column(count_at).to_pylist() if count_at is not None else []
+        texts, keep = batch.column(1).to_pylist(), np.ones(batch.num_rows, bool)
         for k, own in enumerate(found):
             if own:
                 n_hit = sum(b - a for a, b in _merged([(h["first"], h["end"]) for h in own]))
@@ -204,13 +203,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", wid
                     rest.append(raw[left:a])
                     left = b
                 texts[k] = b"".join([*rest, raw[left:]]).decode()
-                if count_at is not None:
-                    new_counts[k] = len(texts[k])
-        changed = {at: texts, count_at: new_counts}
-        columns = [pa.array(changed[k], batch.column(k).type) if k in changed else batch.column(k) for k in range(len(names))]
-        return pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep))
+        hit = pa.array([bool(own) for own in found], pa.bool_())
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), hit], ["row", "text", "hit"]).filter(pa.array(keep))
 
-    return scan(docs, benchmark, finish, docs.schema, text, width, most)
+    out = scan(rows, benchmark, finish, T.StructType([*rows.schema.fields]).add("hit", "boolean"), "text", width, most)
+    new = {text: F.col("text"), "n_chars": F.when(F.col("hit"), F.length("text")).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return out.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 REPORT_SQL = rf"""

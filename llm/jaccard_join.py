@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import groups, mixed, scan_words, stored, utf8
+from llm.common import groups, mixed, scan_words, stored, utf8, whole_rows
 from llm.components import components, local_roots
 
 NGRAM = 5
@@ -339,14 +339,14 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width:
     Rows without words all stay. Of repeated rows with one id and text, one stays.
     """
     found = _linked(docs, doc_id, text, width, threshold, tolerance, block)
-    md5 = F.md5(F.col(f"`{text}`").cast("binary"))
-    reps = found.where("digest IS NOT NULL").select(F.col("group_rep.id").alias("__id"), F.col("group_rep.text_md5").alias("__md5")).distinct()
-    wordless = found.where("digest IS NULL").select(F.col("id").alias("__id"), F.col("text_md5").alias("__md5")).distinct()
-    kept = stored(reps.withColumn("__all", F.lit(False)).union(wordless.withColumn("__all", F.lit(True))), "kept-rows")
-    names = docs.columns
-    joined = docs.withColumn("__text_md5", md5).join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & F.col("__text_md5").eqNullSafe(F.col("__md5")))
-    numbered = joined.selectExpr("*", "row_number() OVER (PARTITION BY __id, __md5 ORDER BY __md5) AS __number")
-    return numbered.where("__all OR __number = 1").select(*[F.col(f"`{c}`") for c in names])
+    reps = found.where("digest IS NOT NULL").select(F.col("group_rep.id").alias("id"), F.col("group_rep.text_md5").alias("md5")).distinct()
+    wordless = found.where("digest IS NULL").select("id", F.col("text_md5").alias("md5")).distinct()
+    kept = stored(reps.withColumn("every", F.lit(False)).union(wordless.withColumn("every", F.lit(True))), "kept-rows")
+    rows = whole_rows(docs, F.col(f"`{doc_id}`").alias("own_id"), F.md5(F.col(f"`{text}`").cast("binary")).alias("own_md5"))
+    same = F.col("own_id").eqNullSafe(F.col("id")) & F.col("own_md5").eqNullSafe(F.col("md5"))
+    # Wordless rows all stay, so only the others are numbered.
+    one = rows.join(kept.where("NOT every"), same).selectExpr("row", "row_number() OVER (PARTITION BY id, md5 ORDER BY md5) AS number").where("number = 1")
+    return one.select("row.*").union(rows.join(kept.where("every"), same).select("row.*"))
 
 
 LINKS_SQL = rf"""

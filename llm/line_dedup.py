@@ -2,7 +2,8 @@
 
 For each host, a line's ratio is the number of pages that contain it over all pages of the host. Lines above a ratio are the site's
 boilerplate and go. Pages count a line once. Counting is a two-level aggregate over digests, so a host with a third
-of all pages is summed where its rows lie. A host's boilerplate is a short list: at most (mean lines per page / ratio)
+of all pages is summed where its rows lie. The ratio decides for hosts of any size, with one exception: a line must be on MIN_PAGES = 2 pages, since on a host
+of up to 9 pages every line exceeds a tenth of them. So on a host of fewer than 20 pages, what two of its pages share goes. A host's boilerplate is a short list: at most (mean lines per page / ratio)
 lines exceed the ratio. Pages meet it in a join by host: broadcast if its measured size is small, else a shuffle
 join, whose hot hosts Spark splits.
 """
@@ -12,18 +13,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import stored, without
+from llm.common import stored, whole_rows, without
 
 MAX_RATIO = 0.1
-MIN_PAGES = 5
+#: A line on one page alone repeats nothing. Beyond that, the ratio decides, on hosts of any size.
+MIN_PAGES = 2
 BROADCAST_BYTES = 8 << 20
 
 _TEMP = ["__host", "__lines", "__drop"]
 
 
+#: Outer white space that doesn't make lines differ.
+BLANKS = " \t\r\x0b\x0c"
+
+
+def bare_line(line: Column) -> Column:
+    return F.btrim(line, F.lit(BLANKS))
+
+
 def line_key(line: Column) -> Column:
-    """What makes lines equal: the text without outer spaces; blank lines have no key."""
-    bare = F.trim(line)
+    """What makes lines equal: the text without outer white space; blank lines have no key."""
+    bare = bare_line(line)
     return F.when(bare != "", F.unhex(F.md5(bare)))
 
 
@@ -57,7 +67,7 @@ def split_boilerplate(pages: DataFrame, host: Column, lines: Column, max_ratio:
     kept = F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(
         F.filter("__lines", lambda x: ~F.coalesce(F.array_contains("__drop", line_key(x)), F.lit(False)))
     )
-    full = lambda c: F.size(F.filter(c, lambda x: F.trim(x) != "")).cast("long")
+    full = lambda c: F.size(F.filter(c, lambda x: bare_line(x) != "")).cast("long")
     return (
         joined.withColumn("kept_lines", kept)
         .withColumns({"n_lines": full("__lines"), "n_dropped": full("__lines") - full("kept_lines")})
@@ -67,14 +77,14 @@ def split_boilerplate(pages: DataFrame, host: Column, lines: Column, max_ratio:
 
 # -- pages and documents ------------------------------------------------------------------------------
 
-HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)"
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]]*\]|[^/?#:@]+)"
 UNSEEN = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->"
 BREAKS = r"</?(address|article|aside|blockquote|body|br|div|dd|dl|dt|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)(\s[^>]*)?/?>"
 TAG = r"<[^>]*>"
 
 
 def url_host(url: Column) -> Column:
-    """The lower-case host of a URL; null if it has none."""
+    """The lower-case host of a URL, without user and port; null if it has none."""
     found = F.lower(F.regexp_extract(url, HOST, 1))
     return F.when(found != "", found)
 
@@ -82,7 +92,7 @@ def url_host(url: Column) -> Column:
 def html_lines(html: Column) -> Column:
     """Visible text by blocks: scripts, styles and comments go, block tags break lines, other tags vanish; no blank lines."""
     text = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, UNSEEN, ""), BREAKS, "\n"), TAG, "")
-    return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, "\n"), bare_line), lambda x: x != "")
 
 
 def dedup_pages(pages: DataFrame, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -97,11 +107,12 @@ def dedup_documents(docs: DataFrame, host: str = "source", text: str = "text", m
 
     A null text stays null. A text without boilerplate stays as it is, byte for byte; one of nothing but boilerplate becomes empty.
     """
-    names = docs.columns
-    out = split_boilerplate(docs, F.col(f"`{host}`"), F.split(F.col(f"`{text}`"), "\n"), max_ratio, min_pages)
-    new = F.when(F.col("n_dropped") > 0, F.array_join("kept_lines", "\n")).otherwise(F.col(f"`{text}`"))
-    final = {text: new} | ({"n_chars": F.coalesce(F.length(new).cast("long"), F.col("n_chars"))} if "n_chars" in names else {})
-    return out.select(*[final[c].alias(c) if c in final else F.col(f"`{c}`") for c in names])
+    rows = whole_rows(docs, F.col(f"`{host}`").alias("host"), F.col(f"`{text}`").alias("text"))
+    out = split_boilerplate(rows, F.col("host"), F.split("text", "\n"), max_ratio, min_pages)
+    new = {text: F.when(F.col("n_dropped") > 0, F.array_join("kept_lines", "\n")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.coalesce(F.length(new[text]).cast("long"), F.col("row.n_chars"))
+    return out.select(*[(new[c] if c in new else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 PAGES_SQL = rf"""
@@ -110,7 +121,7 @@ WITH lined AS (
     CASE WHEN regexp_extract(url, '{HOST}', 1) <> '' THEN lower(regexp_extract(url, '{HOST}', 1)) END AS host,
     list_filter(list_transform(string_split(
       regexp_replace(regexp_replace(regexp_replace(html, '<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'gs'),
-        '{BREAKS}', chr(10), 'g'), '{TAG}', '', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines
+        '{BREAKS}', chr(10), 'g'), '{TAG}', '', 'g'), chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13) || chr(11) || chr(12))), lambda x: x <> '') AS lines
   FROM pages
 ), totals AS (
   SELECT host, count(*) AS n_pages FROM lined WHERE host IS NOT NULL GROUP BY host

@@ -8,7 +8,12 @@ lazily with the tokenizer library, one per distinct unit, and kept in a bounded
 
 A text is read in chunks. From an unknown entry state, a chunk is the map (head, n, tail): what it adds to an
 open unit, tokens emitted between its first and last border, what it leaves open. Maps compose associatively, so
-the chunks of a text are composed by a parallel prefix scan, which also gives the tokens before each chunk.
+the chunks of a text are composed by a parallel scan over a tree; the counts need its upward half only (`reduce`), whose maps don't
+outlive their round, so memory grows with the text and not with its square. `scan` gives the tokens before each chunk as well.
+
+Text without spaces has borders too: between two characters that stand side by side in no piece, no token can reach across. Units of over
+LONG_UNIT characters are cut there. What is left whole then, a run like `ababab` whose pairs are all pieces, costs the library's own memory, about 54
+bytes a byte: 430 MB for 8 MB.
 
 Texts of up to CHUNK_CHARS without double or leading spaces or the table's marks don't need chunks: their units are what lies
 between spaces, and the counts of these are summed (`short`). That is the sum that their chunk map would give, for less.
@@ -36,15 +41,17 @@ UNIT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 CHUNK_CHARS = 1 << 16
 #: Transitions kept per Python worker, about 150 bytes each.
 MAX_TRANSITIONS = 1_000_000
+#: Longer units are cut between characters that no piece joins, and are not kept in the table.
+LONG_UNIT = 1000
 
 
 @dataclass(frozen=True)
 class ChunkMap:
-    """head and tail are open units; without a border inside (n is None) all of the chunk is head."""
+    """head and tail are open units, as slices in a row; without a border inside (n is None) all of the chunk is head."""
 
-    head: str
+    head: tuple[str, ...]
     n: int | None = None
-    tail: str = ""
+    tail: tuple[str, ...] = ()
 
 
 class Transducer:
@@ -59,6 +66,11 @@ class Transducer:
         if not self.local:
             warnings.warn(f"{model_path} merges or changes texts across borders: every text is counted as a whole by the library", stacklevel=2)
         self.most = most
+        own = [i for i in range(len(pieces)) if not (self.library.is_control(i) or self.library.is_unknown(i) or self.library.is_byte(i))]
+        joined = {pieces[i][k : k + 2] for i in own for k in range(len(pieces[i]) - 1)}
+        self.joined = np.unique([ord(a) << 21 | ord(b) for a, b in joined]).astype(np.int64)
+        # Without byte pieces, unknown characters side by side become one token.
+        self.single = None if any(self.library.is_byte(i) for i in range(len(pieces))) else np.unique([ord(pieces[i]) for i in own if len(pieces[i]) == 1])
         self.emitted: dict[str, int] = {}
         self.newline = len(self.library.encode("\n", num_threads=1))  # with the space mark in front
         self.space = 2 * self.newline - len(self.library.encode("\n\n", num_threads=1))
@@ -83,41 +95,76 @@ class Transducer:
             return None
         return text.replace("\n", " \x02").split(" ") if text else []
 
-    def raw_units(self, text: str) -> list[str]:
-        return ["\x03" + u for u in UNIT.findall(text)]
-
-    def total(self, text: str) -> int:
-        units = self.raw_units(text)
-        self.compile(units)
-        return sum(map(self.emitted.__getitem__, units))
+    def units(self, text: str) -> list[str]:
+        """Units between borders: spaces and newlines, and inside long ones where no piece joins two characters."""
+        out: list[str] = []
+        for unit in UNIT.findall(text):
+            if len(unit) <= LONG_UNIT:
+                out.append(unit)
+                continue
+            codes = np.frombuffer(unit.replace(" ", "▁").encode("utf-32-le"), np.uint32).astype(np.int64)
+            pairs = codes[:-1] << 21 | codes[1:]
+            apart = self.joined[np.minimum(np.searchsorted(self.joined, pairs), len(self.joined) - 1)] != pairs
+            if self.single is not None:
+                known = np.isin(codes, self.single)
+                apart &= known[:-1] | known[1:]
+            cuts = [0, *(np.flatnonzero(apart) + 1).tolist(), len(unit)]
+            out += [unit[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+        return out
+
+    def emit(self, units: list[str]) -> int:
+        """Tokens of whole units."""
+        keys = ["\x03" + u for u in units if len(u) <= LONG_UNIT]
+        self.compile(keys)
+        total = sum(map(self.emitted.__getitem__, keys))
+        for u in units:
+            if len(u) > LONG_UNIT:
+                total += len(self.library.encode("\n" + u, num_threads=1)) - self.newline
+        return total
 
     def chunk_map(self, chunk: str) -> ChunkMap:
-        units = UNIT.findall(chunk)
+        units = self.units(chunk)
         if len(units) < 2:
-            return ChunkMap(chunk)
-        inner = ["\x03" + u for u in units[1:-1]]
-        self.compile(inner)
-        return ChunkMap(units[0], sum(map(self.emitted.__getitem__, inner)), units[-1])
+            return ChunkMap((chunk,))
+        return ChunkMap((units[0],), self.emit(units[1:-1]), (units[-1],))
 
     def compose(self, a: ChunkMap, b: ChunkMap) -> ChunkMap:
-        """The map of two neighbouring chunks."""
+        """The map of two neighbouring chunks. Only the ends that meet are looked at: is there a border where they touch?"""
         left, right = (a.head if a.n is None else a.tail), b.head
-        joint = UNIT.findall(left + right)
+        met = self._met(left, right)
         if a.n is None:
-            first, rest = (joint[0] if joint else ""), joint[1:]
-            if not rest:
-                return ChunkMap(first) if b.n is None else ChunkMap(first, b.n, b.tail)
+            if len(met) == 1:
+                return ChunkMap(met[0], b.n, b.tail)
             if b.n is None:
-                return ChunkMap(first, self.total("".join(rest[:-1])) if len(rest) > 1 else 0, rest[-1])
-            return ChunkMap(first, self._units(rest) + b.n, b.tail)
+                return ChunkMap(met[0], self._whole(met[1:-1]), met[-1])
+            return ChunkMap(met[0], self._whole(met[1:]) + b.n, b.tail)
         if b.n is None:
-            return ChunkMap(a.head, a.n + self._units(joint[:-1]), joint[-1] if joint else "")
-        return ChunkMap(a.head, a.n + self._units(joint) + b.n, b.tail)
-
-    def _units(self, units: list[str]) -> int:
-        keys = ["\x03" + u for u in units]
-        self.compile(keys)
-        return sum(map(self.emitted.__getitem__, keys))
+            return ChunkMap(a.head, a.n + self._whole(met[:-1]), met[-1])
+        return ChunkMap(a.head, a.n + self._whole(met) + b.n, b.tail)
+
+    def _met(self, left: tuple[str, ...], right: tuple[str, ...]) -> list[tuple[str, ...]]:
+        """left and right as units: one if no border lies where they touch. Each is one unit, or short enough to be cut anew."""
+        if sum(map(len, left)) + sum(map(len, right)) <= 4 * LONG_UNIT:
+            return [(u,) for u in self.units("".join(left + right))] or [()]
+        if not left or not right:
+            return [left or right]
+        # A unit is spaces with the word behind them, or a newline, so a border needs a space or newline on the right, or a newline on the left.
+        a, b = left[-1][-1], right[0][0]
+        if a == "\n" or b == "\n" or (b == " " and a != " "):
+            return [left, right]
+        pair = ord("▁" if a == " " else a) << 21 | ord("▁" if b == " " else b)
+        k = min(int(np.searchsorted(self.joined, pair)), len(self.joined) - 1)
+        apart = self.joined[k] != pair and (self.single is None or ord(a) in self.single or ord(b) in self.single)
+        return [left, right] if apart else [left + right]
+
+    def _whole(self, units: list[tuple[str, ...]]) -> int:
+        return self.emit(["".join(u) for u in units])
+
+    def reduce(self, maps: list[ChunkMap]) -> ChunkMap:
+        """The map of all chunks, by a tree; within a round all compositions are independent, and its maps replace those before."""
+        while len(maps) > 1:
+            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
+        return maps[0]
 
     def scan(self, maps: list[ChunkMap]) -> list[ChunkMap]:
         """Inclusive prefix scan in log2(n) rounds; within a round all compositions are independent."""
@@ -129,11 +176,15 @@ class Transducer:
 
     def close(self, m: ChunkMap) -> int:
         """Tokens of a whole text with this map."""
-        return self.total(m.head) if m.n is None else self.total(m.head) + m.n + self.total(m.tail)
+        total = m.n or 0
+        for end in [m.head] if m.n is None else [m.head, m.tail]:
+            # Several slices that are long together have no border inside or where they touch.
+            total += self._whole([end]) if len(end) > 1 and sum(map(len, end)) > 4 * LONG_UNIT else self.emit(self.units("".join(end)))
+        return total
 
     def chunked(self, text: str, size: int = CHUNK_CHARS) -> int:
         text = " " + text  # the library puts a space in front of every text that isn't empty
-        return self.close(self.scan([self.chunk_map(text[i : i + size]) for i in range(0, len(text), size)])[-1])
+        return self.close(self.reduce([self.chunk_map(text[i : i + size]) for i in range(0, len(text), size)]))
 
     def counts(self, texts: list[str]) -> list[int]:
         if not self.local:

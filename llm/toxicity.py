@@ -15,14 +15,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from llm.common import Words, groups, mixed, scan_words, utf8, without
+from llm.common import Words, groups, mixed, scan_words, utf8, whole_rows, without
 
 #: Labelled rows to learn from at most, about; the sample is drawn by a hash of the id.
 MAX_TRAIN = 12_000
 MAX_SKIP = 2
 MIN_DOCS = 3
 _BITS = 20
+#: The log-odds of every text if there is no label at all.
+NOT_TOXIC = -4.0
 
 
 @dataclass(frozen=True)
@@ -39,9 +42,12 @@ class Settings:
 
 @dataclass(frozen=True)
 class Model:
+    """Without labels of both kinds nothing is learnt: `fitted` is false, and all texts score alike."""
+
     hashes: np.ndarray  # sorted
     weights: np.ndarray
     bias: float
+    fitted: bool = True
 
 
 def feature_hashes(words: Words, max_skip: int = MAX_SKIP) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -60,7 +66,7 @@ def fit(texts: list[pa.Array], labels: np.ndarray, s: Settings = Settings(), max
     positive, total = int(labels.sum()), len(labels)
     prior = float(np.log((positive + 1) / (total - positive + 1)))
     if positive in (0, total):
-        return Model(np.zeros(0, np.uint64), np.zeros(0), prior)
+        return Model(np.zeros(0, np.uint64), np.zeros(0), prior, False)
 
     def documents() -> Iterator[np.ndarray]:
         for column in texts:
@@ -166,14 +172,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_train: i
         y = np.asarray(rows["label"]).astype(np.float64)
         model = fit(rows["text"].chunks, y, settings)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([model.hashes.tobytes()]), pa.array([model.weights.tobytes()]), pa.array([model.bias])], ["hashes", "weights", "bias"]
+            [pa.array([model.hashes.tobytes()]), pa.array([model.weights.tobytes()]), pa.array([model.bias]), pa.array([model.fitted])], ["hashes", "weights", "bias", "fitted"]
         )
 
     rows = training_rows(docs, labels, label, max_train).repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
-    got = rows.select("label", "text").mapInArrow(run, "hashes binary, weights binary, bias double").first()
-    if got is None:  # no labelled document
-        return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0)
-    return Model(np.frombuffer(bytes(got.hashes), np.uint64), np.frombuffer(bytes(got.weights), np.float64), got.bias)
+    got = rows.select("label", "text").mapInArrow(run, "hashes binary, weights binary, bias double, fitted boolean").first()
+    if got is None:  # no labelled document: no text is known to be toxic
+        return Model(np.zeros(0, np.uint64), np.zeros(0), NOT_TOXIC, False)
+    return Model(np.frombuffer(bytes(got.hashes), np.uint64), np.frombuffer(bytes(got.weights), np.float64), got.bias, got.fitted)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -206,12 +212,18 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
             p = sigmoid(total)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))], [*names, "score", "predicted"])
 
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema], "score double", "predicted int"])
+    schema = T.StructType([*base.schema.fields]).add("score", "double").add("predicted", "integer")
     held = F.coalesce(F.crc32(F.col(f"`{doc_id}`").cast("string")) % 5 == 0, F.lit(True))
     return base.mapInArrow(run, schema).withColumn("held_out", held)
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without those predicted toxic; columns stay. Null and empty texts stay unless most labelled texts are toxic."""
-    scored = score(docs, train(docs, labels))
-    return scored.where(F.col("predicted") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """docs without those predicted toxic; every column stays as it is, whatever its name.
+
+    Without labels of both kinds nothing is learnt and all rows stay. Null and empty texts stay unless most labelled texts are toxic.
+    """
+    model = train(docs, labels)
+    if not model.fitted:
+        return docs
+    rows = whole_rows(docs, F.col("doc_id"), F.col("text"))
+    return score(rows, model).where("predicted = 0").select("row.*")

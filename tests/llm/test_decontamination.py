@@ -59,3 +59,13 @@ def test_spans_are_cut_and_clean_documents_stay(docs, benchmark):
         assert not expected(r.text, {k: v for k, v in known.items() if len(k) == 10})[4]
         assert r.n_chars is None or r.text is None or r.n_chars in (len(r.text), 1, 30)
     assert decontamination.decontaminate(docs, benchmark, drop_share=0).count() == len([r for r in docs.collect() if not expected(r.text, known)[4]])
+
+
+@pytest.mark.parametrize("most", [decontamination.BROADCAST_BYTES, 4000])
+def test_columns_named_like_the_scans_stay(docs, benchmark, most):
+    named = docs.selectExpr("*", "'h' AS __hits", "5 AS __n_words", "true AS hit", "1 AS row", "2 AS hits")
+    out = decontamination.decontaminate(named, benchmark, most=most)
+    assert out.columns == named.columns
+    other = ["__hits", "__n_words", "hit", "row", "hits"]
+    assert {tuple(r) for r in out.select(*other).collect()} == {("h", 5, True, 1, 2)}
+    assert sorted(map(repr, out.select("doc_id", "text", "n_chars").collect())) == sorted(map(repr, decontamination.decontaminate(docs, benchmark).select("doc_id", "text", "n_chars").collect()))

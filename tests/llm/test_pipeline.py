@@ -48,6 +48,23 @@ def test_stages_take_effect_and_keep_clean_documents(spark, world):
         assert (t != seen["jaccard_join"][i]) == (i in range(40, 45))
 
 
+@pytest.mark.parametrize("empty", ["labels", "benchmark", "documents"])
+def test_empty_tables(spark, world, tmp_path, empty):
+    """Without labels or benchmark the stage keeps all; without documents there is nothing to pack."""
+    for name in ("documents", "labels", "benchmark"):
+        table = spark.read.parquet(f"{world}/{name}.parquet")
+        (table.limit(0) if name == empty else table).write.parquet(f"{tmp_path}/{name}.parquet")
+    ids = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()}
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    gone = {r.doc_id for r in docs.select("doc_id").collect()} - ids
+    if empty == "documents":
+        assert ids == set()
+    elif empty == "labels":
+        assert gone == {*range(21, 30), 501}
+    else:
+        assert {*range(21, 30), 501} <= gone and not gone & set(range(60, 160))
+
+
 def test_run_packs_all_that_is_left(spark, world):
     out = corpus_pipeline.run(spark, world)
     ids = {r.doc_id for r in out.select("doc_id").distinct().collect()}

@@ -28,6 +28,37 @@ def test_chunk_maps_compose(text, size):
     assert machine.chunked(text, size) == len(library.encode(text))
 
 
+unbroken = st.lists(st.sampled_from(["a", "ing", "q7", "xZ", "the", "0", "é", "漢字", "🙂", "ß", "▁", "ab" * 40, "\n", " ", "  ", "%%", "\t"]), min_size=200, max_size=1500)
+
+
+@settings(max_examples=60, deadline=None)
+@given(unbroken.map("".join), st.sampled_from([50, 700, 1500, 5000]))
+def test_long_units_are_cut_where_no_piece_joins(text, size):
+    text = text.replace("▁", " ")
+    assert machine.chunked(text, size) == len(library.encode(text))
+
+
+def test_memory_grows_with_an_unbroken_text():
+    import random
+    import tracemalloc
+
+    from llm import token_counts
+
+    rng = random.Random(5)
+    peaks = []
+    for mb in (1, 4):
+        text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=mb << 20))
+        fresh = Transducer(PATH, most=20_000)
+        want = len(library.encode(text))
+        tracemalloc.start()
+        assert fresh.chunked(text) == want
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 8 * peaks[0] and peaks[1] < 60 << 20
+    whole = "ab" * 100_000  # no border anywhere
+    assert machine.chunked(whole, token_counts.CHUNK_CHARS) == len(library.encode(whole))
+
+
 def test_a_full_table_starts_anew():
     small = Transducer(PATH, most=5)
     texts = ["one two three four", "five six seven", "one two"] * 3
