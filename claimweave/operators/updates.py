@@ -14,6 +14,7 @@ from claimweave.schemas import (
     OBS_ATTRIBUTES,
     OBSERVATION_SLOTS,
 )
+from claimweave.sources.contracts import Keyed, Source, frame_of, is_unique
 
 
 def take_matched(target: DataFrame, joined: DataFrame, hits: dict[str, str]) -> DataFrame:
@@ -36,7 +37,7 @@ def take_matched(target: DataFrame, joined: DataFrame, hits: dict[str, str]) ->
 
 def update_from(
     target: DataFrame,
-    source: DataFrame,
+    source: Source,
     on: dict[str, str],
     assign: dict[str, str],
     order_by: list[str] | None = None,
@@ -46,9 +47,11 @@ def update_from(
 
     ``on`` maps target keys to source keys, ``assign`` target columns to source columns.
     If several source rows share a key, the first one under ``order_by`` (then by value)
-    is taken; pass ``unique=True`` for sources that have one row per key by construction.
+    is taken, which costs a sorted aggregate of the source. Sources whose key was counted (``Keyed``) go without;
+    pass ``unique=True`` for sources that have one row per key by construction.
     """
     keys = list(on.values())
+    unique, source = unique or is_unique(source, keys), frame_of(source)
     needed = keys + [c for c in dict.fromkeys([*assign.values(), *(order_by or [])]) if c not in keys]
     picked = source.select(*needed)
     if not unique:
@@ -62,9 +65,9 @@ def update_from(
     return take_matched(target, joined, {t: "was_hit" for t in assign})
 
 
-def patient_attributes(patient: DataFrame, as_of: date | str | None = None) -> DataFrame:
+def patient_attributes(patient: Source, as_of: date | str | None = None) -> Source:
     born = scalars.birth_date(F.col("expected_dob"), F.col("dateofbirth"))
-    return patient.select(
+    attributes = frame_of(patient).select(
         "mr_no",
         scalars.full_name(F.col("patient_name"), F.col("middle_name"), F.col("last_name")).alias("patientname"),
         scalars.month_day_year(born).alias("patientbirthdate"),
@@ -73,6 +76,7 @@ def patient_attributes(patient: DataFrame, as_of: date | str | None = None) -> D
         F.col("custom_list1_value").alias("nationality"),
         F.col("custom_field2").alias("passport_no"),
     )
+    return patient.with_frame(attributes) if is_unique(patient, ["mr_no"]) else attributes
 
 
 PATIENT_COLUMNS = ["patientname", "patientbirthdate", "age", "gender", "nationality", "passport_no"]
@@ -85,17 +89,21 @@ DOCTOR_COLUMNS = [
 ]
 
 
-def visit_doctor_attributes(registration: DataFrame, doctor: DataFrame, department: DataFrame) -> DataFrame:
-    """Doctor, department and transfer attributes of a visit; no row unless both lookups succeed."""
+def visit_doctor_attributes(registration: Source, doctor: Source, department: Source) -> Source:
+    """Doctor, department and transfer attributes of a visit; no row unless both lookups succeed.
+
+    One row per visit if all three sources are unique by their keys.
+    """
+    unique = is_unique(registration, ["patient_id"]) and is_unique(doctor, ["doctor_id"]) and is_unique(department, ["dept_id"])
     staff = key_join(
-        doctor.select("doctor_id", "doctor_name", "dept_id"),
-        department.select(F.col("dept_id").alias("d_id"), F.col("dept_name").alias("doctor_dept")),
+        frame_of(doctor).select("doctor_id", "doctor_name", "dept_id"),
+        frame_of(department).select(F.col("dept_id").alias("d_id"), F.col("dept_name").alias("doctor_dept")),
         {"dept_id": "d_id"},
     ).drop("dept_id")
-    visits = registration.select(
+    visits = frame_of(registration).select(
         "patient_id", "doctor", "reg_date", "reg_time", "transfer_source", "transfer_destination"
     )
-    return key_join(visits, staff, {"doctor": "doctor_id"}).select(
+    attributes = key_join(visits, staff, {"doctor": "doctor_id"}).select(
         F.col("patient_id").alias("reg_visit_id"),
         F.col("doctor_name").alias("doctorname"),
         F.col("doctor_dept").alias("doctorsdepartment"),
@@ -103,15 +111,17 @@ def visit_doctor_attributes(registration: DataFrame, doctor: DataFrame, departme
         F.col("transfer_destination").alias("encountertransferdestination"),
         scalars.date_plus_time(F.col("reg_date"), F.col("reg_time")).alias("registration_date"),
     )
+    return Keyed(attributes, ("reg_visit_id",)) if unique else attributes
 
 
-def plan_attributes(plan: DataFrame, category: DataFrame) -> DataFrame:
-    """Plan name and category name; a plan without a known category does not update."""
-    return key_join(
-        plan.select("plan_id", "plan_name", "category_id"),
-        category.select(F.col("category_id").alias("cat_id"), "category_name"),
+def plan_attributes(plan: Source, category: Source) -> Source:
+    """Plan name and category name; a plan without a known category does not update. One row per plan if both sources are unique."""
+    attributes = key_join(
+        frame_of(plan).select("plan_id", "plan_name", "category_id"),
+        frame_of(category).select(F.col("category_id").alias("cat_id"), "category_name"),
         {"category_id": "cat_id"},
     ).select("plan_id", F.col("plan_name").alias("insurance_plan"), F.col("category_name").alias("insurance_plan_type"))
+    return Keyed(attributes, ("plan_id",)) if is_unique(plan, ["plan_id"]) and is_unique(category, ["category_id"]) else attributes
 
 
 def same_names(columns: list[str]) -> dict[str, str]:
@@ -126,37 +136,37 @@ OBS_ASSIGN = {
 }
 
 
-def update_patient(claims: DataFrame, patient: DataFrame, as_of: date | str | None = None) -> DataFrame:
+def update_patient(claims: DataFrame, patient: Source, as_of: date | str | None = None) -> DataFrame:
     attributes = patient_attributes(patient, as_of)
     return update_from(claims, attributes, {"patientid": "mr_no"}, same_names(PATIENT_COLUMNS))
 
 
-def update_insurer(claims: DataFrame, company: DataFrame) -> DataFrame:
+def update_insurer(claims: DataFrame, company: Source) -> DataFrame:
     on = {"insurance_co_id": "insurance_co_id"}
     return update_from(claims, company, on, {"insurancecompany": "insurance_co_name"})
 
 
-def update_rate_plan(claims: DataFrame, organization: DataFrame) -> DataFrame:
+def update_rate_plan(claims: DataFrame, organization: Source) -> DataFrame:
     return update_from(claims, organization, {"rate_plan_id": "org_id"}, {"rate_plan": "org_name"})
 
 
-def update_plan(claims: DataFrame, plan: DataFrame, category: DataFrame) -> DataFrame:
+def update_plan(claims: DataFrame, plan: Source, category: Source) -> DataFrame:
     attributes = plan_attributes(plan, category)
     return update_from(
         claims, attributes, {"plan_id": "plan_id"}, same_names(["insurance_plan", "insurance_plan_type"])
     )
 
 
-def update_tpa(claims: DataFrame, tpa: DataFrame) -> DataFrame:
+def update_tpa(claims: DataFrame, tpa: Source) -> DataFrame:
     return update_from(claims, tpa, {"tpa_id": "tpa_id"}, {"tpa_name": "tpa_name"})
 
 
-def update_center(claims: DataFrame, center: DataFrame) -> DataFrame:
+def update_center(claims: DataFrame, center: Source) -> DataFrame:
     return update_from(claims, center, {"center_id": "center_id"}, {"centername": "center_name"})
 
 
 def update_doctor(
-    claims: DataFrame, registration: DataFrame, doctor: DataFrame, department: DataFrame
+    claims: DataFrame, registration: Source, doctor: Source, department: Source
 ) -> DataFrame:
     attributes = visit_doctor_attributes(registration, doctor, department)
     return update_from(claims, attributes, {"visit_id": "reg_visit_id"}, same_names(DOCTOR_COLUMNS))

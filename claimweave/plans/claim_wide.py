@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
@@ -25,24 +25,45 @@ from claimweave.operators.updates import (
     update_tpa,
     visit_doctor_attributes,
 )
+from claimweave.sources.contracts import Source, checked, frame_of, is_unique
+
+
+# The keys of the masters.
+MASTER_KEYS: dict[str, tuple[str, ...]] = {
+    "patient": ("mr_no",),
+    "registration": ("patient_id",),
+    "doctor": ("doctor_id",),
+    "department": ("dept_id",),
+    "center": ("center_id",),
+    "insurance_company": ("insurance_co_id",),
+    "organization": ("org_id",),
+    "plan": ("plan_id",),
+    "category": ("category_id",),
+    "tpa": ("tpa_id",),
+}
 
 
 @dataclass(frozen=True)
 class ClaimSources:
-    """The frames an enrichment run reads."""
+    """The frames an enrichment run reads. Masters may come as `Keyed`, which spares them an aggregate each."""
 
-    patient: DataFrame
-    registration: DataFrame
+    patient: Source
+    registration: Source
     diagnosis: DataFrame
     observation: DataFrame
-    doctor: DataFrame
-    department: DataFrame
-    center: DataFrame
-    insurance_company: DataFrame
-    organization: DataFrame
-    plan: DataFrame
-    category: DataFrame
-    tpa: DataFrame
+    doctor: Source
+    department: Source
+    center: Source
+    insurance_company: Source
+    organization: Source
+    plan: Source
+    category: Source
+    tpa: Source
+
+    def with_unique_keys(self) -> ClaimSources:
+        """The same sources after counting the masters' keys in one job; a repeated key is an error."""
+        declared = {n: (frame_of(getattr(self, n)), list(keys)) for n, keys in MASTER_KEYS.items() if not is_unique(getattr(self, n), list(keys))}
+        return replace(self, **checked(declared)) if declared else self
 
 
 def select_claims(
@@ -57,14 +78,16 @@ def select_claims(
     return project_claim_fact(chosen)
 
 
-def update_visit(claims: DataFrame, doctor_attributes: DataFrame, diag_pivot: DataFrame) -> DataFrame:
+def update_visit(claims: DataFrame, doctor_attributes: Source, diag_pivot: DataFrame) -> DataFrame:
     """Doctor and diagnosis updates in one join.
 
     Both sources have one row per visit. Joined to each other first, they cost the much larger
     fact table one shuffle on the visit instead of two.
     """
     assign = {**same_names(DOCTOR_COLUMNS), **DIAG_ASSIGN}
-    doctors = one_per_key(doctor_attributes, ["reg_visit_id"]).select(
+    unique = is_unique(doctor_attributes, ["reg_visit_id"])
+    one_each = frame_of(doctor_attributes) if unique else one_per_key(doctor_attributes, ["reg_visit_id"])
+    doctors = one_each.select(
         "reg_visit_id",
         *[F.col(c).alias(f"new_{c}") for c in DOCTOR_COLUMNS],
         F.lit(True).alias("has_doctor"),

@@ -46,11 +46,12 @@ def run_for_params(
 
 @dataclass(frozen=True)
 class DimSpec:
-    """A master table to copy: where it is read from, its columns and the target name."""
+    """A master table to copy: where it is read from, its columns, the target name and the key it declares to be unique."""
 
     name: str
     source: DataFrame
     columns: tuple[str, ...] = ()
+    unique: tuple[str, ...] = ()
 
     def frame(self) -> DataFrame:
         return self.source.select(*self.columns) if self.columns else self.source
@@ -69,11 +70,28 @@ MASTERS: dict[str, tuple[str, ...]] = {
 }
 
 
+# The masters' keys, each the first column of its table.
+MASTER_KEYS: dict[str, str] = {
+    "department": "dept_id",
+    "doctor": "doctor_id",
+    "hospital_center": "center_id",
+    "insurance_category": "category_id",
+    "insurance_company": "insurance_co_id",
+    "insurance_plan": "plan_id",
+    "organization": "org_id",
+    "tpa": "tpa_id",
+}
+
+
 def master_specs(sources: dict[str, DataFrame], whole: bool = False) -> list[DimSpec]:
-    """Copies of the given masters with the columns the enrichment needs, or with all of them."""
-    return [DimSpec(name, df, () if whole else MASTERS[name]) for name, df in sources.items()]
+    """Copies of the given masters with the columns the enrichment needs, or with all of them. Their keys are declared unique."""
+    return [DimSpec(name, df, () if whole else MASTERS[name], (MASTER_KEYS[name],)) for name, df in sources.items()]
 
 
 def refresh_dims(specs: list[DimSpec], target: str) -> dict[str, bool]:
-    """Full copies of the masters; an empty source leaves the old copy in place."""
-    return {s.name: write_overwrite(s.frame(), f"{target.rstrip('/')}/{s.name}") for s in specs}
+    """Full copies of the masters; an empty source leaves the old copy in place.
+
+    A declared key is counted on the new copy, before it takes the old one's place: a copy that repeats a key is refused. Reading
+    the copies with `read_keyed` gives them as unique, without counting again.
+    """
+    return {s.name: write_overwrite(s.frame(), f"{target.rstrip('/')}/{s.name}", unique=list(s.unique)) for s in specs}

@@ -388,7 +388,7 @@ def upd_visit_observation(spark, sf_dir):
 @register
 def claim_wide(spark, sf_dir):
     e = Entities(spark, sf_dir)
-    return build_claim_wide(e.claim_fact, e.sources(), FIRST_DAY, LAST_DAY, "", AS_OF)
+    return build_claim_wide(e.claim_fact, e.sources().with_unique_keys(), FIRST_DAY, LAST_DAY, "", AS_OF)
 
 
 # --- logs --------------------------------------------------------------------------------

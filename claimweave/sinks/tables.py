@@ -12,15 +12,17 @@ from claimweave.operators.filters import as_date, between_days, center_list, fil
 from claimweave.operators.projections import export_schema, split_registration_and_patient
 from claimweave.operators.sets import upsert
 from claimweave.sinks.folders import beside, delete, exists, swap
+from claimweave.sources.contracts import checked, mark_unique
 
 EXPORT_CHUNK_ROWS = 50_000
 
 
-def write_overwrite(df: DataFrame, path: str, skip_empty: bool = True) -> bool:
+def write_overwrite(df: DataFrame, path: str, skip_empty: bool = True, unique: list[str] | None = None) -> bool:
     """Replace a table; by default an empty frame leaves the old table as it is.
 
     The frame is written once, beside the table, and then takes its place. So the old table survives
-    a failure, and the frame may itself read the table it replaces.
+    a failure, and the frame may itself read the table it replaces. Keys declared ``unique`` are counted on what
+    was written; repeated ones are an error and leave the old table too.
     """
     spark, new = df.sparkSession, beside(path)
     rows = Observation("new_rows")
@@ -28,6 +30,9 @@ def write_overwrite(df: DataFrame, path: str, skip_empty: bool = True) -> bool:
         df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(new)
         if skip_empty and rows.get["n"] == 0:
             return False
+        if unique:
+            checked({path: (spark.read.schema(df.schema).parquet(new), unique)})
+            mark_unique(spark, new, unique)
         swap(spark, new, path)
         return True
     finally:
