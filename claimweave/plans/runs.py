@@ -8,30 +8,36 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from claimweave.operators.filters import first_submissions
-from claimweave.operators.keys import key_join
+from claimweave.operators.intervals import day_range, level_of, period_ranges
 from claimweave.sinks.tables import write_overwrite
 
 
 def facts_per_param(fact: DataFrame, params: DataFrame, date_column: str = "submission_date") -> DataFrame:
     """Every fact once per parameter row whose period and centers it falls in, tagged with param_id.
 
-    Periods become their days and center lists their centers, so facts meet rows that name centers in an equi join on
-    (day, center). Rows without a list, which mean every center, are a join of their own, on the day.
+    An equi join on (day range, center). A period is a few day ranges of lengths that are powers of two, once per center of its list;
+    a row without a list, which means every center, has an empty center in its place. A fact has one range per level, with its own center
+    and with the empty one; of these only the kinds that parameter rows use.
     """
-    valid = params.where(F.col("from_date") <= F.col("to_date"))
     asked = F.array_distinct(F.filter(F.transform(F.split(F.coalesce("centers", F.lit("")), ","), F.trim), lambda c: c != ""))
-    # The span of all periods, as scalar subqueries: scans can skip whatever lies outside.
+    valid = params.where(F.col("from_date") <= F.col("to_date"))
+    centers = F.when(F.size("asked") > 0, F.col("asked")).otherwise(F.array(F.lit("")))
+    wanted = (
+        valid.withColumn("asked", asked)
+        .select("param_id", centers.alias("centers"), F.explode(period_ranges(F.col("from_date"), F.col("to_date"))).alias("run_range"))
+        .select("param_id", "run_range", F.explode("centers").alias("run_center"))
+    )
+    # What parameter rows use, as scalar subqueries: scans can skip days outside, facts make no other keys.
     first = valid.agg(F.min("from_date")).scalar()
     after = valid.agg(F.date_add(F.max("to_date"), 1)).scalar()
+
+    kinds = wanted.agg(F.collect_set(F.struct(level_of(F.col("run_range")).alias("level"), (F.col("run_center") == "").alias("every")))).scalar()
     inside = fact.where((F.col(date_column) >= first) & (F.col(date_column) < after))
-    dated = inside.withColumns({"_day": F.to_date(date_column), "_center": F.col("center_id").cast("string")})
-    periods = valid.select("param_id", asked.alias("asked"), F.explode(F.sequence("from_date", "to_date")).alias("run_day"))
-    listed = periods.select("param_id", "run_day", F.explode("asked").alias("run_center"))
-    everywhere = periods.where(F.size("asked") == 0)
-    by_center = key_join(dated, listed, {"_day": "run_day", "_center": "run_center"})
-    by_day = key_join(dated, everywhere.drop("asked"), {"_day": "run_day"})
-    columns = ["param_id", *fact.columns]
-    return by_center.select(*columns).unionByName(by_day.select(*columns))
+    kinded = inside.select("*", F.explode(kinds).alias("_kind"))
+    center = F.when(F.col("_kind.every"), "").otherwise(F.nullif(F.col("center_id").cast("string"), F.lit("")))
+    keyed = kinded.select(*fact.columns, day_range(F.to_date(date_column), F.col("_kind.level")).alias("_range"), center.alias("_center"))
+    joined = keyed.join(wanted, (F.col("_range") == F.col("run_range")) & (F.col("_center") == F.col("run_center")))
+    return joined.select("param_id", *[F.col(c) for c in fact.columns])
 
 
 def run_for_params(

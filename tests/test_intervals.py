@@ -1,0 +1,48 @@
+import random
+from datetime import date, datetime, timedelta
+
+from pyspark.sql import functions as F
+
+from claimweave.operators.intervals import day_range, level_of, period_ranges
+from claimweave.plans.runs import facts_per_param
+from row_sets import rows
+
+
+def test_ranges_cover_each_day_of_a_period_once(spark):
+    rng = random.Random(1)
+    first = [date(1, 1, 1), date(1969, 12, 20), date(2024, 2, 28), date(9999, 12, 1)]
+    periods = [(i, a, min(date(9999, 12, 30), a + timedelta(days=rng.choice([0, 1, 2, 7, 31, 100, 400])))) for i, a in enumerate(first * 12)]
+    periods += [(100, date(2024, 1, 2), date(2024, 1, 1)), (101, None, date(2024, 1, 1))]
+    frame = spark.createDataFrame(periods, "i int, a date, b date")
+    ranges = frame.select("i", F.explode(period_ranges(F.col("a"), F.col("b"))).alias("key"))
+    days = frame.where("a <= b").select("i", F.explode(F.sequence(F.date_sub("a", 0), F.col("b"))).alias("day"))
+    hits = days.join(ranges.select("i", "key", level_of(F.col("key")).alias("level")), "i").where(day_range(F.col("day"), F.col("level")) == F.col("key"))
+    once = hits.groupBy("i", "day").agg(F.count("*").alias("n"))
+    assert once.where("n <> 1").count() == 0 and once.count() == days.count()
+    # No day outside is in any range.
+    outside = frame.where("a > DATE'0001-01-01' AND a <= b").select("i", F.explode(F.array(F.date_sub("a", 1), F.date_add("b", 1))).alias("day"))
+    stray = outside.join(ranges, "i").where(day_range(F.col("day"), level_of(F.col("key"))) == F.col("key"))
+    assert stray.count() == 0
+    assert {i for (i,) in rows(ranges.select("i").distinct())}.isdisjoint({100, 101})
+
+
+def test_ten_thousand_runs_need_few_keys(spark):
+    runs = spark.range(10_000).selectExpr("date_add(DATE'2024-01-01', cast(id % 31 AS int)) AS a").selectExpr("a", "date_add(a, 364) AS b")
+    assert runs.select(F.explode(period_ranges(F.col("a"), F.col("b")))).count() < 150_000
+
+
+def test_runs_equal_brute_force(spark):
+    rng = random.Random(7)
+    begin = date(2023, 12, 1)
+    params = [(i, rng.choice(["", None, "1", "1, 2", "2,3,3", " , "]), begin + timedelta(days=rng.randrange(80)), begin + timedelta(days=rng.randrange(20, 120))) for i in range(40)]
+    facts = [(i, rng.choice(["1", "2", "3", "4", "", None]), datetime(2023, 12, 1) + timedelta(hours=rng.randrange(3000)) if i % 9 else None) for i in range(300)]
+    want = []
+    for p, centers, a, b in params:
+        asked = {c.strip() for c in (centers or "").split(",")} - {""}
+        want += [(p, f) for f, c, t in facts if t and a <= t.date() <= b and (not asked or c in asked)]
+    fact = spark.createDataFrame(facts, "fact int, center_id string, submission_date timestamp_ntz")
+    for own in (params, [p for p in params if p[1]], [p for p in params if not p[1]], []):
+        ids = {p[0] for p in own}
+        got = facts_per_param(fact, spark.createDataFrame(own, "param_id int, centers string, from_date date, to_date date"))
+        assert got.columns == ["param_id", "fact", "center_id", "submission_date"]
+        assert rows(got.select("param_id", "fact")) == sorted((w for w in want if w[0] in ids), key=repr)
