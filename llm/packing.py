@@ -11,6 +11,9 @@
    next shard, which is searched with its seed first. At a partition's end the last tokens form sequences of powers of two. So no
    sequence needs padding.
 
+Null and empty texts, long texts and ties: a document of nothing is its end id; a text of any length is cut into whole windows and one tail; equal
+leads, equal contents and equal scores are ordered by content and id, rows equal in all that are interchangeable.
+
 A shard's tails are the only ones that its seeds can meet: neighbours in other shards are out of reach.
 """
 
@@ -39,7 +42,7 @@ SHARD_TAILS = 2048
 TOKENS_PER_PARTITION = 8_000_000
 K1, B = 1.2, 0.75
 #: Pieces of text kept per Python worker with their ids, about 200 bytes each; twice as many at most.
-MAX_KNOWN = 180_000
+MAX_KNOWN = 300_000
 
 # How the vocabulary's file splits words, for characters below U+0250, which its normaliser only lower-cases.
 _PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -72,9 +75,10 @@ class Ids:
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.code, self.model = "HI"[self.dtype.itemsize // 4], self.library.model
         self.words: dict[str, bytes] = {}
-        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte alphabet of byte-level vocabularies
+        # The byte alphabet of byte-level vocabularies. Visible bytes stand for themselves, the others for characters from 256 on.
+        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in visible]
-        self.letters = {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        self.letters = {b: chr(256 + k) for k, b in enumerate(hidden)}
         self.ends_word = np.zeros(1 << 16 if self.dtype.itemsize == 2 else self.library.get_vocab_size(), bool)
         for token, k in self.library.get_vocab().items():
             self.ends_word[k] = token.endswith("</w>")
@@ -88,7 +92,7 @@ class Ids:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def word(self, part: str) -> bytes:
-        letters = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
         return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def known_word(self, part: str) -> bytes:
