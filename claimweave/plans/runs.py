@@ -19,7 +19,7 @@ def facts_per_param(fact: DataFrame, params: DataFrame, date_column: str = "subm
     a row without a list, which means every center, has an empty center in its place. A fact has one range per level, with its own center
     and with the empty one; of these only the kinds that parameter rows use.
     """
-    asked = F.array_distinct(F.filter(F.transform(F.split(F.coalesce("centers", F.lit("")), ","), F.trim), lambda c: c != ""))
+    asked = F.array_distinct(F.filter(F.transform(F.split(F.coalesce("centers", F.lit("")), ","), lambda c: F.trim(c)), lambda c: c != ""))
     valid = params.where(F.col("from_date") <= F.col("to_date"))
     centers = F.when(F.size("asked") > 0, F.col("asked")).otherwise(F.array(F.lit("")))
     wanted = (
