@@ -633,3 +633,4 @@ ORACLES["patient_extract_split"] = f"""
     SELECT 'registration' AS part, mr_no, patient_id AS item FROM both_parts
     UNION ALL SELECT 'patient', mr_no, passport_no FROM both_parts
 """
+ORACLES["upsert_ranged"] = ORACLES["upsert_diag_pivot"]

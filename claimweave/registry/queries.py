@@ -17,6 +17,7 @@ from claimweave.registry import entities
 from claimweave.schemas import RUN_PARAMS_FILE
 from claimweave.session import work_folder
 from claimweave.sinks import tables as sinks
+from claimweave.sinks.ranged import RangedTable
 from claimweave.sources import logs as log_sources, tables
 from claimweave.streaming import ingest
 
@@ -488,6 +489,18 @@ def upsert_diag_pivot(spark, sf_dir):
     return sets.upsert(loaded, pivots.diag_pivot_ordered(e.patient_diagnosis), ["visit_id"])
 
 
+@register
+def upsert_ranged(spark, sf_dir):
+    """The same upsert into a table laid out by key ranges, in two batches; read the table."""
+    e = Entities(spark, sf_dir)
+    table = RangedTable(spark, f"{work_folder(spark, 'ranged')}/diag_pivot", rows_per_piece=2000)
+    table.create(pivots.diag_pivot_typed(e.diagnosis), ["visit_id"])
+    batch = pivots.diag_pivot_ordered(e.patient_diagnosis)
+    for part in (batch.where("visit_id < '3'"), batch.where("visit_id >= '3'")):
+        table.upsert(part)
+    return table.read()
+
+
 @register
 def upsert_observations(spark, sf_dir):
     e = Entities(spark, sf_dir)

@@ -43,6 +43,11 @@ class Manifest:
         return replace(self, tables={**self.tables, table: tuple(layers)})
 
 
+def _unnamed(written, named: set[str]) -> list[str]:
+    """Written folders that are no layer and hold none."""
+    return [w for w in written if not any(n == w or n.startswith(f"{w}/") for n in named)]
+
+
 class Snapshots:
     """Manifests and journal of a store, or of a branch: a line of versions of its own over the same store."""
 
@@ -81,7 +86,7 @@ class Snapshots:
         left = json.loads(read_text(self.spark, self.journal) or "{}")
         if left:
             now = self.latest()
-            for path in set(left["layers"]) - (now.paths() if now else set()):
+            for path in _unnamed(left["layers"], now.paths() if now else set()):
                 delete(self.spark, f"{self.root}/{path}")
         put_text(self.spark, self.journal, json.dumps({"work": work, "layers": []}), replace=True)
 
@@ -90,13 +95,13 @@ class Snapshots:
         left = read_text(self.spark, self.journal)
         return json.loads(left)["work"] if left else None
 
-    def write(self, df: DataFrame, table: str, **facts) -> Layer:
-        """Rows as a new layer, noted in the journal first. Readers don't see it before a commit."""
+    def write(self, df: DataFrame, table: str, partition_by: list[str] | None = None, **facts) -> Layer:
+        """Rows as a new layer, or as a folder of layers by the given columns, noted in the journal first. Readers don't see it before a commit."""
         noted = json.loads(read_text(self.spark, self.journal) or '{"work": {}, "layers": []}')
         path = f"data/{table}-{uuid.uuid4().hex}"
         noted["layers"].append(path)
         put_text(self.spark, self.journal, json.dumps(noted), replace=True)
-        df.write.parquet(f"{self.root}/{path}")
+        df.write.partitionBy(*(partition_by or [])).parquet(f"{self.root}/{path}")
         return Layer(path, facts)
 
     def commit(self, manifest: Manifest, keep: int = KEEP) -> Manifest:
@@ -106,7 +111,7 @@ class Snapshots:
         text = {"tables": {t: [asdict(layer) for layer in layers] for t, layers in done.tables.items()}, "facts": done.facts}
         put_text(self.spark, self._manifest(done.version), json.dumps(text))
         noted = json.loads(read_text(self.spark, self.journal) or '{"layers": []}')["layers"]
-        for path in set(noted) - done.paths():  # a step on the way, such as a layer that was merged at once
+        for path in _unnamed(noted, done.paths()):  # a step on the way, such as a layer that was merged at once
             delete(self.spark, f"{self.root}/{path}")
         delete(self.spark, self.journal)
         self.retire(keep)
@@ -143,6 +148,6 @@ class Snapshots:
         needed = set().union(*[main.at(v).paths() for v in main.versions()])
         left = json.loads(read_text(self.spark, self.journal) or '{"layers": []}')["layers"]
         own = set(left).union(*[self.at(v).paths() for v in self.versions()])
-        for path in own - needed:
+        for path in _unnamed(own, needed):
             delete(self.spark, f"{self.root}/{path}")
         delete(self.spark, self.home)
