@@ -42,7 +42,7 @@ SHARD_TAILS = 2048
 TOKENS_PER_PARTITION = 8_000_000
 K1, B = 1.2, 0.75
 #: Pieces of text kept per Python worker with their ids, about 200 bytes each; twice as many at most.
-MAX_KNOWN = 300_000
+MAX_KNOWN = 240_000
 
 # How the vocabulary's file splits words, for characters below U+0250, which its normaliser only lower-cases.
 _PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -88,6 +88,11 @@ class Ids:
         self.short_way = True
         self.short_way = self.of(probe) == self.whole(probe)
 
+    def forget(self) -> None:
+        """Give back the memory of remembered pieces."""
+        self.table = _Table(self.piece, {})
+        self.words.clear()
+
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
@@ -372,6 +377,7 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = "word_bpe_49k.
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = ids_of(path)
+        known.forget()  # a worker that tokenized before does not tokenize again
         ends, rarity = known.ends_word, shared.value
         packer, kind = _Packer(window, TaskContext.get().partitionId() << 32, known.dtype), None
 
