@@ -48,6 +48,16 @@ def split_registration_and_patient(joined: DataFrame) -> tuple[DataFrame, DataFr
     return joined.select(*REGISTRATION_PART), joined.select(*PATIENT_PART)
 
 
+def registration_and_patient_rows(joined: DataFrame) -> DataFrame:
+    """Both target tables of an extracted frame from one pass over it: (part, registration, patient), of which one struct is null."""
+    registration, patient = F.struct(*REGISTRATION_PART), F.struct(*PATIENT_PART)
+    tagged = F.array(
+        F.struct(F.lit("registration").alias("part"), registration.alias("registration"), F.when(F.lit(False), patient).alias("patient")),
+        F.struct(F.lit("patient").alias("part"), F.when(F.lit(False), registration).alias("registration"), patient.alias("patient")),
+    )
+    return joined.select(F.explode(tagged).alias("row")).select("row.*")
+
+
 def clean_frame(df: DataFrame) -> DataFrame:
     """Lower-case column names; text columns without nulls and without outer whitespace."""
     return df.select(

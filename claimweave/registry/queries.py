@@ -157,11 +157,9 @@ def patients_by_keys(spark, sf_dir):
 @register
 def patient_extract_split(spark, sf_dir):
     both = patients_by_keys(spark, sf_dir)
-    registration, patient = projections.split_registration_and_patient(both)
-    parts = registration.select(F.lit("registration").alias("part"), *registration.columns[:1], F.col("patient_id").alias("item"))
-    return parts.unionByName(
-        patient.select(F.lit("patient").alias("part"), "mr_no", F.col("passport_no").alias("item"))
-    )
+    parts = projections.registration_and_patient_rows(both)
+    item = F.coalesce("registration.patient_id", "patient.passport_no")
+    return parts.select("part", F.coalesce("registration.mr_no", "patient.mr_no").alias("mr_no"), item.alias("item"))
 
 
 @register
@@ -195,6 +193,17 @@ def partitioned_scan(spark, sf_dir):
     return found.groupBy("slice").agg(F.count("*").alias("row_count"), F.sum("l_orderkey").alias("key_sum"))
 
 
+@register
+def range_scan(spark, sf_dir):
+    """Slices of a table by ranges of a text key with few values and the keys behind it; the predicates put each row into one."""
+    by = ["l_returnflag", "l_orderkey", "l_linenumber"]
+    lineitem = tables.read_table(spark, sf_dir, "lineitem")
+    bounds = [tuple(r) for r in tables.query(spark, tables.bounds_query("{items}", by, 10), items=lineitem).collect()]
+    slices = [F.when(F.expr(p), F.lit(i)) for i, p in enumerate(tables.range_predicates(by, bounds))]
+    found = lineitem.select(*by, F.explode(F.array_compact(F.array(*slices))).alias("slice"))
+    return found.groupBy("slice").agg(F.count("*").alias("row_count"), F.min("l_returnflag").alias("least"), F.sum("l_orderkey").alias("key_sum"))
+
+
 @register
 def param_query(spark, sf_dir):
     sql = """

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from claimweave.operators.filters import as_date, between_days, center_list, filter_centers
-from claimweave.operators.projections import export_schema, split_registration_and_patient
+from claimweave.operators.projections import export_schema, registration_and_patient_rows
 from claimweave.operators.sets import upsert
 from claimweave.sinks.folders import beside, delete, exists, swap
 from claimweave.sources.contracts import checked, mark_unique
@@ -97,14 +96,20 @@ def upsert_table(path: str, updates: DataFrame, keys: list[str], latest: str | N
 
 
 def write_patient_extract(joined: DataFrame, folder: str) -> None:
-    """Write one extracted frame as its registration and patient tables, computing it once."""
-    kept = joined.persist(StorageLevel.MEMORY_AND_DISK)
+    """Write one extracted frame as its registration and patient tables, computing it once.
+
+    Both parts are written by one pass, side by side, and then made into the two tables; so nothing is held in executors, and
+    a lost one costs no second run of the extract.
+    """
+    spark, root = joined.sparkSession, folder.rstrip("/")
+    rows, both = registration_and_patient_rows(joined), beside(f"{root}/parts")
     try:
-        registration, patient = split_registration_and_patient(kept)
-        write_overwrite(registration, f"{folder.rstrip('/')}/registration")
-        write_overwrite(patient, f"{folder.rstrip('/')}/patient")
+        rows.write.partitionBy("part").parquet(both)
+        for part in ("registration", "patient"):
+            own = StructType([rows.schema[part]])
+            write_overwrite(spark.read.schema(own).parquet(f"{both}/part={part}").select(f"{part}.*") if exists(spark, f"{both}/part={part}") else rows.limit(0).select(f"{part}.*"), f"{root}/{part}")
     finally:
-        kept.unpersist()
+        delete(spark, both)
 
 
 def seed_claims(staging: DataFrame) -> DataFrame:

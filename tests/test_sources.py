@@ -1,4 +1,5 @@
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,3 +115,30 @@ def test_relational_scans(spark):
     assert (url, table, options) == ("jdbc:some:url", "bill", {"properties": {"fetchsize": "7", "user": "u"}})
     assert query == "(SELECT * FROM bill) as src"
     assert sliced["predicates"] == tables.slice_predicates("bill_no", 3)
+
+
+def test_ranges_of_skewed_text_keys(spark):
+    values = ["it's", "it's", "b", "", "z\u00e9", "a%", "10"]
+    data = [(v if i % 3 else "hot", Decimal(i % 50) / 7, i) for i, v in enumerate(values * 60)] + [(None, Decimal(1), 1), ("b", None, 2)]
+    df = spark.createDataFrame(data, "k string, d decimal(20,6), i int")
+    for keys, n in ((["k"], 4), (["k", "d"], 8), (["d", "k", "i"], 10), (["i"], 3)):
+        bounds = [tuple(r) for r in tables.query(spark, tables.bounds_query("{df}", keys, n), df=df).collect()]
+        sizes = [df.where(p).count() for p in tables.range_predicates(keys, bounds)]
+        hits = [df.select((F.expr(p)).cast("int").alias("h")) for p in tables.range_predicates(keys, bounds)]
+        assert sum(sizes) == len(data) and len(hits) == len(sizes)
+        if len(keys) > 1:  # one third of all rows share a k, yet the slices are even
+            assert len(sizes) == n and max(sizes) < 1.6 * len(data) / n
+    assert tables.range_predicates(["k"], []) == ["(k IS NOT NULL) OR k IS NULL"]
+
+
+def test_relational_ranges(spark):
+    class Reader(RecordingReader):
+        def jdbc(self, url, table, **options):
+            super().jdbc(url, table, **options)
+            return spark.createDataFrame([("a", date(2024, 1, 2)), ("it's", date(2024, 1, 3))], "k string, d date")
+
+    session = Reader()
+    tables.read_ranges(session, tables.JdbcSource("jdbc:some:url", {}), "bill", ["k", "d"], 3, "TABLESAMPLE BERNOULLI (1)")
+    (_, bounds, _), (_, relation, sliced) = session.calls
+    assert "FROM bill TABLESAMPLE BERNOULLI (1) WHERE" in bounds and relation == "bill"
+    assert len(sliced["predicates"]) == 3 and "k = 'it''s' AND d >= DATE '2024-01-03'" in sliced["predicates"][2]
