@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from claimweave.functions.scalars import slot_label
 from claimweave.operators.keys import nulls_last
+from claimweave.operators.ranges import even_starts, place_of
 from claimweave.schemas import (
     DIAG_SLOTS,
     OBS_ATTRIBUTES,
@@ -111,19 +112,34 @@ def pivot_first(
     return pivoted if fill is None else pivoted.fillna(fill)
 
 
-def slot_labels(diagnosis: DataFrame) -> DataFrame:
+def slot_labels(diagnosis: DataFrame, pieces: int | None = None) -> DataFrame:
     """Every diagnosis with the label of its place among the visit's diagnoses of its type, by code and id.
 
-    Ranked in two levels, so that a visit with a large share of all rows spreads over tasks: places before a code come from
-    counts by code, those within a code from its own rows.
+    A place is the sum of three: rows of earlier codes, rows of the same code in earlier pieces, and the place in the own piece. Pieces
+    are ranges of the id with about equal numbers of rows (one job finds their bounds), so a group of any size, such as all rows
+    without a visit, is ranked piece by piece in many tasks; sums run over counts only.
     """
     group = ["visit_id", "diag_type", "icd_code"]
-    rows = diagnosis.select(*group, "id")
-    counts = rows.groupBy(*group).agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("visit_id", "diag_type").orderBy("icd_code").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(*[F.col(c).alias(f"_{c}") for c in group], F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    within = rows.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy("id")))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group])
-    placed = within.join(before, same)
-    label = slot_label(F.col("diag_type"), (F.col("before") + F.col("place")).cast("int"))
+    if pieces is None:
+        pieces = int(diagnosis.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    starts = even_starts(diagnosis, "id", pieces)
+    constant = lambda values: F.array(*[F.lit(v) for v in values])
+    rows = diagnosis.select(*group, "id", place_of(F.col("id"), starts, constant).alias("piece"))
+    counts = rows.groupBy(*group, "piece").agg(F.count("*").alias("n"))
+    by_code = counts.groupBy(*group).agg(F.sum("n").alias("n"))
+    earlier = lambda *keys: Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    codes = by_code.select(*group, F.coalesce(F.sum("n").over(earlier(*group)), F.lit(0)).alias("of_codes"))
+    before = counts.select(*group, "piece", F.coalesce(F.sum("n").over(earlier(*group, "piece")), F.lit(0)).alias("of_pieces"))
+    within = rows.withColumn("place", F.row_number().over(Window.partitionBy(*group, "piece").orderBy("id")))
+    # Counts meet counts by group; rows meet them by group and piece, so no join key is hot.
+    so_far = _same_group(before, codes, group).select(*group, "piece", (F.col("of_codes") + F.col("of_pieces")).alias("so_far"))
+    placed = _same_group(within, so_far, [*group, "piece"])
+    label = slot_label(F.col("diag_type"), (F.col("so_far") + F.col("place")).cast("int"))
     return placed.select("visit_id", "icd_code", label.alias("slot"))
+
+
+def _same_group(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the facts of their group, in which null keys are values. Each group is one row of facts."""
+    own = facts.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in facts.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return rows.join(own, same).drop(*[f"_{k}" for k in keys])

@@ -12,12 +12,11 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+from claimweave.operators.ranges import place_of
 from claimweave.operators.sets import upsert
 from claimweave.sinks.snapshots import Layer, Manifest, Snapshots
 
 ROWS_PER_PIECE = 1_000_000
-#: A search looks at one in so many bounds first.
-_STRIDE = 64
 
 
 class RangedTable:
@@ -75,22 +74,12 @@ class RangedTable:
         return len(touched)
 
     def _piece_of(self, keys: list[str], schema: StructType, pieces: tuple[Layer, ...]) -> Column:
-        """Number of the piece for a key: the last one that begins at or before it, or the first one.
-
-        Two steps over the sorted least keys, which are one constant: a coarse one, then one between two coarse bounds.
-        """
+        """Number of the piece for a key: the last one that begins at or before it, or the first one."""
         if len(pieces) < 2:
             return F.lit(0)
         kind = StructType([schema[k] for k in keys])
         starts = [dict(zip(keys, p.facts["low"], strict=True)) for p in pieces[1:]]
-
-        def constant(rows: list[dict]) -> Column:
-            return F.from_json(F.lit(json.dumps(rows)), ArrayType(kind))
-
-        own = F.struct(*keys)
-        coarse = F.size(F.filter(constant(starts[::_STRIDE]), lambda low: low <= own))
-        near = F.slice(constant(starts), (coarse - 1) * _STRIDE + 1, F.lit(_STRIDE))
-        return F.when(coarse == 0, 0).otherwise((coarse - 1) * _STRIDE + F.size(F.filter(near, lambda low: low <= own)))
+        return place_of(F.struct(*keys), starts, lambda rows: F.from_json(F.lit(json.dumps(rows)), ArrayType(kind)))
 
     def _write(self, df: DataFrame, keys: list[str], rows: int) -> list[tuple[tuple[int, ...], Layer]]:
         """At most so many rows with their old piece (_piece) as new pieces, each with its place: the old piece's, and one within it."""

@@ -1,8 +1,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from claimweave.functions.scalars import slot_label
 from claimweave.operators import pivots
+from claimweave.operators.ranges import even_starts, place_of
 from row_sets import rows
 
 DIAG = "visit_id string, diag_type string, icd_code string, id string"
@@ -106,3 +109,25 @@ def test_ranked_pivots_limit_in_the_map_tasks(spark):
         plan = pivot(lineitem)._jdf.queryExecution().executedPlan().toString().split("\n")
         last_shuffle = max(i for i, line in enumerate(plan) if "Exchange" in line)
         assert any("WindowGroupLimit" in line and "Partial" in line for line in plan[last_shuffle:])
+
+
+@pytest.mark.parametrize("pieces", [1, 3, 200])
+def test_slots_of_a_hot_group_by_pieces(spark, pieces):
+    """All rows without a visit are one group; its rows are ranked in pieces of the id."""
+    rng = random.Random(4)
+    items = [(None if i % 2 else f"v{i % 7}", rng.choice(["P", "S", None]), rng.choice(["c1", "c2", "c3", None]), i * 37 % 1000 if i % 50 else None) for i in range(900)]
+    frame = spark.createDataFrame(items, "visit_id string, diag_type string, icd_code string, id long")
+    groups, want = {}, []
+    for item in items:
+        groups.setdefault(item[:2], []).append(item)
+    last = lambda v: (v is not None, v if v is not None else 0)
+    for (visit, kind), own in groups.items():
+        own.sort(key=lambda r: ((r[2] is not None, r[2] or ""), last(r[3])))
+        want += [(visit, kind, r[2], n) for n, r in enumerate(own, 1)]
+    labels = spark.createDataFrame(want, "visit_id string, diag_type string, icd_code string, n int")
+    labels = labels.select("visit_id", "icd_code", slot_label(F.col("diag_type"), F.col("n")).alias("slot"))
+    got = pivots.slot_labels(frame, pieces)
+    assert rows(got) == rows(labels)
+    if pieces == 200:
+        places = frame.select(place_of(F.col("id"), even_starts(frame, "id", pieces), lambda v: F.array(*[F.lit(x) for x in v])).alias("p"))
+        assert places.groupBy("p").count().agg(F.max("count")).first()[0] < 40
