@@ -22,7 +22,6 @@ from __future__ import annotations
 import re
 import zlib
 
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +46,7 @@ MAX_KNOWN = 240_000
 # How the vocabulary's file splits words, for characters below U+0250, which its normaliser only lower-cases.
 _PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _MARKS = re.compile(r"[.,](?<=(?:[^\w ]|[_İ]).) ")
+_FIRST_WIDE = "\u0250"
 _WIDE = re.compile("[^\x00-\u024f]")
 
 
@@ -73,7 +73,8 @@ class Ids:
         self.library.no_truncation()
         self.library.no_padding()
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.code, self.model = "HI"[self.dtype.itemsize // 4], self.library.model
+        self.model = self.library.model
+        self.packed = [k.to_bytes(self.dtype.itemsize, "little") for k in range(self.library.get_vocab_size())]
         self.words: dict[str, bytes] = {}
         # The byte alphabet of byte-level vocabularies. Visible bytes stand for themselves, the others for characters from 256 on.
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -98,7 +99,8 @@ class Ids:
 
     def word(self, part: str) -> bytes:
         letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(letters)])
 
     def known_word(self, part: str) -> bytes:
         found = self.words.get(part)
@@ -110,7 +112,7 @@ class Ids:
 
     def piece(self, piece: str) -> bytes:
         """By the library's own model, past its normaliser and splitter, which do nothing but lower-case and split here."""
-        if piece.isalpha() and (piece.isascii() or not _WIDE.search(piece)):
+        if piece.isalpha() and (piece.isascii() or max(piece) < _FIRST_WIDE):
             lower = piece.lower()
             return self.word(lower) if lower.isalpha() else self.whole(piece)
         if not piece.isprintable() or _WIDE.search(piece) or "<|" in piece:
