@@ -3,8 +3,11 @@
 Words are lower-cased (A-Z) runs of letters, digits and non-ASCII characters. A benchmark item contributes all its windows
 of `width` consecutive words, or itself as one window if it is shorter. Windows are prepared on Spark and, up to a
 size bound, broadcast as a hash set. A scan hashes every window of a text in numpy, filters the hashes through
-a bitmap, and verifies the few that pass against the windows' words. A larger benchmark is cut into parts below
-the bound, and each part is one more pass over the texts; nothing is shuffled in any case.
+a bitmap, and verifies the few that pass against the windows' words; nothing is shuffled.
+
+A larger benchmark stays on Spark. Its tasks mark their windows' hashes in a bitmap of a fixed size, which is broadcast; windows of texts
+that pass it are joined with the benchmark's by their words, and each text's hits are gathered. What is shuffled are those candidates:
+the hits, and of the other windows the share that the bitmap lets through.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.common import groups, scan_words, stored, utf8, whole_rows, without
+from llm.common import groups, scan_words, stored, utf8, whole_rows
 
 WIDTH = 10
 #: UTF-8 bytes of windows in one broadcast.
@@ -71,15 +74,6 @@ class WindowSet:
                     yield int(words.row[i]), i, width, items
 
 
-def _parts(windows: DataFrame, most: int) -> Iterator[list[tuple[str, list[str]]]]:
-    """The windows in lists of about `most` bytes at most."""
-    size = F.octet_length("window") + F.octet_length(F.array_join("items", ","))
-    n = -(-(windows.agg(F.sum(size.cast("long"))).first()[0] or 0) // most)
-    for k in range(n):
-        part = windows if n == 1 else windows.where(F.pmod(F.xxhash64("window"), F.lit(n)) == k)
-        yield [(r.window, r.items) for r in part.collect()]
-
-
 _sets: dict[str, WindowSet] = {}
 
 
@@ -90,58 +84,138 @@ def _window_set(key: str, rows) -> WindowSet:
     return _sets[key]
 
 
-_HITS = "__hits"  # of each text: array of (first byte, end byte, first word, end word, items)
-_HIT = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64()), ("first", pa.int64()), ("end", pa.int64()), ("items", pa.list_(pa.string()))]))
 _HIT_SQL = "array<struct<`from`: bigint, `to`: bigint, first: bigint, `end`: bigint, items: array<string>>>"
 
 
-def _scan(df: DataFrame, text: str, rows: list[tuple[str, list[str]]], finish=None, finished=None) -> DataFrame:
-    """df with the occurrences of one part of the benchmark added to its hits, and the number of words.
+def _hits_of(words, offsets: np.ndarray, found: Iterator[tuple]) -> Iterator[tuple[int, dict]]:
+    """(row, hit) with places counted within the row's text, in bytes and in words."""
+    first_word = np.concatenate([[0], np.cumsum(np.bincount(words.row, minlength=len(offsets) - 1))])
+    for row, i, width, more in found:
+        byte0, word0 = offsets[row] - offsets[0], first_word[row]
+        yield row, {"from": int(words.start[i] - byte0), "to": int(words.end[i + width - 1] - byte0), "first": int(i - word0), "end": int(i + width - word0), **more}
 
-    finish(batch, n_words, hits), if given, makes the result's batches in the same task; finished is their schema.
-    """
-    spark: SparkSession = df.sparkSession
-    key = hashlib.sha256(repr(sorted(rows)).encode()).hexdigest()
-    shared = spark.sparkContext.broadcast(rows)
-    names = df.columns
-    at = names.index(text)
-    hits_at = names.index(_HITS) if _HITS in names else None
+
+def _scan(docs: DataFrame, text: str, windows: list[tuple[str, list[str]]], finish, finished) -> DataFrame:
+    """finish(batch, n_words, hits) for docs and a broadcast benchmark; finished is the schema of what it makes."""
+    spark: SparkSession = docs.sparkSession
+    key = hashlib.sha256(repr(sorted(windows)).encode()).hexdigest()
+    shared = spark.sparkContext.broadcast(windows)
+    at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = _window_set(key, shared.value)
+        known = _window_set(key, shared.value)
         for batch in batches:
             data, offsets, _ = utf8(batch.column(at))
-            n_words = np.zeros(batch.num_rows, np.int64)
-            hits: list[list[dict]] = batch.column(hits_at).to_pylist() if hits_at is not None else [[] for _ in range(batch.num_rows)]
+            n_words, hits = np.zeros(batch.num_rows, np.int64), [[] for _ in range(batch.num_rows)]
+            for a, b in groups(offsets):
+                words = scan_words(data, offsets[a : b + 1])
+                n_words[a:b] = np.bincount(words.row, minlength=b - a)
+                found = ((row, i, width, {"items": items}) for row, i, width, items in known.hits(words))
+                for row, hit in _hits_of(words, offsets[a : b + 1], found):
+                    hits[a + row].append(hit)
+            yield finish(batch, n_words, hits)
+
+    return docs.mapInArrow(run, finished)
+
+
+# -- benchmarks that are too large to broadcast -----------------------------------------------------------
+
+#: Bits of the bitmap of window hashes: 8 MB.
+_MARK_BITS = 26
+_SLICES = 64
+
+
+def _marks(words, width: int) -> np.ndarray:
+    """Places in the bitmap of the windows of one width."""
+    with np.errstate(over="ignore"):
+        return ((words.window_hash(width) ^ np.uint64(width * 0x9E3779B97F4A7C15 % (1 << 64))) >> np.uint64(64 - _MARK_BITS)).astype(np.int64)
+
+
+def _bitmap(windows: DataFrame) -> tuple[np.ndarray, list[int]]:
+    """The bitmap of all windows, 8 to a byte, and the widths that occur. Tasks make their own; these are merged slice by slice."""
+    size = (1 << _MARK_BITS) // 8 // _SLICES
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, widths = np.zeros((1 << _MARK_BITS) // 8, np.uint8), set()
+        for batch in batches:
+            data, offsets, _ = utf8(batch.column(0))
+            words = scan_words(data, offsets)
+            sizes = np.bincount(words.row, minlength=batch.num_rows)
+            first = np.searchsorted(words.row, np.arange(batch.num_rows))
+            for width in np.unique(sizes[sizes > 0]).tolist():
+                at = np.unique(_marks(words, width)[first[sizes == width]])
+                np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+                widths.add(width)
+        if widths:
+            blobs = [v.tobytes() for v in bits.reshape(_SLICES, -1)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array(blobs), pa.array([sorted(widths)] * _SLICES, pa.list_(pa.int32()))], ["slice", "bits", "widths"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        total, widths = np.zeros(size, np.uint8), set()
+        for blob, own in zip(table["bits"], table["widths"].to_pylist(), strict=True):
+            total |= np.frombuffer(blob.as_py(), np.uint8)
+            widths.update(own)
+        return pa.table({"slice": table["slice"][:1], "bits": [total.tobytes()], "widths": pa.array([sorted(widths)], pa.list_(pa.int32()))})
+
+    schema = "slice int, bits binary, widths array<int>"
+    out, widths = np.zeros((_SLICES, size), np.uint8), []
+    for r in windows.select("window").mapInArrow(mark, schema).groupBy("slice").applyInArrow(merge, schema).collect():  # 64 rows, 8 MB together
+        out[r["slice"]], widths = np.frombuffer(bytes(r.bits), np.uint8), list(r.widths)
+    return out.reshape(-1), widths
+
+
+def _scan_by_join(docs: DataFrame, text: str, windows: DataFrame, finish, finished) -> DataFrame:
+    """The same with the benchmark as a table: candidates by a bitmap, verified by a join on their words."""
+    spark: SparkSession = docs.sparkSession
+    bits, widths = _bitmap(windows)
+    shared = spark.sparkContext.broadcast(bits)
+    rows = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("uid")), "decontamination-rows")
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["uid", "n_words", "window", "from", "to", "first", "end"]
+        for batch in batches:
+            data, offsets, _ = utf8(batch.column(1))
+            uids = batch.column(0).to_pylist()
             for a, b in groups(offsets):
                 words = scan_words(data, offsets[a : b + 1])
-                counts = np.bincount(words.row, minlength=b - a)
-                n_words[a:b] = counts
-                first_word = np.concatenate([[0], np.cumsum(counts)])
-                for row, i, width, items in windows.hits(words):
-                    byte0, word0 = offsets[a + row] - offsets[a], first_word[row]
-                    hits[a + row].append({"from": int(words.start[i] - byte0), "to": int(words.end[i + width - 1] - byte0), "first": int(i - word0), "end": int(i + width - word0), "items": items})
-            if finish:
-                yield finish(batch, n_words, hits)
-                continue
-            out = {n: batch.column(k) for k, n in enumerate(names)} | {"__n_words": pa.array(n_words), _HITS: pa.array(hits, _HIT)}
-            yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
-
-    if finish:
-        return df.mapInArrow(run, finished)
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in ("__n_words", _HITS)]
-    order = [f.name for f in df.schema if f.name not in ("__n_words", _HITS)]
-    return df.mapInArrow(run, ", ".join([*schema, "__n_words long", f"`{_HITS}` {_HIT_SQL}"])).select(*[F.col(f"`{c}`") for c in order], "__n_words", _HITS)
+                # One row for each text's number of words, and one for each candidate.
+                out: dict[str, list] = {n: [] for n in names}
+                out["uid"], out["n_words"] = uids[a:b], np.bincount(words.row, minlength=b - a).tolist()
+                for n in names[2:]:
+                    out[n] = [None] * (b - a)
+                for width in widths:
+                    at = _marks(words, width)
+                    passed = np.flatnonzero((shared.value[at >> 3] >> (at & 7) & 1).astype(bool) & words.whole(width)) if len(at) else np.zeros(0, np.int64)
+                    found = ((int(words.row[i]), i, width, {"window": words.text(i, width).decode()}) for i in passed.tolist())
+                    for row, hit in _hits_of(words, offsets[a : b + 1], found):
+                        for n, v in {"uid": uids[a + row], "n_words": None, **hit}.items():
+                            out[n].append(v)
+                types = [pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 4]
+                yield pa.RecordBatch.from_arrays([pa.array(out[n], t) for n, t in zip(names, types, strict=True)], names)
+
+    schema = "uid long, n_words long, window string, `from` long, `to` long, first long, `end` long"
+    seen = stored(rows.select("uid", F.col(f"doc.`{text}`").alias("text")).mapInArrow(candidates, schema), "decontamination-candidates")
+    verified = seen.where("window IS NOT NULL").join(windows, "window").select("uid", F.struct("from", "to", "first", "end", "items").alias("hit"))
+    hits = verified.groupBy("uid").agg(F.sort_array(F.collect_list("hit")).alias("hits"))  # as many as one text has
+    counts = seen.where("n_words IS NOT NULL").select("uid", "n_words")
+    whole = rows.join(counts, "uid").join(hits, "uid", "left").select("doc", "n_words", F.coalesce("hits", F.array().cast(_HIT_SQL)).alias("hits"))
+    names = docs.columns
+
+    def finish_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs_here = pa.RecordBatch.from_arrays(batch.column(0).flatten(), names)
+            yield finish(docs_here, np.asarray(batch.column(1)), batch.column(2).to_pylist())
+
+    return whole.mapInArrow(finish_all, finished)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, finish, finished, text: str = "text", width: int = WIDTH, most: int = BROADCAST_BYTES) -> DataFrame:
     """What finish makes of docs, the numbers of words and all hits. A null text has no words."""
-    found = without(docs, "__n_words", _HITS)
-    parts = _parts(stored(benchmark_windows(benchmark, width=width), "benchmark-windows"), most)
-    rows = next(parts, [])
-    for following in parts:
-        found, rows = stored(_scan(found, text, rows), "decontamination-pass"), following
-    return _scan(found, text, rows, finish, finished)
+    windows = stored(benchmark_windows(benchmark, width=width), "benchmark-windows")
+    size = F.octet_length("window") + F.octet_length(F.array_join("items", ","))
+    if (windows.agg(F.sum(size.cast("long"))).first()[0] or 0) > most:
+        return _scan_by_join(docs, text, windows, finish, finished)
+    return _scan(docs, text, [(r.window, r.items) for r in windows.collect()], finish, finished)  # `most` bytes at most
 
 
 def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, most: int = BROADCAST_BYTES) -> DataFrame:
