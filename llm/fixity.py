@@ -151,7 +151,11 @@ def page_copies(pages: DataFrame) -> DataFrame:
 
 
 def audit_pages(pages: DataFrame) -> DataFrame:
-    """The audit of three replicas of the archive of all pages."""
+    """The audit of three replicas of the archive of all pages.
+
+    Nulls in a page read as nothing, except that a page without an id is a record like others. Records of any length are hashed whole.
+    Repeated pages are records of their own; an empty table has an empty archive, and no row to report.
+    """
     return audit(page_copies(pages))
 
 

@@ -273,7 +273,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
     A byte is removed if a string of `width` bytes covers it that also starts earlier: in a document with a smaller id, or earlier in
     the same document. Texts are UTF-8 bytes; what stays may split a character. Null texts are empty; a null id
     is less than any other. Rows with the same id are ordered by their text's checksum; rows that repeat both id and text are one
-    document, judged once, and get the same result. Other columns of docs are not read.
+    document, judged once, and get the same result. Texts of any length are judged whole; an empty table gives no rows. Other columns of
+    docs are not read.
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))

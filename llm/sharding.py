@@ -91,7 +91,8 @@ def assign(docs: DataFrame, t: Tree | None = None, doc_id: str = "doc_id", text:
     size is the text's UTF-8 bytes plus 16; a null text has no bytes. The shard depends on doc_id and the tree alone, so
     equal ids share a shard. slot numbers a shard's rows without gaps, in groups of ids by hash: rows are
     ranked in their group, and groups are offset by the sizes of those before, so no task sorts a whole shard.
-    Rows that agree in id, size and checksum are interchangeable. Other columns of docs are not read.
+    Rows that agree in id, size and checksum are interchangeable. Texts of any length are read whole, for size and checksum. An empty
+    table gives no rows. Other columns of docs are not read.
     """
     t = t or tree()
     key, body = F.col(f"`{doc_id}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
