@@ -46,6 +46,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of packed sequences of what all stages keep (see `packing.pack`).
+
+    Null and empty texts pass every stage and are packed as an end id each; repeated rows are near copies, of which one stays; texts of any
+    length stay whole. Without labels of both kinds no document is rejected, without a benchmark none is cut; without
+    documents there is nothing to pack. Columns of documents beside doc_id and text may have any names.
+    """
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
