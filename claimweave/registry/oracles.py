@@ -637,3 +637,4 @@ ORACLES["upsert_ranged"] = ORACLES["upsert_diag_pivot"]
 ORACLES["range_scan"] = """
     SELECT CAST(tile - 1 AS INTEGER) AS slice, count(*) AS row_count, min(l_returnflag) AS least, CAST(sum(l_orderkey) AS BIGINT) AS key_sum
     FROM (SELECT *, ntile(10) OVER (ORDER BY l_returnflag, l_orderkey, l_linenumber) AS tile FROM lineitem) AS t GROUP BY 1"""
+ORACLES["export_page_deep"] = "SELECT * FROM orders ORDER BY o_orderkey LIMIT 1000 OFFSET 9000"

@@ -528,6 +528,14 @@ def export_page(spark, sf_dir):
     return sets.page(orders, ["o_orderkey"], 500, 1000)
 
 
+@register
+def export_page_deep(spark, sf_dir):
+    """A page far behind the first ones, read from the pieces of a table laid out by its key."""
+    orders = RangedTable(spark, f"{work_folder(spark, 'paged')}/orders", rows_per_piece=1500)
+    orders.create(tables.read_table(spark, sf_dir, "orders"), ["o_orderkey"])
+    return orders.page(9, 1000)
+
+
 @register
 def export_page_after(spark, sf_dir):
     lineitem = tables.read_table(spark, sf_dir, "lineitem")

@@ -86,3 +86,17 @@ def test_many_bounds_are_searched_in_two_steps(spark, tmp_path):
     assert n == len(keys) and len(set(before) - set(files(spark, table))) == n
     got = dict(rows(table.read()))
     assert all(got[k] == "new" for k in keys) and len(got) == 3002
+
+
+def test_any_page_reads_its_own_pieces(spark, tmp_path):
+    frame = spark.createDataFrame(table_rows(5, 900), SCHEMA)
+    table = RangedTable(spark, str(tmp_path / "t"), rows_per_piece=60)
+    table.create(frame, ["a", "b"])
+    want = [tuple(r) for r in frame.orderBy("a", "b").collect()]
+    for size in (1, 45, 60, 200, 5000):
+        for number in {0, 1, len(want) // size // 2, len(want) // size, len(want) // size + 1}:
+            page = table.page(number, size)
+            assert [tuple(r) for r in page.collect()] == want[number * size : (number + 1) * size]
+            assert len(page.inputFiles()) <= 2 + size // 30
+    table.upsert(spark.createDataFrame([("k0000", date(2024, 1, 1), 1, "first")], SCHEMA))
+    assert [r.a for r in table.page(0, 1).collect()] <= ["k0000"]
