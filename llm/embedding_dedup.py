@@ -68,17 +68,29 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
+def _fitted_cells(classes: DataFrame, sample: int) -> dict[int, np.ndarray]:
+    """Centroids of each dimension: one job for all, and one task per dimension, whose vectors `sample` bounds. The driver gets centroids only."""
+
+    def fit(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks().sort_by("uid")
+        n = table["n"][0].as_py()
+        c = spherical_kmeans(unit(_matrix(table["vector"].combine_chunks())), min(MAX_CELLS, -(-n // VECTORS_PER_CELL)))
+        return pa.table({"dim": table["dim"][:1], "centroids": [np.ascontiguousarray(c, np.float64).tobytes()]})
+
+    sizes = classes.groupBy("dim").agg(F.count("*").alias("n"))  # a row per dimension
+    drawn = classes.join(sizes, "dim").where((F.col("n") <= sample) | (F.pmod(F.xxhash64("uid"), F.col("n")) < sample))
+    fitted = drawn.select("dim", "n", "uid", "vector").groupBy("dim").applyInArrow(fit, "dim int, centroids binary").collect()
+    cells = {r.dim: np.frombuffer(bytes(r.centroids)).reshape(-1, r.dim) for r in fitted}
+    # A hash may draw nobody of a dimension; its vectors are one cell then.
+    return cells | {r.dim: np.eye(1, r.dim) for r in sizes.select("dim").collect() if r.dim not in cells}
+
+
 def link_classes(classes: DataFrame, least_cosine: float = LEAST_COSINE, sample: int = SAMPLE, block: int = BLOCK, sigmas: float | None = SIGMAS) -> DataFrame:
     """(uid, n, root) parts for classes (uid, dim, vector, members): n sums the members of linked classes, root is a linked uid.
 
     A class has a row for each task that found links of it. Vectors of different dimensions are never compared.
     """
-    cells = {}
-    for dim, n in classes.groupBy("dim").count().collect():  # one row per dimension
-        fit = classes.where(F.col("dim") == dim)
-        fit = fit.where(F.pmod(F.xxhash64("uid"), F.lit(n)) < sample) if n > sample else fit
-        x = unit(np.array([r.vector for r in fit.orderBy("uid").select("vector").collect()], np.float64))
-        cells[dim] = spherical_kmeans(x, min(MAX_CELLS, -(-n // VECTORS_PER_CELL))) if len(x) else np.eye(1, dim)
+    cells = _fitted_cells(classes, sample)
     # Centroids: at most MAX_CELLS of each dimension.
     shared = classes.sparkSession.sparkContext.broadcast(cells)
     apart = float(np.sqrt(2 - 2 * least_cosine)) + 1e-9
