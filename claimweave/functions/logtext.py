@@ -8,10 +8,7 @@ from claimweave.functions.scalars import strip
 
 # The header layouts and message layouts of the log format.
 HEADER = r"(\d{4}-\d{2}-\d{2}\s\d{2}:\d{2}:\d{2})\s+\[([^\]]+)\]\s+\[([^\]]+)\]\s+(\w+)\s+(.*)"
-STRICT_HEADER = (
-    r"(\d{4}-\d{2}-\d{2}\s\d{2}:\d{2}:\d{2})\s+\[([^\]]+)\]\s+\[([^\]]+)\]\s+(\w+)\s+"
-    r"([^\s]+)\s+\(([^)]+)\)\s+:(.*)"
-)
+STRICT_HEADER = r"(\d{4}-\d{2}-\d{2}\s\d{2}:\d{2}:\d{2})\s+\[([^\]]+)\]\s+\[([^\]]+)\]\s+(\w+)\s+([^\s]+)\s+\(([^)]+)\)\s+:(.*)"
 COMPONENT_HEADER = r"(\d{4}-\d{2}-\d{2}\s\d{2}:\d{2}:\d{2})\s+(\w+)\s+\[([^\]]+)\]\s+(.*)"
 CALL_PREFIX = r"^(\S+)\s+\(([^)]+)\)\s+:\s*(.*)"
 CANDIDATE_FORMATS = {
@@ -57,11 +54,6 @@ def header_fields(line: Column, pattern: str = HEADER, names: list[str] = HEADER
     return fields
 
 
-def header_or_null(line: Column, pattern: str = HEADER) -> Column:
-    """The line if it is a header of the given layout, else null."""
-    return F.when(matches(line, pattern), line)
-
-
 def function_name(message: Column) -> Column:
     rx = anchored(CALL_PREFIX)
     return F.when(message.rlike(rx), F.regexp_extract(message, rx, 1)).otherwise("unknown")

@@ -60,7 +60,8 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], latest: str |
     """INSERT ... ON CONFLICT (keys) DO UPDATE; the target's keys are unique, as the conflict clause asks.
 
     Rows of the batch that share a key are reduced to the one with the greatest ``latest``, then the greatest values. A null key
-    conflicts with nothing: such rows are all kept and inserted. Each side is read once: the reduced batch meets the target in
+    conflicts with nothing: such rows are all kept and inserted. Columns that the batch doesn't have keep their values, and are null in
+    inserted rows. Each side is read once: the reduced batch meets the target in
     a full outer join, in which rows with a null key are spread by a hash of the row.
     """
     rest = [c for c in updates.columns if c not in keys]
@@ -82,4 +83,5 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str], latest: str |
     new = keyed(batch, "new", F.xxhash64("_alone"), "new")
     matched = [F.col(f"_old_{i}") == F.col(f"_new_{i}") for i in range(len(keys))]
     both = old.join(new, reduce(lambda a, b: a & b, matched, F.col("_old_hash") == F.col("_new_hash")), "full")
-    return both.select(*[F.when(F.col("new").isNotNull(), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in target.columns])
+    taken = {c: F.when(F.col("new").isNotNull(), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")) for c in updates.columns}
+    return both.select(*[taken.get(c, F.col(f"old.{c}")).alias(c) for c in target.columns])

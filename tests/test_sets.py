@@ -66,3 +66,9 @@ def test_chunks(spark, size):
     df = spark.createDataFrame([(i, i) for i in range(50)], "id long, v long")
     assert rows(process_in_chunks(df, double, df.schema, size, factor=2)) == sorted(((i, 2 * i) for i in range(50)), key=repr)
     assert process_in_chunks(df.where("false"), double, df.schema, size, factor=2).count() == 0
+
+
+def test_upsert_of_some_columns_keeps_the_others(spark):
+    target = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "k string, v int, w string")
+    batch = spark.createDataFrame([("a", 9), ("c", 3)], "k string, v int")
+    assert rows(sets.upsert(target, batch, ["k"])) == [("a", 9, "x"), ("b", 2, "y"), ("c", 3, None)]
