@@ -12,8 +12,8 @@ SF = "/root/testdata/sf0.001"
 COPIES = "replica string, record_offset long, page_id long, digest binary"
 
 
-def test_all_ten_operators_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES if q != "pipeline"}
+def test_all_operators_are_registered():
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES if q != "pipeline"}
 
 
 @pytest.mark.parametrize(("leaf", "fanout"), [(64, 2), (1 << 16, 16), (1000, 3)])
