@@ -16,8 +16,9 @@ def facts_per_param(fact: DataFrame, params: DataFrame, date_column: str = "subm
     """Every fact once per parameter row whose period and centers it falls in, tagged with param_id.
 
     An equi join on (day range, center). A period is a few day ranges of lengths that are powers of two, once per center of its list;
-    a row without a list, which means every center, has an empty center in its place. A fact has one range per level, with its own center
-    and with the empty one; of these only the kinds that parameter rows use.
+    a row without a list, which means every center, has an empty center in its place. A day and center of the facts has one range per
+    level, with its own center and with the empty one; of these only the kinds that parameter rows use. Facts then meet
+    the runs of their day and center.
     """
     asked = F.array_distinct(F.filter(F.transform(F.split(F.coalesce("centers", F.lit("")), ","), lambda c: F.trim(c)), lambda c: c != ""))
     valid = params.where(F.col("from_date") <= F.col("to_date"))
@@ -33,10 +34,13 @@ def facts_per_param(fact: DataFrame, params: DataFrame, date_column: str = "subm
 
     kinds = wanted.agg(F.collect_set(F.struct(level_of(F.col("run_range")).alias("level"), (F.col("run_center") == "").alias("every")))).scalar()
     inside = fact.where((F.col(date_column) >= first) & (F.col(date_column) < after))
-    kinded = inside.select("*", F.explode(kinds).alias("_kind"))
-    center = F.when(F.col("_kind.every"), "").otherwise(F.nullif(F.col("center_id").cast("string"), F.lit("")))
-    keyed = kinded.select(*fact.columns, day_range(F.to_date(date_column), F.col("_kind.level")).alias("_range"), center.alias("_center"))
-    joined = keyed.join(wanted, (F.col("_range") == F.col("run_range")) & (F.col("_center") == F.col("run_center")))
+    dated = inside.withColumns({"_day": F.to_date(date_column), "_center": F.coalesce(F.col("center_id").cast("string"), F.lit(""))})
+    # The facts' days and centers, not the facts, meet the ranges; what comes of it has no more rows than the result.
+    places = dated.select("_day", "_center").distinct().select("_day", "_center", F.explode(kinds).alias("_kind"))
+    center = F.when(F.col("_kind.every"), "").otherwise(F.nullif(F.col("_center"), F.lit("")))
+    keyed = places.select(F.col("_day").alias("run_day"), F.col("_center").alias("place"), day_range(F.col("_day"), F.col("_kind.level")).alias("_range"), center.alias("_asked"))
+    runs = keyed.join(wanted, (F.col("_range") == F.col("run_range")) & (F.col("_asked") == F.col("run_center"))).select("run_day", "place", "param_id")
+    joined = dated.join(runs, (F.col("_day") == F.col("run_day")) & (F.col("_center") == F.col("place")))
     return joined.select("param_id", *[F.col(c) for c in fact.columns])
 
 
