@@ -31,10 +31,14 @@ def bare_line(line: Column) -> Column:
     return F.btrim(line, F.lit(BLANKS))
 
 
+def line_digest(bare: Column) -> Column:
+    return F.unhex(F.md5(bare))
+
+
 def line_key(line: Column) -> Column:
     """What makes lines equal: the text without outer white space; blank lines have no key."""
     bare = bare_line(line)
-    return F.when(bare != "", F.unhex(F.md5(bare)))
+    return F.when(bare != "", line_digest(bare))
 
 
 def boilerplate(pages: DataFrame, host: Column, lines: Column, max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -42,7 +46,8 @@ def boilerplate(pages: DataFrame, host: Column, lines: Column, max_ratio: float
 
     A line is boilerplate if more than max_ratio of the host's pages contain it, and min_pages at least.
     """
-    sited = pages.select(host.alias("host"), F.array_distinct(F.filter(F.transform(lines, line_key), F.isnotnull)).alias("keys")).where(F.col("host").isNotNull())
+    bare = F.array_distinct(F.filter(F.transform(lines, bare_line), lambda x: x != ""))  # each line is hashed once a page
+    sited = pages.select(host.alias("host"), F.transform(bare, line_digest).alias("keys")).where(F.col("host").isNotNull())
     totals = sited.groupBy("host").agg(F.count("*").alias("n_pages"))
     counts = sited.select("host", F.explode("keys").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"))
     return (
@@ -78,8 +83,14 @@ def split_boilerplate(pages: DataFrame, host: Column, lines: Column, max_ratio:
 # -- pages and documents ------------------------------------------------------------------------------
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]]*\]|[^/?#:@]+)"
-UNSEEN = r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->"
+#: One "<" before the choice, so that the search looks at little but the tags. The same holds for the block tags, by their first letters.
+UNSEEN = r"(?s)<(?:script.*?</script>|style.*?</style>|!--.*?-->)"
 BREAKS = r"</?(address|article|aside|blockquote|body|br|div|dd|dl|dt|footer|form|h1|h2|h3|h4|h5|h6|head|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)(\s[^>]*)?/?>"
+#: What BREAKS, which the SQL check has, finds.
+QUICK_BREAKS = (
+    r"</?(?:a(?:ddress|rticle|side)|b(?:lockquote|ody|r)|d(?:iv|[dlt])|f(?:ooter|orm)|h(?:[1-6r]|ead(?:er)?|tml)|li|main|nav|ol|p(?:re)?|section"
+    r"|t(?:able|itle|[dhr])|ul)(?:\s[^>]*)?/?>"
+)
 TAG = r"<[^>]*>"
 
 
@@ -91,7 +102,7 @@ def url_host(url: Column) -> Column:
 
 def html_lines(html: Column) -> Column:
     """Visible text by blocks: scripts, styles and comments go, block tags break lines, other tags vanish; no blank lines."""
-    text = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, UNSEEN, ""), BREAKS, "\n"), TAG, "")
+    text = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, UNSEEN, ""), QUICK_BREAKS, "\n"), TAG, "")
     return F.filter(F.transform(F.split(text, "\n"), bare_line), lambda x: x != "")
 
 
