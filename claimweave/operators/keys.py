@@ -41,19 +41,19 @@ def key_join(left: DataFrame, right: DataFrame, on: dict[str, str], how: str = "
     """
     left_keys = [F.col(c).cast("string") for c in on]
     right_keys = [F.col(c).cast("string") for c in on.values()]
-    key_hash = F.xxhash64(*left_keys)
-    if how in ("left", "left_anti"):
-        any_null = reduce(lambda a, b: a | b, [k.isNull() for k in left_keys])
-        key_hash = F.when(any_null, F.xxhash64("*")).otherwise(key_hash)
     left_names = [f"_left_{c}" for c in on]
     right_names = [f"_right_{c}" for c in on.values()]
-    lhs = left.select("*", *[k.alias(n) for n, k in zip(left_names, left_keys)], key_hash.alias("_left_hash"))
-    rhs = right.select(
-        "*", *[k.alias(n) for n, k in zip(right_names, right_keys)], F.xxhash64(*right_keys).alias("_right_hash")
-    ).drop(*on.values())
+    # The hashes are no columns: eight bytes of noise in each shuffled row, while they follow from the keys.
+    left_hash, spread = F.xxhash64(*left_names), []
+    if how in ("left", "left_anti"):
+        any_null = reduce(lambda a, b: a | b, [k.isNull() for k in left_keys])
+        spread = [F.when(any_null, F.xxhash64("*")).alias("_left_spread")]
+        left_hash = F.coalesce("_left_spread", left_hash)
+    lhs = left.select("*", *[k.alias(n) for n, k in zip(left_names, left_keys)], *spread)
+    rhs = right.select("*", *[k.alias(n) for n, k in zip(right_names, right_keys)]).drop(*on.values())
     matched = [F.col(a) == F.col(b) for a, b in zip(left_names, right_names)]
-    joined = lhs.join(rhs, reduce(lambda a, b: a & b, matched, F.col("_left_hash") == F.col("_right_hash")), how)
-    return joined.drop(*left_names, *right_names, "_left_hash", "_right_hash")
+    joined = lhs.join(rhs, reduce(lambda a, b: a & b, matched, left_hash == F.xxhash64(*right_names)), how)
+    return joined.drop(*left_names, *right_names, "_left_spread")
 
 
 def keep_keys(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:

@@ -107,17 +107,17 @@ def update_visit(claims: DataFrame, doctor_attributes: Source, diag_pivot: DataF
 def enrich_claims(claims: DataFrame, src: ClaimSources, as_of: date | str | None = None) -> DataFrame:
     """All updates in one pass. They write disjoint columns, so their order is free.
 
-    The three large sources come first, the one with the fewest columns at the very start, so that
-    shuffled fact rows are narrow. The masters follow: where they are small enough for
-    Spark to broadcast, they widen the rows without another shuffle.
+    Whatever is joined by a shuffle is shuffled again with every later source that is large. So the large sources come by
+    the width of what they add: insurer, plan, observations of few charges, patient, visit. The masters that
+    stay small whatever the number of facts (centers, organizations, administrators) follow; Spark broadcasts them.
     """
-    claims = update_patient(claims, src.patient, as_of)
+    claims = update_insurer(claims, src.insurance_company)
+    claims = update_plan(claims, src.plan, src.category)
     claims = update_observations(claims, obs_pivot(src.observation))
+    claims = update_patient(claims, src.patient, as_of)
     doctors = visit_doctor_attributes(src.registration, src.doctor, src.department)
     claims = update_visit(claims, doctors, diag_pivot_typed(src.diagnosis))
-    claims = update_insurer(claims, src.insurance_company)
     claims = update_rate_plan(claims, src.organization)
-    claims = update_plan(claims, src.plan, src.category)
     claims = update_tpa(claims, src.tpa)
     return update_center(claims, src.center)
 
