@@ -17,6 +17,8 @@ from claimweave.operators.sets import upsert
 from claimweave.sinks.snapshots import Layer, Manifest, Snapshots
 
 ROWS_PER_PIECE = 1_000_000
+#: A table has about so many pieces at most: beyond, pieces hold more rows, as manifest, listings and files would grow with the table.
+MOST_PIECES = 512
 
 
 class RangedTable:
@@ -66,7 +68,8 @@ class RangedTable:
         """Lay a table out by its keys, in place of what was there before. Rows with a null in the key come first."""
         now = self.store.latest()
         self.store.begin({"create": True})
-        pieces = self._write(df.withColumn("_piece", F.lit(0)), keys, df.count())
+        rows = df.count()
+        pieces = self._write(df.withColumn("_piece", F.lit(0)), keys, rows, rows)
         self.store.commit(Manifest(now.version if now else 0, {"pieces": tuple(p for _, p in pieces)}, {"keys": keys, "schema": df.schema.jsonValue()}))
 
     def upsert(self, batch: DataFrame, latest: str | None = None) -> int:
@@ -85,7 +88,8 @@ class RangedTable:
         before = self.store.read(tuple(old[i] for i in sorted(touched) if i < len(old)), schema)
         merged = upsert(before, batch, keys, latest)
         most = sum(counts.values()) + sum(old[i].facts["rows"] for i in touched if i < len(old))
-        new = self._write(merged.withColumn("_piece", self._piece_of(keys, schema, old)), keys, most)
+        whole = sum(counts.values()) + sum(p.facts["rows"] for p in old)
+        new = self._write(merged.withColumn("_piece", self._piece_of(keys, schema, old)), keys, most, whole)
         kept = [((i,), p) for i, p in enumerate(old) if i not in touched]
         pieces = [p for _, p in sorted([*kept, *new], key=lambda p: p[0])]
         self.store.commit(Manifest(now.version, {"pieces": tuple(pieces)}, now.facts))
@@ -99,9 +103,12 @@ class RangedTable:
         starts = [dict(zip(keys, p.facts["low"], strict=True)) for p in pieces[1:]]
         return place_of(F.struct(*keys), starts, lambda rows: F.from_json(F.lit(json.dumps(rows)), ArrayType(kind)))
 
-    def _write(self, df: DataFrame, keys: list[str], rows: int) -> list[tuple[tuple[int, ...], Layer]]:
-        """At most so many rows with their old piece (_piece) as new pieces, each with its place: the old piece's, and one within it."""
-        parts = max(1, -(-rows // self.rows_per_piece))
+    def _write(self, df: DataFrame, keys: list[str], rows: int, whole: int) -> list[tuple[tuple[int, ...], Layer]]:
+        """At most so many rows with their old piece (_piece) as new pieces, each with its place: the old piece's, and one within it.
+
+        ``whole`` is the number of rows of the table, by which pieces grow.
+        """
+        parts = max(1, -(-rows // max(self.rows_per_piece, -(-whole // MOST_PIECES))))
         ordered = df.repartitionByRange(parts, "_piece", *keys).sortWithinPartitions("_piece", *keys)
         written = self.store.write(ordered.withColumn("_part", F.spark_partition_id()), "pieces", partition_by=["_piece", "_part"])
         own = F.struct(*keys)
