@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from claimweave.functions.scalars import slot_label
 from claimweave.operators.keys import nulls_last
-from claimweave.operators.ranges import even_starts, place_of
+from claimweave.operators.ranges import even_starts, pieces_for, place_of
 from claimweave.schemas import (
     DIAG_SLOTS,
     OBS_ATTRIBUTES,
@@ -112,16 +112,42 @@ def pivot_first(
     return pivoted if fill is None else pivoted.fillna(fill)
 
 
+#: Diagnoses of one visit and type beyond which they are ranked by pieces.
+HOT_ROWS = 1 << 16
+
+
 def slot_labels(diagnosis: DataFrame, pieces: int | None = None) -> DataFrame:
     """Every diagnosis with the label of its place among the visit's diagnoses of its type, by code and id.
 
+    Groups of usual size are ranked by one window, in parts whose number grows with the rows. Larger ones (two jobs find them; there are
+    at most rows / HOT_ROWS), or all of them if ``pieces`` is given, are ranked by pieces.
+    """
+    if pieces is not None:
+        return _slots_by_pieces(diagnosis, pieces)
+    group = ["visit_id", "diag_type"]
+    counts = diagnosis.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > HOT_ROWS).collect()
+    rows = diagnosis.select(*group, "icd_code", "id")
+    usual, found = rows, None
+    if counts:
+        hot = diagnosis.sparkSession.createDataFrame([tuple(r)[:2] for r in counts], diagnosis.select(*group).schema)
+        same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(hot[c]) for c in group])
+        usual = rows.join(F.broadcast(hot), same, "left_anti")
+        found = _slots_by_pieces(rows.join(F.broadcast(hot), same, "left_semi"), pieces_for(diagnosis, sum(r.n for r in counts)))
+    # A set number of parts: small ones are not merged to what one task must sort.
+    dealt = usual.repartition(pieces_for(diagnosis, diagnosis.count()), *group)
+    placed = dealt.withColumn("place", F.row_number().over(Window.partitionBy(*group).orderBy("icd_code", "id")))
+    labels = placed.select("visit_id", "icd_code", slot_label(F.col("diag_type"), F.col("place")).alias("slot"))
+    return labels if found is None else labels.unionByName(found)
+
+
+def _slots_by_pieces(diagnosis: DataFrame, pieces: int) -> DataFrame:
+    """Labels of groups of any size.
+
     A place is the sum of three: rows of earlier codes, rows of the same code in earlier pieces, and the place in the own piece. Pieces
     are ranges of the id with about equal numbers of rows (one job finds their bounds), so a group of any size, such as all rows
     without a visit, is ranked piece by piece in many tasks; sums run over counts only.
     """
     group = ["visit_id", "diag_type", "icd_code"]
-    if pieces is None:
-        pieces = int(diagnosis.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     starts = even_starts(diagnosis, "id", pieces)
     constant = lambda values: F.array(*[F.lit(v) for v in values])
     rows = diagnosis.select(*group, "id", place_of(F.col("id"), starts, constant).alias("piece"))
