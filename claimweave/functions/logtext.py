@@ -54,9 +54,28 @@ def header_fields(line: Column, pattern: str = HEADER, names: list[str] = HEADER
     return fields
 
 
+def header_time(line: Column) -> Column:
+    """The timestamp of a header line: its first 19 characters."""
+    return parse_timestamp(line)
+
+
+def entry_fields(line: Column) -> list[Column]:
+    """What `header_fields` gives for HEADER, from one match instead of one per field.
+
+    A bracket ends the fields in the rewritten line, as none of the first three can hold one; a message ends where the line does.
+    """
+    parts = F.split(F.regexp_replace(line, anchored(HEADER), "$2]$3]$4]$5"), "]", 4)
+    message = strip(F.substring_index(parts[3], "\n", 1))
+    return [header_time(line).alias("timestamp"), *[parts[i].alias(HEADER_FIELDS[i + 1]) for i in range(3)], message.alias("message")]
+
+
+def _called(message: Column) -> Column:
+    """The function that a message begins with; empty without one."""
+    return F.regexp_extract(message, anchored(CALL_PREFIX), 1)
+
+
 def function_name(message: Column) -> Column:
-    rx = anchored(CALL_PREFIX)
-    return F.when(message.rlike(rx), F.regexp_extract(message, rx, 1)).otherwise("unknown")
+    return F.when(_called(message) != "", _called(message)).otherwise("unknown")
 
 
 def file_info(message: Column) -> Column:
@@ -64,8 +83,7 @@ def file_info(message: Column) -> Column:
 
 
 def clean_message(message: Column) -> Column:
-    rx = anchored(CALL_PREFIX)
-    return F.when(message.rlike(rx), F.regexp_extract(message, rx, 3)).otherwise(message)
+    return F.when(_called(message) != "", F.regexp_extract(message, anchored(CALL_PREFIX), 3)).otherwise(message)
 
 
 def seconds_between(earlier: Column, later: Column) -> Column:

@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from claimweave.functions import logtext
 from claimweave.functions.scalars import strip
+from claimweave.operators.ranges import pieces_for
 from claimweave.schemas import LOG_ENTRY, conform
 
 ROWS_PER_BLOCK = 65_536
+#: Lines that one task sorts, when blocks are smaller.
+ROWS_PER_PART = 1 << 18
 
 
 def lines_from_table(df: DataFrame, file: str = "file", pos: str = "pos", line: str = "line",
@@ -46,7 +49,7 @@ def header_entries(lines: DataFrame) -> DataFrame:
     """One row per header line, without continuation lines; needs no shuffle."""
     text = strip(F.col("line"))
     heads = lines.select("file", "block", "ord", text.alias("text")).where(logtext.matches(F.col("text"), logtext.HEADER))
-    return _with_message_parts(heads.select("file", "block", "ord", *logtext.header_fields(F.col("text"))))
+    return _with_message_parts(heads.select("file", "block", "ord", *logtext.entry_fields(F.col("text"))))
 
 
 def time_gaps(entries: DataFrame) -> DataFrame:
@@ -69,15 +72,24 @@ def time_gaps(entries: DataFrame) -> DataFrame:
     return marked.where(~F.col("last_of_block")).unionByName(last).select(*entries.columns, gap)
 
 
-def _numbered(lines: DataFrame) -> DataFrame:
-    """Stripped lines with their number in the block and the number of headers up to them (the piece)."""
-    text = strip(F.col("line"))
-    marked = lines.select(
-        "file", "block", "ord", text.alias("text"), logtext.matches(text, logtext.HEADER).alias("is_header")
-    )
-    in_block = Window.partitionBy("file", "block").orderBy("ord")
+def _dealt(lines: DataFrame) -> DataFrame:
+    """Stripped lines, marked where an entry begins and dealt by block: the one shuffle of lines, which all steps after it read.
+
+    The number of parts grows with the lines (one job counts them), so a task sorts a bounded number, or one block. Every step
+    uses all of these columns; with fewer, it would get a shuffle of its own.
+    """
+    text, rows = strip(F.col("line")), lines.count()
+    at = F.coalesce(F.col("ord").cast("long"), F.lit(-(1 << 63)))
+    marked = lines.select("file", "block", at.alias("ord"), text.alias("text"))
+    marked = marked.withColumn("is_header", F.coalesce(logtext.matches(F.col("text"), logtext.HEADER), F.lit(False)))
+    return marked.repartition(pieces_for(lines, rows, ROWS_PER_PART), "file", "block")
+
+
+def _numbered(dealt: DataFrame) -> DataFrame:
+    """Lines with their number in the block and the number of headers up to them (the piece). Of equal positions, headers come first."""
+    in_block = Window.partitionBy("file", "block").orderBy("ord", F.desc("is_header"))
     so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return marked.withColumns(
+    return dealt.withColumns(
         {
             "piece": F.sum(F.col("is_header").cast("long")).over(so_far),
             "line_no": F.row_number().over(in_block),
@@ -86,66 +98,67 @@ def _numbered(lines: DataFrame) -> DataFrame:
 
 
 def _continuations() -> Column:
-    """The non-blank continuation lines, in order, as an aggregate."""
-    wanted = ~F.col("is_header") & (F.col("text") != "")
-    ordered = F.sort_array(F.collect_list(F.when(wanted, F.struct("line_no", "text"))))
+    """The continuation lines, in order, as an aggregate."""
+    ordered = F.sort_array(F.collect_list(F.when(~F.col("is_header"), F.struct("line_no", "text"))))
     return F.transform(ordered, lambda x: x["text"])
 
 
 def _pieces(numbered: DataFrame) -> DataFrame:
     """Headers with their continuation lines, as far as their own block holds them."""
-    pieces = numbered.where(F.col("piece") > 0).groupBy("file", "block", "piece").agg(
-        F.max(F.when(F.col("is_header"), F.col("text"))).alias("head"),
+    used = numbered.where((F.col("piece") > 0) & (F.col("text") != ""))
+    pieces = used.groupBy("file", "block", "piece").agg(
+        F.max(F.when(F.col("is_header"), F.col("text"))).alias("line"),
         F.min("line_no").alias("first_line"),
         _continuations().alias("more"),
     )
-    return pieces.select("file", "block", "piece", "first_line", "more", *logtext.header_fields(F.col("head")))
+    return pieces.select("file", "block", "piece", "first_line", "more", *logtext.entry_fields(F.col("line")))
 
 
-def _block_context(numbered: DataFrame) -> DataFrame:
-    """Per block: lines before it, the next block's first entry, and the number of the header block that owns its leading lines.
+def _block_context(dealt: DataFrame) -> DataFrame:
+    """Per block: lines before it, its first header, the next block's first entry, and the block whose last entry owns its leading lines.
 
-    Rows hold no texts but one header's time. Owners count from 1 in each file; 0 means that no header comes before.
+    Rows hold no texts but one header's time. What headers give is one column, so no use of this reads less than the others.
     """
-    stats = numbered.groupBy("file", "block").agg(
+    header = lambda c: F.when(F.col("is_header"), c)
+    stats = dealt.groupBy("file", "block").agg(
         F.count("*").alias("lines"),
-        F.max("piece").alias("pieces"),
-        F.min_by("text", F.when(F.col("is_header"), F.col("line_no"))).alias("head"),
+        F.count(header(F.lit(1))).alias("pieces"),
+        F.min(header(F.col("ord"))).alias("ord"),
+        F.min_by(header(logtext.header_time(F.col("text"))), header(F.col("ord"))).alias("first"),
     )
-    stats = stats.withColumn("first", logtext.header_fields(F.col("head"))[0]).drop("head")
+    stats = stats.withColumn("head", F.when(F.col("pieces") > 0, F.struct("ord", "first", "pieces")))
     forward = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     backward = Window.partitionBy("file").orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
-    has_header = F.col("pieces") > 0
     return stats.select(
         "file",
         "block",
-        "pieces",
+        "head",
         F.coalesce(F.sum("lines").over(forward), F.lit(0)).alias("lines_before"),
-        F.coalesce(F.sum(has_header.cast("long")).over(forward), F.lit(0)).alias("owner"),
-        F.last(F.when(has_header, F.struct("first")), ignorenulls=True).over(backward).alias("next_first"),
+        F.last(F.when(F.col("head").isNotNull(), F.col("block")), ignorenulls=True).over(forward).alias("owner"),
+        F.last("head", ignorenulls=True).over(backward).alias("next"),
     )
 
 
-def _carried(numbered: DataFrame, context: DataFrame) -> DataFrame:
+def _carried(dealt: DataFrame, context: DataFrame) -> DataFrame:
     """Per header block the non-blank lines that later blocks begin with, in order: the tail of its last entry.
 
     Lines without any header before them are dropped at the join, one by one; they are never gathered.
     """
-    leading = numbered.where((F.col("piece") == 0) & (F.col("text") != "")).select("file", "block", "line_no", "text")
-    owned = context.where(F.col("owner") > 0).select("file", "block", "owner")
-    owners = context.where(F.col("pieces") > 0).select("file", (F.col("owner") + 1).alias("owner"), F.col("block").alias("owner_block"))
-    lines = leading.join(owned, ["file", "block"]).join(owners, ["file", "owner"])
-    ordered = F.sort_array(F.collect_list(F.struct("block", "line_no", "text")))
-    gathered = lines.groupBy("file", "owner_block").agg(F.transform(ordered, lambda x: x["text"]).alias("carried"))
-    return gathered.withColumnRenamed("owner_block", "block")
+    owned = context.where(F.col("owner").isNotNull()).select("file", "block", "owner", "head")
+    before_headers = F.col("head").isNull() | (F.col("ord") < F.col("head.ord"))
+    # One condition on both sides: parts of it below the shuffle would make that a shuffle of its own.
+    leading = F.coalesce(~F.col("is_header") & (F.col("text") != "") & before_headers, F.lit(False))
+    ordered = F.sort_array(F.collect_list(F.struct("block", "ord", "text")))
+    lines = dealt.join(owned, ["file", "block"]).where(leading)
+    return lines.groupBy("file", F.col("owner").alias("block")).agg(F.transform(ordered, lambda x: x["text"]).alias("carried"))
 
 
 def assemble_entries(lines: DataFrame) -> DataFrame:
-    """Complete log entries: header fields, joined continuation lines, line number and time gap."""
-    numbered = _numbered(lines)
-    context = _block_context(numbered)
-    entries = _pieces(numbered).join(context, ["file", "block"]).join(_carried(numbered, context), ["file", "block"], "left")
-    last_of_block = F.col("piece") == F.col("pieces")
+    """Complete log entries: header fields, joined continuation lines, line number and time gap. One job counts the lines first."""
+    dealt = _dealt(lines)
+    context = _block_context(dealt)
+    entries = _pieces(_numbered(dealt)).join(context.drop("owner"), ["file", "block"]).join(_carried(dealt, context), ["file", "block"], "left")
+    last_of_block = F.col("piece") == F.col("head.pieces")
     in_block = Window.partitionBy("file", "block").orderBy("piece")
     tail = F.coalesce("carried", F.array().cast("array<string>"))
     parts = F.when(last_of_block, F.concat("more", tail)).otherwise(F.col("more"))
@@ -153,7 +166,7 @@ def assemble_entries(lines: DataFrame) -> DataFrame:
         {
             "pos": F.col("lines_before") + F.col("first_line"),
             "details": F.array_join(parts, "\n"),
-            "next_timestamp": F.when(last_of_block, F.col("next_first.first")).otherwise(
+            "next_timestamp": F.when(last_of_block, F.col("next.first")).otherwise(
                 F.lead("timestamp").over(in_block)
             ),
         }

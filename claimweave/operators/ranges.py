@@ -39,9 +39,9 @@ def even_starts(df: DataFrame, column: str, n: int, per_range: int = 100) -> lis
     return sorted({sample[len(sample) * i // n] for i in range(1, n)}) if sample else []
 
 
-def pieces_for(df: DataFrame, rows: int) -> int:
+def pieces_for(df: DataFrame, rows: int, rows_per_piece: int = ROWS_PER_PIECE) -> int:
     """How many pieces so many rows are dealt to: the session's shuffle partitions, and more for more rows."""
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_PIECE))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_per_piece))
 
 
 def even_tiles(df: DataFrame, keys: list[str], n: int) -> DataFrame:
