@@ -175,6 +175,22 @@ ENTITY_SQL["log_text"] = f"""
         FROM {{events}} WHERE event_type = 'error'
     """
 
+# The same lines with the hour of their event.
+ENTITY_SQL["log_text_by_hour"] = f"""
+        SELECT file, pos * 4 AS pos, line, substr(line, 12, 2) AS hour FROM ({ENTITY_SQL["log_line"]}) AS heads
+        UNION ALL
+        SELECT 'app-' || substr(CAST(ts AS STRING), 1, 10) || '.log', event_id * 4 + 1, chr(9) || 'props ' || props || ' ',
+               substr(CAST(ts AS STRING), 12, 2)
+        FROM {{events}} WHERE event_type <> 'click'
+        UNION ALL
+        SELECT 'app-' || substr(CAST(ts AS STRING), 1, 10) || '.log', event_id * 4 + 2, '  ', substr(CAST(ts AS STRING), 12, 2)
+        FROM {{events}} WHERE event_type = 'error'
+        UNION ALL
+        SELECT 'app-' || substr(CAST(ts AS STRING), 1, 10) || '.log', event_id * 4 + 3, 'caused by user' || CAST(user_id AS STRING),
+               substr(CAST(ts AS STRING), 12, 2)
+        FROM {{events}} WHERE event_type = 'error'
+    """
+
 
 def tables_of(sql: str) -> list[str]:
     return sorted({field for _, field, _, _ in Formatter().parse(sql) if field})
