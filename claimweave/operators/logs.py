@@ -117,7 +117,8 @@ def _pieces(numbered: DataFrame) -> DataFrame:
 def _block_context(dealt: DataFrame) -> DataFrame:
     """Per block: lines before it, its first header, the next block's first entry, and the block whose last entry owns its leading lines.
 
-    Rows hold no texts but one header's time. What headers give is one column, so no use of this reads less than the others.
+    Rows hold no texts but one header's time. What headers give is one column, so all uses of this read the same,
+    unless the caller drops columns of the entries.
     """
     header = lambda c: F.when(F.col("is_header"), c)
     stats = dealt.groupBy("file", "block").agg(
