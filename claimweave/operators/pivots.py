@@ -34,17 +34,17 @@ def _cell(condition: str, value: str, name: str) -> Column:
 def diag_pivot_typed(diagnosis: DataFrame) -> DataFrame:
     """Per visit the largest principal code and the first 15 secondary codes.
 
-    Other diagnosis types fill no slot, but their visits keep a row. Principal rows are
-    ranked by descending code, so that their maximum is rank 1 and the limit cannot lose it.
+    Other diagnosis types fill no slot, but their visits keep a row, and so do rows without a code. Principal rows are
+    ranked by descending code, so that their maximum is rank 1 and the limit cannot lose it. Equal codes fill equal slots in any order, so
+    neither the id nor the type's text is shuffled, and each code once.
     """
-    kind = F.when(F.col("diag_type").isin("P", "S"), F.col("diag_type")).otherwise("other")
-    rows = diagnosis.select("visit_id", "icd_code", "id", kind.alias("kind"))
-    order = Window.partitionBy("visit_id", "kind").orderBy(
-        F.when(F.col("kind") == "P", F.col("icd_code")).desc_nulls_last(), *_ascending("icd_code", "id")
-    )
+    principal, secondary = (F.when(F.col("diag_type") == t, F.col("icd_code")) for t in ("P", "S"))
+    coded = diagnosis.select("visit_id", principal.alias("p"), secondary.alias("s"))
+    rows = coded.withColumn("kind", F.when(F.col("p").isNotNull(), 1).when(F.col("s").isNotNull(), 2).otherwise(0).cast("byte"))
+    order = Window.partitionBy("visit_id", "kind").orderBy(F.col("p").desc_nulls_last(), *_ascending("s"))
     kept = rows.withColumn("slot", F.row_number().over(order)).where(F.col("slot") <= SECONDARY_SLOTS)
-    secondary = [_cell(f"kind = 'S' AND slot = {i}", "icd_code", f"s{i}") for i in range(1, SECONDARY_SLOTS + 1)]
-    return kept.groupBy("visit_id").agg(_cell("kind = 'P'", "icd_code", "p1"), *secondary)
+    slots = [_cell(f"slot = {i}", "s", f"s{i}") for i in range(1, SECONDARY_SLOTS + 1)]
+    return kept.groupBy("visit_id").agg(F.max("p").alias("p1"), *slots)
 
 
 def diag_pivot_positional(diagnosis: DataFrame) -> DataFrame:

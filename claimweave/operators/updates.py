@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
@@ -16,6 +17,9 @@ from claimweave.schemas import (
 )
 from claimweave.sources.contracts import Keyed, Source, frame_of, is_unique
 
+#: How facts meet a source: `key_join`, or `Homes.join` for facts that are dealt to homes.
+Join = Callable[[DataFrame, DataFrame, dict[str, str], str], DataFrame]
+
 
 def take_matched(target: DataFrame, joined: DataFrame, hits: dict[str, str]) -> DataFrame:
     """Target columns after an update.
@@ -42,6 +46,7 @@ def update_from(
     assign: dict[str, str],
     order_by: list[str] | None = None,
     unique: bool = False,
+    join: Join = key_join,
 ) -> DataFrame:
     """UPDATE target SET a = source.b ... FROM source WHERE target.k = source.k.
 
@@ -61,7 +66,7 @@ def update_from(
         *[F.col(s).alias(f"new_{t}") for t, s in assign.items()],
         F.lit(True).alias("was_hit"),
     )
-    joined = key_join(target, new, {t: f"key_{s}" for t, s in on.items()}, "left")
+    joined = join(target, new, {t: f"key_{s}" for t, s in on.items()}, "left")
     return take_matched(target, joined, {t: "was_hit" for t in assign})
 
 
@@ -136,9 +141,9 @@ OBS_ASSIGN = {
 }
 
 
-def update_patient(claims: DataFrame, patient: Source, as_of: date | str | None = None) -> DataFrame:
+def update_patient(claims: DataFrame, patient: Source, as_of: date | str | None = None, join: Join = key_join) -> DataFrame:
     attributes = patient_attributes(patient, as_of)
-    return update_from(claims, attributes, {"patientid": "mr_no"}, same_names(PATIENT_COLUMNS))
+    return update_from(claims, attributes, {"patientid": "mr_no"}, same_names(PATIENT_COLUMNS), join=join)
 
 
 def update_insurer(claims: DataFrame, company: Source) -> DataFrame:
@@ -150,10 +155,10 @@ def update_rate_plan(claims: DataFrame, organization: Source) -> DataFrame:
     return update_from(claims, organization, {"rate_plan_id": "org_id"}, {"rate_plan": "org_name"})
 
 
-def update_plan(claims: DataFrame, plan: Source, category: Source) -> DataFrame:
+def update_plan(claims: DataFrame, plan: Source, category: Source, join: Join = key_join) -> DataFrame:
     attributes = plan_attributes(plan, category)
     return update_from(
-        claims, attributes, {"plan_id": "plan_id"}, same_names(["insurance_plan", "insurance_plan_type"])
+        claims, attributes, {"plan_id": "plan_id"}, same_names(["insurance_plan", "insurance_plan_type"]), join=join
     )
 
 
@@ -176,8 +181,8 @@ def update_diagnosis(claims: DataFrame, diag_pivot: DataFrame) -> DataFrame:
     return update_from(claims, diag_pivot, {"visit_id": "visit_id"}, DIAG_ASSIGN, unique=True)
 
 
-def update_observations(claims: DataFrame, obs_pivot: DataFrame) -> DataFrame:
-    return update_from(claims, obs_pivot, {"charge_id": "charge_id"}, OBS_ASSIGN, unique=True)
+def update_observations(claims: DataFrame, obs_pivot: DataFrame, join: Join = key_join) -> DataFrame:
+    return update_from(claims, obs_pivot, {"charge_id": "charge_id"}, OBS_ASSIGN, unique=True, join=join)
 
 
 def update_visit_observation(claims: DataFrame, observations_pivot: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The wide claim table: facts of a period with every attribute, in one lazy plan."""
+"""The wide claim table: facts of a period with every attribute, by one extract of the facts and one lazy plan over it."""
 
 from __future__ import annotations
 
@@ -6,11 +6,13 @@ from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from claimweave.operators.filters import between_days, filter_centers, first_submissions
-from claimweave.operators.keys import key_join, one_per_key
+from claimweave.operators.homes import HOME, Homes, with_homes
+from claimweave.operators.keys import one_per_key
 from claimweave.operators.pivots import diag_pivot_typed, obs_pivot
-from claimweave.operators.projections import project_claim_fact
+from claimweave.operators.projections import RENAMED, project_claim_fact
 from claimweave.operators.updates import (
     DIAG_ASSIGN,
     DOCTOR_COLUMNS,
@@ -25,6 +27,8 @@ from claimweave.operators.updates import (
     update_tpa,
     visit_doctor_attributes,
 )
+from claimweave.schemas import CLAIM_FACT, CLAIM_WIDE, conform
+from claimweave.session import work_folder
 from claimweave.sources.contracts import Source, checked, frame_of, is_unique
 
 
@@ -78,11 +82,11 @@ def select_claims(
     return project_claim_fact(chosen)
 
 
-def update_visit(claims: DataFrame, doctor_attributes: Source, diag_pivot: DataFrame) -> DataFrame:
+def update_visit(claims: DataFrame, homes: Homes, doctor_attributes: Source, diag_pivot: DataFrame) -> DataFrame:
     """Doctor and diagnosis updates in one join.
 
-    Both sources have one row per visit. Joined to each other first, they cost the much larger
-    fact table one shuffle on the visit instead of two.
+    Both sources have one row per visit. The visits that the facts ask for meet both where they are, so no wide row of a visit is shuffled but
+    the answer.
     """
     assign = {**same_names(DOCTOR_COLUMNS), **DIAG_ASSIGN}
     unique = is_unique(doctor_attributes, ["reg_visit_id"])
@@ -93,30 +97,28 @@ def update_visit(claims: DataFrame, doctor_attributes: Source, diag_pivot: DataF
         F.lit(True).alias("has_doctor"),
     )
     diagnoses = diag_pivot.select(
-        F.col("visit_id").alias("diag_visit_id"),
+        "visit_id",
         *[F.col(slot).alias(f"new_{c}") for c, slot in DIAG_ASSIGN.items()],
         F.lit(True).alias("has_diagnosis"),
     )
-    both = doctors.join(diagnoses, F.col("reg_visit_id") == F.col("diag_visit_id"), "full")
-    both = both.withColumn("any_visit", F.coalesce("reg_visit_id", "diag_visit_id"))
-    joined = key_join(claims, both.drop("reg_visit_id", "diag_visit_id"), {"visit_id": "any_visit"}, "left")
+    joined = homes.meet(claims, "visit_id", (doctors, "reg_visit_id"), (diagnoses, "visit_id"))
     hits = {c: "has_doctor" if c in DOCTOR_COLUMNS else "has_diagnosis" for c in assign}
     return take_matched(claims, joined, hits)
 
 
-def enrich_claims(claims: DataFrame, src: ClaimSources, as_of: date | str | None = None) -> DataFrame:
-    """All updates in one pass. They write disjoint columns, so their order is free.
+def enrich_claims(homes: Homes, src: ClaimSources, as_of: date | str | None = None) -> DataFrame:
+    """All updates but the insurer's in one pass. They write disjoint columns, so their order is free.
 
-    Whatever is joined by a shuffle is shuffled again with every later source that is large. So the large sources come by
-    the width of what they add: insurer, plan, observations of few charges, patient, visit. The masters that
+    The facts are shuffled once, by home; sources that grow with the facts answer there. The masters that
     stay small whatever the number of facts (centers, organizations, administrators) follow; Spark broadcasts them.
     """
-    claims = update_insurer(claims, src.insurance_company)
-    claims = update_plan(claims, src.plan, src.category)
-    claims = update_observations(claims, obs_pivot(src.observation))
-    claims = update_patient(claims, src.patient, as_of)
+    # Attributes that are filled here are typed nulls above the shuffle.
+    claims = conform(homes.dealt(), StructType([StructField(HOME, LongType()), *CLAIM_WIDE.fields]))
+    claims = update_plan(claims, src.plan, src.category, homes.join)
+    claims = update_patient(claims, src.patient, as_of, homes.join)
+    claims = update_observations(claims, obs_pivot(src.observation), homes.join)
     doctors = visit_doctor_attributes(src.registration, src.doctor, src.department)
-    claims = update_visit(claims, doctors, diag_pivot_typed(src.diagnosis))
+    claims = update_visit(claims, homes, doctors, diag_pivot_typed(src.diagnosis)).drop(HOME)
     claims = update_rate_plan(claims, src.organization)
     claims = update_tpa(claims, src.tpa)
     return update_center(claims, src.center)
@@ -131,4 +133,12 @@ def build_claim_wide(
     as_of: date | str | None = None,
     date_column: str = "submission_date",
 ) -> DataFrame:
-    return enrich_claims(select_claims(fact, start, end, centers, date_column), src, as_of)
+    """The claims are written to the work folder first, without the columns that nothing has filled yet: a job of its own, so that facts
+    which are joins themselves are made once. Insurers are many for a master of few columns; they come while the facts are narrowest.
+    """
+    spark, have = fact.sparkSession, {c.lower() for c in fact.columns}
+    claims = update_insurer(select_claims(fact, start, end, centers, date_column), src.insurance_company)
+    filled = {"insurancecompany", *[RENAMED.get(f.name, f.name) for f in CLAIM_FACT.fields if f.name in have]}
+    path = work_folder(spark, "extract")
+    with_homes(claims.select(*[c for c in claims.columns if c in filled])).write.option("compression", "zstd").parquet(path)
+    return enrich_claims(Homes(spark.read.parquet(path)), src, as_of)
